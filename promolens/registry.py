@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.config import FIXTURE_PARAMS as P
-from promolens.plans import monthly, proposals, reports
+from promolens.functions.hashing import hash_key, unit_score
+from promolens.operators import curves
+from promolens.plans import features, monthly, proposals, reports
+from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, table_row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +47,57 @@ def _lb(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return _q(lambda t: fn(monthly.line_base(t, P)))
 
 
+def proposal_text(t: SalesTables) -> DataFrame:
+    """The extract as the pipeline receives it: CSV text, with the order
+    date and line discount as optional columns."""
+    return as_text(proposals.proposals(t, P.as_of, extra_columns=True))
+
+
+def feature_frame(t: SalesTables) -> DataFrame:
+    return features.add_features(proposal_text(t))
+
+
+def _coerced(t: SalesTables) -> DataFrame:
+    return features.coerce_amounts(proposal_text(t)).select("ProposalID", "ProposalAmount", "Cost")
+
+
+def _missing(t: SalesTables) -> DataFrame:
+    return features.coercion_missing_counts(features.coerce_amounts(proposal_text(t)))
+
+
+def _features(t: SalesTables) -> DataFrame:
+    return feature_frame(t).select("ProposalID", "ProposalAmount", "Cost", "margin", "margin_rate", "cost_rate",
+                                   "log_amount", "log_cost", "month", "quarter", "discount_rate")
+
+
+def _winsorized(t: SalesTables) -> DataFrame:
+    f = feature_frame(t)
+    w = features.winsorize(f, features.clip_bounds(f))
+    return w.select("ProposalID", *features.CLIP_COLUMNS)
+
+
+def eval_frame(t: SalesTables) -> DataFrame:
+    """(ProposalID, Accepted, accept_prob, tie) with a deterministic score:
+    evaluation is checked on a score both engines can derive."""
+    pr = proposals.proposals(t, P.as_of).select("ProposalID", "Accepted")
+    return pr.select("ProposalID", "Accepted", unit_score(F.col("ProposalID"), 42).alias("accept_prob"),
+                     hash_key(F.col("ProposalID"), "tie").alias("tie"))
+
+
+def eval_ml_frame(t: SalesTables) -> DataFrame:
+    """Training-side convention: positive = Rejected (Accepted == 0),
+    score = P(rejected)."""
+    e = eval_frame(t)
+    return e.select("ProposalID", "Accepted", (F.lit(1.0) - F.col("accept_prob")).alias("reject_prob"))
+
+
+def _classification_report(t: SalesTables) -> DataFrame:
+    e = eval_ml_frame(t)
+    thr = curves.best_f1_threshold(e, "reject_prob", "Accepted", positive=0).first()["best_threshold"]
+    return curves.classification_report(e, "reject_prob", "Accepted", thr, positive=0,
+                                        names=("Accepted", "Rejected"))
+
+
 QUERIES: dict[str, Query] = {
     "table_listing": _q(table_row_counts),
     "promotions_by_year_month": _q(reports.promotions_by_year_month),
@@ -66,11 +120,29 @@ QUERIES: dict[str, Query] = {
     "top_groups_by_month": _lb(lambda lb: monthly.top_groups_by_month(lb, P)),
     "customer_metrics": _q(lambda t: proposals.customer_metrics(t, P.as_of)),
     "proposals": _q(lambda t: proposals.proposals(t, P.as_of)),
+    "coerced_amounts": _q(_coerced),
+    "coercion_missing_counts": _q(_missing),
+    "proposal_features": _q(_features),
+    "winsorized_features": _q(_winsorized),
+    "roc_auc": _q(lambda t: curves.roc_auc(eval_ml_frame(t), "reject_prob", "Accepted", positive=0)),
+    "average_precision": _q(lambda t: curves.average_precision(eval_ml_frame(t), "reject_prob", "Accepted",
+                                                                positive=0)),
+    "best_f1_threshold": _q(lambda t: curves.best_f1_threshold(eval_ml_frame(t), "reject_prob", "Accepted",
+                                                                positive=0)),
+    "classification_report": _q(_classification_report),
+    "pr_curve": _q(lambda t: curves.pr_curve(eval_frame(t), "accept_prob", "Accepted", positive=1)),
+    "roc_curve": _q(lambda t: curves.roc_curve(eval_frame(t), "accept_prob", "Accepted", positive=1)),
+    "score_histogram": _q(lambda t: curves.score_histogram(eval_frame(t), "accept_prob", "Accepted")),
+    "lift_gain": _q(lambda t: curves.lift_gain(eval_frame(t), "ProposalID", "accept_prob", "Accepted", "tie",
+                                               positive=1)),
 }
 
 
 def oracles() -> dict[str, str]:
-    from promolens.checks.oracle_sql import report_oracles
+    from promolens.checks.oracle_sql import eval_oracles, feature_oracles, report_oracles
 
-    q, _ = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n, P.as_of.isoformat())
+    q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
+                                      P.as_of.isoformat())
+    q.update(feature_oracles(proposals_cte))
+    q.update(eval_oracles(proposals_cte))
     return q
