@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from promolens.config import FIXTURE_PARAMS as P
 from promolens.functions.hashing import hash_key, unit_score
-from promolens.operators import curves
+from promolens.operators import curves, knapsack
 from promolens.plans import features, monthly, proposals, reports
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, table_row_counts
@@ -98,6 +98,21 @@ def _classification_report(t: SalesTables) -> DataFrame:
                                         names=("Accepted", "Rejected"))
 
 
+SELECTION_BUDGET = 150_000_000.0
+
+
+def selection_input(t: SalesTables) -> DataFrame:
+    """Proposals with the deterministic acceptance score."""
+    pr = proposals.proposals(t, P.as_of).select("ProposalID", F.col("ProposalAmount").cast("double"),
+                                                 F.col("Cost").cast("double"))
+    return pr.select("ProposalID", "ProposalAmount", "Cost",
+                     unit_score(F.col("ProposalID"), 42).alias("accept_prob"))
+
+
+def _selection(t: SalesTables):
+    return knapsack.select_within_budget(selection_input(t), SELECTION_BUDGET)
+
+
 QUERIES: dict[str, Query] = {
     "table_listing": _q(table_row_counts),
     "promotions_by_year_month": _q(reports.promotions_by_year_month),
@@ -135,14 +150,18 @@ QUERIES: dict[str, Query] = {
     "score_histogram": _q(lambda t: curves.score_histogram(eval_frame(t), "accept_prob", "Accepted")),
     "lift_gain": _q(lambda t: curves.lift_gain(eval_frame(t), "ProposalID", "accept_prob", "Accepted", "tie",
                                                positive=1)),
+    "budget_selection": _q(lambda t: _selection(t).selection),
+    "selection_totals": _q(lambda t: _selection(t).totals.select("selected_count", "total_cost", "total_profit")),
+    "selected_deals": _q(lambda t: knapsack.selected_deals(_selection(t).selection)),
 }
 
 
 def oracles() -> dict[str, str]:
-    from promolens.checks.oracle_sql import eval_oracles, feature_oracles, report_oracles
+    from promolens.checks.oracle_sql import eval_oracles, feature_oracles, report_oracles, selection_oracles
 
     q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
                                       P.as_of.isoformat())
     q.update(feature_oracles(proposals_cte))
     q.update(eval_oracles(proposals_cte))
+    q.update(selection_oracles(proposals_cte, SELECTION_BUDGET))
     return q
