@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from promolens.config import FIXTURE_PARAMS as P
 from promolens.functions.hashing import hash_key, unit_score
-from promolens.operators import curves, knapsack
+from promolens.operators import curves, knapsack, sampling
 from promolens.plans import features, monthly, proposals, reports
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, table_row_counts
@@ -113,6 +113,25 @@ def _selection(t: SalesTables):
     return knapsack.select_within_budget(selection_input(t), SELECTION_BUDGET)
 
 
+def labelled(t: SalesTables) -> DataFrame:
+    """Proposals with the training label: 1 = rejected (Accepted == 0);
+    a missing label counts as accepted."""
+    pr = proposals.proposals(t, P.as_of)
+    return pr.select("ProposalID", F.when(F.col("Accepted") == 0, 1).otherwise(0).alias("label"))
+
+
+def _balanced(t: SalesTables) -> DataFrame:
+    return sampling.balanced_sample(labelled(t), "label", "ProposalID", neg_ratio=5, seed=42)
+
+
+def _split(t: SalesTables) -> DataFrame:
+    return sampling.stratified_split(_balanced(t), "label", "ProposalID", 0.2)
+
+
+def _train(t: SalesTables) -> DataFrame:
+    return _split(t).where(F.col("split") == "train").select("ProposalID", "label")
+
+
 QUERIES: dict[str, Query] = {
     "table_listing": _q(table_row_counts),
     "promotions_by_year_month": _q(reports.promotions_by_year_month),
@@ -153,15 +172,22 @@ QUERIES: dict[str, Query] = {
     "budget_selection": _q(lambda t: _selection(t).selection),
     "selection_totals": _q(lambda t: _selection(t).totals.select("selected_count", "total_cost", "total_profit")),
     "selected_deals": _q(lambda t: knapsack.selected_deals(_selection(t).selection)),
+    "balanced_sample": _q(_balanced),
+    "stratified_split": _q(lambda t: _split(t).select("ProposalID", "label", "split")),
+    "oversampled_train": _q(lambda t: sampling.oversample(_train(t), "label", "ProposalID")
+                            .select("ProposalID", "label", "copy_no")),
+    "class_weights": _q(lambda t: sampling.class_weight_table(_train(t), "label")),
 }
 
 
 def oracles() -> dict[str, str]:
-    from promolens.checks.oracle_sql import eval_oracles, feature_oracles, report_oracles, selection_oracles
+    from promolens.checks.oracle_sql import (eval_oracles, feature_oracles, report_oracles, sampling_oracles,
+                                             selection_oracles)
 
     q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
                                       P.as_of.isoformat())
     q.update(feature_oracles(proposals_cte))
     q.update(eval_oracles(proposals_cte))
     q.update(selection_oracles(proposals_cte, SELECTION_BUDGET))
+    q.update(sampling_oracles(proposals_cte))
     return q
