@@ -69,22 +69,27 @@ def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]
                         break
                     acc += n
         if need_values:
-            # Few rows left: bring each small bin back, sorted, and index it.
-            for gi, items in need_values.items():
-                c, lo, hi = list(groups)[gi]
+            # Few rows left: bring all small bins back in one job, sort, index.
+            gl = list(groups)
+            wanted = sorted({(gi, b) for gi, items in need_values.items() for _, b, _ in items})
+            picks = []
+            for gi, b in wanted:
+                c, lo, hi = gl[gi]
                 width = (hi - lo) / bins
+                v = F.col(c)
+                in_bin = (v >= F.lit(lo)) & (v <= F.lit(hi))
+                if width > 0:
+                    in_bin = in_bin & (F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"),
+                                               F.lit(bins - 1)) == b)
+                picks.append(F.when(in_bin, F.struct(F.lit(gi).alias("g"), F.lit(b).alias("b"),
+                                                     v.cast("double").alias("v"))))
+            got: dict[tuple[int, int], list[float]] = {}
+            for r in (df.select(F.explode(F.array(*picks)).alias("t")).where(F.col("t").isNotNull())
+                      .select("t.*").collect()):
+                got.setdefault((r["g"], r["b"]), []).append(r["v"])
+            for gi, items in need_values.items():
                 for k, b, acc in items:
-                    if width > 0:
-                        blo = lo + b * width
-                        sel = df.select(F.col(c).cast("double").alias("v")).where(
-                            (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
-                            & (F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("int"),
-                                       F.lit(bins - 1)) == b))
-                    else:
-                        blo = lo
-                        sel = df.select(F.col(c).cast("double").alias("v")).where(F.col("v") == F.lit(blo))
-                    vals = sorted(r["v"] for r in sel.collect())
-                    found[k] = vals[k[1] - acc]
+                    found[k] = sorted(got[(gi, b)])[k[1] - acc]
         if passes > 64:
             raise RuntimeError("quantile refinement did not converge")
     return found

@@ -1,0 +1,80 @@
+"""The proposal job: features -> classifier -> segments -> selection -> sinks.
+
+``run_pipeline`` is the Spark re-expression of the reference command line
+job: every step is a DataFrame or Spark ML operation, outputs are written
+by the executors (partitioned folders, not single files) and the run
+report is a small ``(section, metric, value)`` table.
+"""
+
+from __future__ import annotations
+
+import os
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from promolens.config import PipelineConfig
+from promolens.operators import knapsack
+from promolens.plans.features import add_features, require_columns
+from promolens.plans.model import TrainResult, train_and_score
+from promolens.plans.segments import SegmentResult, fit_segments, segment_inputs
+
+SELECTION_REQUIRED = ("ProposalID", "ProposalAmount", "Cost", "accept_prob")
+
+
+@dataclass
+class PipelineOutputs:
+    scored: DataFrame
+    segmented: DataFrame
+    selection: DataFrame
+    report: DataFrame
+    train: TrainResult
+    segments: SegmentResult
+    selection_result: knapsack.SelectionResult
+
+
+def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> PipelineOutputs:
+    spark = proposals_df.sparkSession
+    feats = add_features(proposals_df)
+    tr = train_and_score(feats, cfg)
+    scored = tr.scored.checkpoint(eager=True)  # reused by segmentation, selection and the sink
+
+    if cfg.skip_kmeans:
+        seg = SegmentResult(None, None, None, "skipped by flag", [])
+    else:
+        seg = fit_segments(segment_inputs(scored, list(cfg.segment_features)), cfg.kmeans_k,
+                           cfg.kmeans_sample_rows, cfg.seed)
+    segmented = scored.join(seg.segments, "ProposalID", "left") if seg.segments is not None else \
+        scored.withColumn("segment", F.lit(None).cast("int"))
+
+    require_columns(segmented, SELECTION_REQUIRED, "optimization")
+    sel = knapsack.select_within_budget(segmented, cfg.budget, fill_rounds=cfg.fill_rounds, top_n=cfg.opt_top_n)
+    tot = sel.totals.first()
+
+    rows = [(r["section"], r["metric"], r["value"]) for r in tr.metrics.collect()]
+    rows += [("kmeans", "k", float(seg.k) if seg.k else None),
+             ("kmeans", "silhouette", seg.silhouette),
+             ("optimization", "selected_count", float(tot["selected_count"])),
+             ("optimization", "total_selected_cost", float(tot["total_cost"])),
+             ("optimization", "total_selected_profit", float(tot["total_profit"])),
+             ("optimization", "lp_bound", float(tot["lp_bound"])),
+             ("optimization", "gap", float(tot["gap"]))]
+    rows += [("classification_report", f"{r['label']}:{m}", r[m])
+             for r in tr.class_report.collect() for m in ("precision", "recall", "f1_score", "support")
+             if r[m] is not None]
+    report = spark.createDataFrame([(s, m, float(v) if v is not None else None) for s, m, v in rows],
+                                   "section string, metric string, value double")
+    out = PipelineOutputs(scored, segmented, sel.selection, report, tr, seg, sel)
+    if cfg.out_dir:
+        save_outputs(out, cfg.out_dir)
+    return out
+
+
+def save_outputs(out: PipelineOutputs, out_dir: str) -> None:
+    """Sinks: three tables, the fitted pipeline and the run report."""
+    out.scored.write.mode("overwrite").parquet(os.path.join(out_dir, "proposal_accept_scores"))
+    out.segmented.write.mode("overwrite").parquet(os.path.join(out_dir, "customer_segments"))
+    out.selection.write.mode("overwrite").parquet(os.path.join(out_dir, "proposal_selection"))
+    out.train.model.write().overwrite().save(os.path.join(out_dir, "proposal_model"))
+    out.report.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "model_report"))

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from promolens.config import FIXTURE_PARAMS as P
 from promolens.functions.hashing import hash_key, unit_score
 from promolens.operators import curves, knapsack, sampling
-from promolens.plans import features, monthly, proposals, reports
+from promolens.config import PipelineConfig
+from promolens.plans import features, model, monthly, pipeline, proposals, reports, segments
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, table_row_counts
 
@@ -132,6 +133,31 @@ def _train(t: SalesTables) -> DataFrame:
     return _split(t).where(F.col("split") == "train").select("ProposalID", "label")
 
 
+# The reference command line advertises a random forest as its default
+# model; the registered queries use it (the boosted model is the
+# PipelineConfig default and is covered by tests with few rounds).
+QUERY_MODEL = PipelineConfig(model="rf")
+
+
+def _scored(t: SalesTables) -> DataFrame:
+    r = model.train_and_score(feature_frame(t), QUERY_MODEL)
+    return r.scored.select("ProposalID", F.col("Accepted").cast("int").alias("Accepted"), "accept_prob")
+
+
+def _segment_inputs(t: SalesTables) -> DataFrame:
+    si = segments.segment_inputs(feature_frame(t), list(QUERY_MODEL.segment_features))
+    return si.frame.select("ProposalID", *[F.round(F.col(f"z_{c}"), 6).alias(f"z_{c}") for c in si.features])
+
+
+def _segments(t: SalesTables) -> DataFrame:
+    si = segments.segment_inputs(feature_frame(t), list(QUERY_MODEL.segment_features))
+    return segments.fit_segments(si, QUERY_MODEL.kmeans_k, QUERY_MODEL.kmeans_sample_rows, QUERY_MODEL.seed).segments
+
+
+def _run_report(t: SalesTables) -> DataFrame:
+    return pipeline.run_pipeline(proposal_text(t), QUERY_MODEL).report
+
+
 QUERIES: dict[str, Query] = {
     "table_listing": _q(table_row_counts),
     "promotions_by_year_month": _q(reports.promotions_by_year_month),
@@ -177,12 +203,16 @@ QUERIES: dict[str, Query] = {
     "oversampled_train": _q(lambda t: sampling.oversample(_train(t), "label", "ProposalID")
                             .select("ProposalID", "label", "copy_no")),
     "class_weights": _q(lambda t: sampling.class_weight_table(_train(t), "label")),
+    "scored_proposals": _q(_scored),
+    "segment_inputs": _q(_segment_inputs),
+    "customer_segments": _q(_segments),
+    "run_report": _q(_run_report),
 }
 
 
 def oracles() -> dict[str, str]:
     from promolens.checks.oracle_sql import (eval_oracles, feature_oracles, report_oracles, sampling_oracles,
-                                             selection_oracles)
+                                             segment_oracles, selection_oracles)
 
     q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
                                       P.as_of.isoformat())
@@ -190,4 +220,5 @@ def oracles() -> dict[str, str]:
     q.update(eval_oracles(proposals_cte))
     q.update(selection_oracles(proposals_cte, SELECTION_BUDGET))
     q.update(sampling_oracles(proposals_cte))
+    q.update(segment_oracles(proposals_cte))
     return q
