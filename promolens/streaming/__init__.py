@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The reference workload has no stream source, window, watermark or state;
+its inputs are batch tables and files. Nothing here until it does.
+"""
