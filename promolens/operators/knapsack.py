@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from promolens.functions.hashing import hash_key
 from promolens.operators.prefix import running_sums
+from promolens.session import reliable_checkpoint
 
 MONEY = T.DecimalType(38, 6)
 
@@ -73,14 +74,14 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
                               rows_per_bucket=rows_per_bucket, prefix="")
         cand = ranked.where(F.col("_pos") <= top_n).drop("_pos")
     # A proposal dearer than the whole budget can never be chosen.
-    items = cand.where(F.col("_c") <= F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p").checkpoint(eager=True)
+    items = reliable_checkpoint(cand.where(F.col("_c") <= F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p"))
 
     def take_prefix(pool: DataFrame, left: Decimal) -> DataFrame:
         r = running_sums(pool, "_eff", {"_cum": F.col("_c")}, descending=True, tiebreak="_tie",
                          rows_per_bucket=rows_per_bucket, prefix="")
         return r
 
-    r0 = take_prefix(items, b).checkpoint(eager=True)
+    r0 = reliable_checkpoint(take_prefix(items, b))
     chosen0 = r0.where(F.col("_cum") <= F.lit(b))
     s0 = chosen0.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p"), F.count(F.lit(1)).alias("n")).first()
     used = s0["c"] or Decimal(0)
@@ -93,11 +94,11 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
     left = b - used
     pool = r0.where(F.col("_cum") > F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p")
     for _ in range(fill_rounds):
-        pool = pool.where(F.col("_c") <= F.lit(left)).checkpoint(eager=True)
+        pool = reliable_checkpoint(pool.where(F.col("_c") <= F.lit(left)))
         if pool.isEmpty():
             break
         r = take_prefix(pool, left)
-        got = r.where(F.col("_cum") <= F.lit(left)).select(id_col, "_c", "_p").checkpoint(eager=True)
+        got = reliable_checkpoint(r.where(F.col("_cum") <= F.lit(left)).select(id_col, "_c", "_p"))
         s = got.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
         if s["c"] is None:
             break

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from promolens.session import reliable_checkpoint
+
 
 def top_k_through_joins(fact: DataFrame, order: list[Column], k: int,
                         enrich: Callable[[DataFrame], DataFrame], start: int | None = None) -> DataFrame:
@@ -25,7 +27,7 @@ def top_k_through_joins(fact: DataFrame, order: list[Column], k: int,
     """
     m = start or max(8 * k, 64)
     while True:
-        cand = fact.orderBy(*order).limit(m).checkpoint(eager=True)
+        cand = reliable_checkpoint(fact.orderBy(*order).limit(m))
         n_cand = cand.count()
         joined = enrich(cand)
         if n_cand < m or joined.count() >= k:

@@ -23,6 +23,7 @@ from promolens.config import PipelineConfig
 from promolens.operators import curves, sampling
 from promolens.operators.quantiles import exact_quantiles
 from promolens.plans.features import CLASSIFIER_REQUIRED, clip_bounds, feature_columns, require_columns, winsorize
+from promolens.session import reliable_checkpoint
 
 MISSING_CATEGORY = "__missing__"
 
@@ -91,7 +92,7 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     sample = sampling.balanced_sample(data, "label", "ProposalID", neg_ratio=cfg.neg_ratio, seed=cfg.seed,
                                       cap=cfg.max_train_rows)
     split = sampling.stratified_split(sample, "label", "ProposalID", cfg.test_fraction, seed=f"{cfg.seed}-split")
-    split = split.checkpoint(eager=True)  # cut lineage: reused by fit, medians and evaluation
+    split = reliable_checkpoint(split)  # cut lineage: reused by fit, medians and evaluation
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     if cfg.oversample:
@@ -101,7 +102,7 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     stages, kept = _prep_stages(train, cats, nums)
     model = Pipeline(stages=stages + [make_classifier(cfg)]).fit(train)
 
-    ev = p_positive(model.transform(test)).select("ProposalID", "label", "reject_prob").checkpoint(eager=True)
+    ev = reliable_checkpoint(p_positive(model.transform(test)).select("ProposalID", "label", "reject_prob"))
     auc = curves.roc_auc(ev, "reject_prob", "label", 1).first()["roc_auc"]
     pr_auc = curves.average_precision(ev, "reject_prob", "label", 1).first()["average_precision"]
     best = curves.best_f1_threshold(ev, "reject_prob", "label", 1).first()

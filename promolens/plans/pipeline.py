@@ -19,6 +19,7 @@ from promolens.operators import knapsack
 from promolens.plans.features import add_features, require_columns
 from promolens.plans.model import TrainResult, train_and_score
 from promolens.plans.segments import SegmentResult, fit_segments, segment_inputs
+from promolens.session import reliable_checkpoint
 
 SELECTION_REQUIRED = ("ProposalID", "ProposalAmount", "Cost", "accept_prob")
 
@@ -38,7 +39,7 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
     spark = proposals_df.sparkSession
     feats = add_features(proposals_df)
     tr = train_and_score(feats, cfg)
-    scored = tr.scored.checkpoint(eager=True)  # reused by segmentation, selection and the sink
+    scored = reliable_checkpoint(tr.scored)  # reused by segmentation, selection and the sink
 
     if cfg.skip_kmeans:
         seg = SegmentResult(None, None, None, "skipped by flag", [])

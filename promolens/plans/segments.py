@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from promolens.functions.numeric import nan_inf_to_null
 from promolens.operators import sampling
 from promolens.operators.quantiles import exact_quantiles
+from promolens.session import reliable_checkpoint
 
 MIN_ROWS = 10
 MIN_VARIANCE = 1e-9  # fixed value of the reference
@@ -81,7 +82,7 @@ def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), sample_rows: int
                                             seed).where(F.col("_in")).drop("_in", "_all"))
     else:
         sample = vec
-    sample = sample.select(id_col, "features").checkpoint(eager=True)  # bounded: at most sample_rows rows
+    sample = reliable_checkpoint(sample.select(id_col, "features"))  # bounded: at most sample_rows rows
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = (None, -1.0, None)
     scores = []

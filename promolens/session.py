@@ -57,3 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` into the shared checkpoint folder and cut its
+    lineage (survives the loss of the executors that computed it)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -1,0 +1,64 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from promolens.config import PipelineConfig
+from promolens.plans.evaluation import evaluation_frame, evaluation_tables, report_text
+from promolens.plans.pipeline import run_pipeline
+from promolens.sources.csv import read_proposals_csv, write_csv
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(600):
+        region = rnd.choice(["North", "South", "East"])
+        rej = region == "North" or rnd.random() < 0.2
+        amount = rnd.uniform(100, 3000)
+        rows.append((f"P{i}", f"{amount:.2f}", f"{amount * rnd.uniform(0.2, 0.7):.2f}", region,
+                     rnd.choice(["Store", "Individual"]), rnd.choice(["Bikes", "Parts"]), "0" if rej else "1",
+                     str(rnd.randint(1, 30)), f"{rnd.uniform(50, 900):.2f}", f"{rnd.random():.3f}",
+                     str(rnd.randint(1, 300))))
+    schema = ("ProposalID string, ProposalAmount string, Cost string, Region string, CustomerType string, "
+              "ProductCategory string, Accepted string, Purchases string, AvgOrderValue string, "
+              "PromoResponseRate string, Recency string")
+    return spark.createDataFrame(rows, schema)
+
+
+def test_run_pipeline_end_to_end(spark, raw, tmp_path):
+    src = str(tmp_path / "proposals_csv")
+    write_csv(raw, src)
+    props = read_proposals_csv(spark, src)
+    assert props.count() == 600 and all(t == "string" for _, t in props.dtypes)
+    out_dir = str(tmp_path / "out")
+    cfg = PipelineConfig(model="gbt", gbt_max_iter=10, budget=20_000.0, out_dir=out_dir, kmeans_k=(2, 3))
+    out = run_pipeline(props, cfg)
+    assert out.scored.count() == 600
+    seg = out.segmented
+    assert seg.where(F.col("segment").isNull()).count() == 0
+    sel = out.selection
+    chosen = sel.where("selected = 1").agg(F.sum("Cost")).first()[0] or 0.0
+    assert chosen <= 20_000.0 + 1e-6
+    for name in ("proposal_accept_scores", "customer_segments", "proposal_selection", "proposal_model",
+                 "model_report"):
+        assert os.path.exists(os.path.join(out_dir, name)), name
+    text = report_text(out.report)
+    assert "AUC:" in text and "Total selected cost" in text
+
+    ev = evaluation_frame(props, spark.read.parquet(os.path.join(out_dir, "proposal_accept_scores")),
+                          spark.read.parquet(os.path.join(out_dir, "proposal_selection")))
+    tabs = evaluation_tables(ev)
+    assert tabs.score_histogram.count() == 80
+    assert tabs.selected_deals.count() == sel.where("selected = 1").count()
+
+
+def test_evaluation_needs_labels(spark, raw):
+    scores = raw.select("ProposalID", F.lit(0.5).alias("accept_prob"))
+    props = raw.withColumn("Accepted", F.when(F.col("ProposalID") == "P3", None).otherwise(F.col("Accepted")))
+    sel = raw.select("ProposalID", F.lit(0).alias("selected"), F.lit(1.0).alias("expected_profit"),
+                     F.lit(1.0).alias("Cost"))
+    with pytest.raises(ValueError, match="Accepted"):
+        evaluation_frame(props, scores, sel)
