@@ -62,7 +62,7 @@ class PipelineConfig:
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     rf_num_trees: int = 100
-    rf_max_depth: int = 12
+    rf_max_depth: int = 10
     kmeans_k: tuple[int, ...] = (2, 3, 4, 5, 6, 7)
     kmeans_sample_rows: int = 20_000
     segment_features: tuple[str, ...] = ("Purchases", "AvgOrderValue", "PromoResponseRate", "Recency")

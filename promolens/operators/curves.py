@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.operators.prefix import running_sums
+from promolens.session import reliable_checkpoint
 
 EPS = 1e-9  # fixed value of the reference: F1 and lift/gain denominators
 
@@ -24,9 +25,10 @@ def _pos(label: str, positive) -> Column:
 def score_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """One row per distinct score: positives, negatives at that score and
     cumulated over all scores >= it (tp, fp), with class totals P, N."""
-    g = df.groupBy(F.col(score).alias("threshold")).agg(
+    # One row per distinct score, read by three jobs below: materialise once.
+    g = reliable_checkpoint(df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_pos(label, positive)).cast("bigint").alias("pos_at"),
-        F.sum(1 - _pos(label, positive)).cast("bigint").alias("neg_at"))
+        F.sum(1 - _pos(label, positive)).cast("bigint").alias("neg_at")))
     cum = running_sums(g, "threshold", {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, descending=True,
                        prefix="")
     tot = g.agg(F.sum("pos_at").alias("P"), F.sum("neg_at").alias("N")).first()  # one row
@@ -186,7 +188,8 @@ def score_histogram(df: DataFrame, score: str, label: str, bins: int = 40,
 def lift_gain(df: DataFrame, id_col: str, score: str, label: str, tiebreak: str, positive=1) -> DataFrame:
     """Per row in descending score order (ties by the uniform ``tiebreak``
     hash): % of population, % of positives captured (gain) and lift."""
-    base = df.select(id_col, score, tiebreak, _pos(label, positive).alias("_y"))
+    # narrow rows read by the totals, the bucket bounds and the window
+    base = reliable_checkpoint(df.select(id_col, score, tiebreak, _pos(label, positive).alias("_y")))
     tot = base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("P"))
     trow = tot.first()
     cum = running_sums(base, score, {"i": F.lit(1), "cum_pos": F.col("_y")}, descending=True,

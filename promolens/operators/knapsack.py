@@ -73,8 +73,10 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
         ranked = running_sums(cand, "_eff", {"_pos": F.lit(1)}, descending=True, tiebreak="_tie",
                               rows_per_bucket=rows_per_bucket, prefix="")
         cand = ranked.where(F.col("_pos") <= top_n).drop("_pos")
+    # The candidates are read by every round and by the final flagging.
+    cand = reliable_checkpoint(cand)
     # A proposal dearer than the whole budget can never be chosen.
-    items = reliable_checkpoint(cand.where(F.col("_c") <= F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p"))
+    items = cand.where(F.col("_c") <= F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p")
 
     def take_prefix(pool: DataFrame, left: Decimal) -> DataFrame:
         r = running_sums(pool, "_eff", {"_cum": F.col("_c")}, descending=True, tiebreak="_tie",

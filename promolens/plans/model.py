@@ -70,12 +70,13 @@ def make_classifier(cfg: PipelineConfig):
     if cfg.model == "rf":
         return RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight",
                                       numTrees=cfg.rf_num_trees, maxDepth=cfg.rf_max_depth, seed=cfg.seed,
-                                      featureSubsetStrategy="sqrt")
+                                      featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=True)
     if cfg.model in ("gbt", "lightgbm"):
         return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight",
                              maxIter=cfg.gbt_max_iter, stepSize=cfg.gbt_step_size, maxDepth=cfg.max_depth,
                              minInstancesPerNode=cfg.min_instances_per_node, subsamplingRate=cfg.subsampling_rate,
-                             featureSubsetStrategy=cfg.feature_subset, seed=cfg.seed)
+                             featureSubsetStrategy=cfg.feature_subset, seed=cfg.seed,
+                             maxMemoryInMB=1024, cacheNodeIds=True)
     raise ValueError(f"unknown model {cfg.model!r}: use 'gbt' or 'rf'")
 
 
@@ -85,6 +86,9 @@ def p_positive(df: DataFrame, out: str = "reject_prob") -> DataFrame:
 
 def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     require_columns(df, CLASSIFIER_REQUIRED, "classifier")
+    # The feature frame feeds a dozen jobs (bounds, sample thresholds, fit,
+    # scoring): materialise it once in the shared checkpoint folder.
+    df = reliable_checkpoint(df)
     bounds = clip_bounds(df)
     data = rejection_label(winsorize(df, bounds))
     cats, nums = feature_columns(data)

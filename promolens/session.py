@@ -21,7 +21,7 @@ BASE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "promolens") -> SparkSession:
+                  app_name: str = "promolens", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
     On a cluster pass ``master=None`` and let spark-submit decide; tests and
@@ -32,6 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
+    if driver_memory:  # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.ui.enabled", "false")

@@ -64,3 +64,10 @@ def test_empty_frame(spark):
     r = select_within_budget(_frame(spark, [("x", 10.0, 50.0, 0.5)]), 100.0)
     assert r.selection.count() == 0
     assert r.total_profit == 0.0 and r.totals.first()["selected_count"] == 0
+
+
+def test_candidate_cap_keeps_most_efficient(spark):
+    items = [(f"p{i}", 100.0, float(10 + i), 0.9) for i in range(20)]  # efficiency falls with i
+    r = select_within_budget(_frame(spark, items), 1e6, top_n=5)
+    ids = {x["ProposalID"] for x in r.selection.collect()}
+    assert ids == {f"p{i}" for i in range(5)}
