@@ -130,3 +130,19 @@ def top_groups_by_month(lb: DataFrame, params: ReportParams) -> DataFrame:
         F.coalesce(F.col("SubcategoryName"), F.lit(UNSPECIFIED)).alias("SubcategoryName"),
         "Revenue", "Units", "rnk")
         .orderBy("year", "month", "rnk"))
+
+
+def monthly_reports(t: SalesTables, params: ReportParams) -> dict[str, DataFrame]:
+    """All monthly reports of one parameter set, sharing one materialised
+    ``line_base`` (built once, as the report script's temp tables are).
+    The caller unpersists ``result['line_base']`` when done."""
+    lb = line_base(t, params).persist()
+    return {
+        "line_base": lb,
+        "order_promo_flag": order_promo_flag(lb),
+        "promotions_launched": promotions_launched(t, params),
+        "active_promotions_by_month": active_promotions_by_month(t, params),
+        "monthly_promo_sales": monthly_promo_sales(lb),
+        "monthly_promo_orders": monthly_promo_orders(lb),
+        "top_groups_by_month": top_groups_by_month(lb, params),
+    }
