@@ -74,3 +74,13 @@ def test_segments_assign_every_row(spark):
     assert seg.count() == 600
     assert seg.where(F.col("segment").isNull() | (F.col("segment") >= res.k)).count() == 0
     assert res.k == 3
+
+
+def test_oversampled_training_runs(planted):
+    r = train_and_score(planted, PipelineConfig(model="gbt", gbt_max_iter=5, oversample=True))
+    assert r.scored.count() == 2000 and 0.0 <= r.auc <= 1.0
+
+
+def test_unknown_model_rejected(planted):
+    with pytest.raises(ValueError, match="unknown model"):
+        train_and_score(planted, PipelineConfig(model="svm"))

@@ -62,3 +62,10 @@ def test_evaluation_needs_labels(spark, raw):
                      F.lit(1.0).alias("Cost"))
     with pytest.raises(ValueError, match="Accepted"):
         evaluation_frame(props, scores, sel)
+
+
+def test_skip_kmeans_flag(spark, raw):
+    out = run_pipeline(raw, PipelineConfig(model="rf", rf_num_trees=10, skip_kmeans=True, budget=5_000.0))
+    assert out.segments.reason == "skipped by flag"
+    assert out.segmented.where(F.col("segment").isNotNull()).count() == 0
+    assert "Segmentation skipped" in report_text(out.report)
