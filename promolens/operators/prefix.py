@@ -68,13 +68,17 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column], *, descendi
             bucketed = bucketed.withColumn("_s", F.lit(0))
 
     vnames = [f"_v_{name}" for name in values]
+    w = Window.partitionBy("_b", "_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if n_buckets == 1:
+        # at most rows_per_bucket rows: one window partition, no offsets
+        out = bucketed.withColumns({f"{prefix}{name}": F.sum(v).over(w) for name, v in zip(values, vnames)})
+        return out.drop(sk, "_b", "_s", *vnames)
     totals = bucketed.groupBy("_b", "_s").agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(vnames)])
     w_off = Window.orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
     # one row per bucket (bounded by MAX_BUCKETS times the hot splits): a single small task
     offsets = totals.select("_b", "_s", *[F.coalesce(F.sum(f"_t{i}").over(w_off), F.lit(0)).alias(f"_o{i}")
                                           for i in range(len(vnames))])
     joined = bucketed.join(F.broadcast(offsets), ["_b", "_s"], "inner")
-    w = Window.partitionBy("_b", "_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.withColumns({f"{prefix}{name}": F.sum(v).over(w) + F.col(f"_o{i}")
                               for i, (name, v) in enumerate(zip(values, vnames))})
     return out.drop(sk, "_b", "_s", *vnames, *[f"_o{i}" for i in range(len(vnames))])
