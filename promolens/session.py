@@ -52,13 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current and not sc._jsc.sc().getCheckpointDir().isEmpty():
+        return sc._jsc.sc().getCheckpointDir().get()
     if current:
         if sc._jsc.sc().getCheckpointDir().isEmpty():
             sc.setCheckpointDir(current)
         return current
+    if not (fallback or sc.master.startswith("local")):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS, S3, ...)")
+    # local mode (tests, a laptop): a folder on this machine is the shared storage
     path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "promolens-checkpoints")
     sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
