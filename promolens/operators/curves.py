@@ -154,8 +154,9 @@ def score_histogram(df: DataFrame, score: str, label: str, bins: int = 40,
     0 -> 'Rejected')."""
     classes = classes or {1: "Accepted", 0: "Rejected"}
     name = F.create_map(*[x for k, v in classes.items() for x in (F.lit(k), F.lit(v))])
-    rows = df.where(F.col(label).isin(list(classes))).select(
-        F.element_at(name, F.col(label)).alias("class_label"), F.col(score).cast("double").alias("x"))
+    # narrow (class, score) rows are read twice (ranges, then bins): materialise once
+    rows = reliable_checkpoint(df.where(F.col(label).isin(list(classes))).select(
+        F.element_at(name, F.col(label)).alias("class_label"), F.col(score).cast("double").alias("x")))
     rng = rows.groupBy("class_label").agg(F.min("x").alias("mn0"), F.max("x").alias("mx0"))
     same = F.col("mn0") == F.col("mx0")
     rng = rng.select("class_label",
