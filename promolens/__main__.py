@@ -1,9 +1,9 @@
 """Command line entry for spark-submit.
 
-    spark-submit -m promolens pipeline --data proposals.csv --budget 500000 --out /shared/out
-    spark-submit -m promolens evaluate --proposals p.csv --scores /shared/out/proposal_accept_scores \
+    spark-submit --py-files promolens.zip promolens/__main__.py pipeline --data proposals.csv --budget 500000 --out /shared/out
+    spark-submit --py-files promolens.zip promolens/__main__.py evaluate --proposals p.csv --scores /shared/out/proposal_accept_scores \
         --selection /shared/out/proposal_selection --outdir /shared/eval
-    spark-submit -m promolens reports --tables /shared/sales --out /shared/reports
+    spark-submit --py-files promolens.zip promolens/__main__.py reports --tables /shared/sales --out /shared/reports
 
 Options mirror the reference command line; outputs go to shared storage.
 """
