@@ -56,3 +56,12 @@ def test_exact_quantiles_match_numpy(spark):
 def test_exact_quantiles_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}
+
+
+def test_running_sums_independent_of_partitioning(spark):
+    df = _data(spark, n=1500)
+    results = []
+    for parts in (1, 7, 23):
+        got = running_sums(df.repartition(parts), "k", {"s": F.col("v")}, tiebreak="tie", rows_per_bucket=150)
+        results.append(sorted((r["id"], r["cum_s"]) for r in got.collect()))
+    assert results[0] == results[1] == results[2]
