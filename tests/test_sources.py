@@ -23,3 +23,18 @@ def test_adapter_money_is_exact(spark):
     bad = d.where(F.col("LineTotal") != F.col("UnitPrice") * F.col("OrderQty") * (1 - F.col("UnitPriceDiscount")))
     assert bad.count() == 0
     assert dict(d.dtypes)["UnitPrice"] == "decimal(19,4)"
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    t = SalesTables.from_testdata(spark, SF_SMALL)
+    b = t.save_bucketed("promolens_test_db", 4, path=str(tmp_path / "wh"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # behave as with large tables
+    try:
+        q = (b.sales_order_header.join(b.sales_order_detail, "SalesOrderID")
+             .groupBy("SalesOrderID").agg(F.count("*").alias("n")))
+        plan = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert q.count() == t.sales_order_header.join(t.sales_order_detail, "SalesOrderID").select("SalesOrderID").distinct().count()
