@@ -26,7 +26,9 @@ def score_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame
     """One row per distinct score: positives, negatives at that score and
     cumulated over all scores >= it (tp, fp), with class totals P, N."""
     # One row per distinct score, read by three jobs below: materialise once.
-    g = reliable_checkpoint(df.groupBy(F.col(score).alias("threshold")).agg(
+    # A row without a score (NULL or NaN) has no place on a curve.
+    scored = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
+    g = reliable_checkpoint(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_pos(label, positive)).cast("bigint").alias("pos_at"),
         F.sum(1 - _pos(label, positive)).cast("bigint").alias("neg_at")))
     cum = running_sums(g, "threshold", {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, descending=True,
@@ -190,7 +192,8 @@ def lift_gain(df: DataFrame, id_col: str, score: str, label: str, tiebreak: str,
     """Per row in descending score order (ties by the uniform ``tiebreak``
     hash): % of population, % of positives captured (gain) and lift."""
     # narrow rows read by the totals, the bucket bounds and the window
-    base = reliable_checkpoint(df.select(id_col, score, tiebreak, _pos(label, positive).alias("_y")))
+    base = reliable_checkpoint(df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
+                               .select(id_col, score, tiebreak, _pos(label, positive).alias("_y")))
     tot = base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("P"))
     trow = tot.first()
     cum = running_sums(base, score, {"i": F.lit(1), "cum_pos": F.col("_y")}, descending=True,
