@@ -56,7 +56,7 @@ def main(argv=None) -> None:
 
     if args.cmd == "pipeline":
         from promolens.plans.evaluation import report_text
-        from promolens.plans.pipeline import run_pipeline
+        from promolens.plans.job import run_pipeline
 
         cfg = PipelineConfig(budget=args.budget, skip_kmeans=args.skip_kmeans, opt_top_n=args.opt_top_n,
                              model=args.model, oversample=args.oversample, out_dir=args.out)

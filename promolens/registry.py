@@ -18,7 +18,7 @@ from promolens.config import FIXTURE_PARAMS as P
 from promolens.functions.hashing import hash_key, unit_score
 from promolens.operators import curves, knapsack, sampling
 from promolens.config import PipelineConfig
-from promolens.plans import features, model, monthly, pipeline, proposals, reports, segments
+from promolens.plans import features, job, model, monthly, proposals, reports, segments
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, table_row_counts
 
@@ -155,7 +155,7 @@ def _segments(t: SalesTables) -> DataFrame:
 
 
 def _run_report(t: SalesTables) -> DataFrame:
-    return pipeline.run_pipeline(proposal_text(t), QUERY_MODEL).report
+    return job.run_pipeline(proposal_text(t), QUERY_MODEL).report
 
 
 QUERIES: dict[str, Query] = {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from promolens.config import PipelineConfig
 from promolens.plans.evaluation import evaluation_frame, evaluation_tables, report_text
-from promolens.plans.pipeline import run_pipeline
+from promolens.plans.job import run_pipeline
 from promolens.sources.csv import read_proposals_csv, write_csv
 
 
