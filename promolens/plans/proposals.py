@@ -54,11 +54,14 @@ def proposals(t: SalesTables, as_of: dt.date | None = None, extra_columns: bool
                                             F.col("Name").alias("ProductCategory")), "p_cat", "left")
             .select("ProductID", "StandardCost", "ProductCategory"))
     cm = customer_metrics(t, as_of)
+    # Customer attributes and metrics are both one row per customer: join
+    # them first (full outer keeps either side), so the lines are shuffled
+    # on the customer key once instead of twice.
+    info = cust.join(cm, "CustomerID", "full")
     rows = (d.join(h, "SalesOrderID", "inner")
-            .join(cust, "CustomerID", "left")
             .join(st, "TerritoryID", "left")
             .join(prod, "ProductID", "left")
-            .join(cm, "CustomerID", "left"))
+            .join(info, "CustomerID", "left"))
     cols = [
         F.col("SalesOrderDetailID").alias("ProposalID"),
         F.col("LineTotal").alias("ProposalAmount"),
