@@ -60,7 +60,7 @@ def _money_total(c: F.Column) -> F.Column:
 
 def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID", cost: str = "Cost",
                          amount: str = "ProposalAmount", prob: str = "accept_prob", fill_rounds: int = 10,
-                         top_n: int | None = None, rows_per_bucket: int = 2_000_000) -> SelectionResult:
+                         top_n: int | None = None, rows_per_bucket: int = 250_000) -> SelectionResult:
     b = Decimal(str(budget)).quantize(Decimal("0.000001"))
     cand = (expected_values(df, amount, cost, prob)
             .where(F.col("expected_profit") > 0)

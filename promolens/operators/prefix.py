@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from promolens.functions.hashing import HASH_BITS
 
-MAX_BUCKETS = 20_000
+MAX_BUCKETS = 100_000
 
 
 def running_sums(df: DataFrame, key: str, values: dict[str, Column], *, descending: bool = False,
-                 tiebreak: str | None = None, rows_per_bucket: int = 2_000_000,
+                 tiebreak: str | None = None, rows_per_bucket: int = 250_000,
                  prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
     """Add ``<prefix><name>`` = inclusive running sum of each value in the
     order (key asc/desc, tiebreak asc). ``key`` must be a non-NULL,
