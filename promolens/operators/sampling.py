@@ -47,7 +47,9 @@ def _kth_smallest(df: DataFrame, key: str, group: str, quotas: dict) -> dict:
             acc = before
             for b, n in sorted(by_group.get(g, [])):
                 if acc + n >= q:
-                    if n <= SMALL:
+                    if len(p + b) >= 32:  # whole key fixed: every row of the bucket has this key
+                        out[g] = p + b
+                    elif n <= SMALL:
                         keys = sorted(r[0] for r in df.where((F.col(group) == F.lit(g))
                                                               & F.col(key).startswith(p + b))
                                       .select(key).collect())

@@ -60,3 +60,12 @@ def test_oversample_to_parity(spark, frame):
 def test_balanced_weights():
     w = sampling.balanced_weights({0: 300, 1: 100})
     assert w == {0: 400 / 600, 1: 400 / 200}
+
+
+def test_duplicated_ids_terminate(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SMALL", 3)
+    rows = [("same", 0)] * 40 + [(f"x{i}", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "ProposalID string, label int")
+    s = sampling.smallest_by_hash(df, "label", {0: (35, 70)}, "ProposalID", 42)
+    got = s.where("_in").count()
+    assert got >= 35  # identical keys are taken together
