@@ -31,9 +31,9 @@ def score_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame
     g = reliable_checkpoint(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_pos(label, positive)).cast("bigint").alias("pos_at"),
         F.sum(1 - _pos(label, positive)).cast("bigint").alias("neg_at")))
+    tot = g.agg(F.count(F.lit(1)).alias("n"), F.sum("pos_at").alias("P"), F.sum("neg_at").alias("N")).first()
     cum = running_sums(g, "threshold", {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, descending=True,
-                       prefix="")
-    tot = g.agg(F.sum("pos_at").alias("P"), F.sum("neg_at").alias("N")).first()  # one row
+                       prefix="", n_rows=tot["n"])
     return cum.withColumns({"P": F.lit(int(tot["P"] or 0)).cast("bigint"),
                             "N": F.lit(int(tot["N"] or 0)).cast("bigint")})
 
