@@ -1,7 +1,6 @@
 """Driver contract and oracle agreement on the smallest scale factor."""
 
 import math
-import os
 
 import duckdb
 import pytest

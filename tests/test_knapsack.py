@@ -2,7 +2,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from promolens.operators.knapsack import select_within_budget
 

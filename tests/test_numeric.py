@@ -1,6 +1,5 @@
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from promolens.functions.numeric import clip, coerce_numeric, nan_inf_to_null, safe_ratio

@@ -36,7 +36,6 @@ def test_running_sums_equal_plain_window(spark, descending, rows_per_bucket):
 def test_running_sums_bounded_tasks(spark):
     # with small buckets no (bucket, piece) holds much more than its share despite the hot value
     df = _data(spark, n=4000)
-    from promolens.operators import prefix
     got = running_sums(df, "k", {"n": F.lit(1)}, tiebreak="tie", rows_per_bucket=200)
     assert got.count() == 4000
 
