@@ -39,7 +39,10 @@ def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> S
     missing = [c for c in feature_cols if c not in df.columns]
     if missing:
         return SegmentInputs(None, [], 0, f"missing cols: {missing}")
-    x = df.select(id_col, *[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in feature_cols])
+    # narrow (id, features) rows feed five aggregate passes and the final
+    # assignment: materialise them once instead of re-running the upstream plan
+    x = reliable_checkpoint(
+        df.select(id_col, *[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in feature_cols]))
     usable = x.agg(F.count(F.lit(1)).alias("n"),
                    F.count_if(F.coalesce(*[F.col(c).isNotNull() for c in feature_cols], F.lit(False))).alias("u")
                    ).first()
