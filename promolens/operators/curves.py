@@ -41,7 +41,10 @@ def score_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame
 def pr_curve(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """(threshold, precision, recall) for every distinct score, plus the
     end point (NULL, 1.0, 0.0)."""
-    p = score_points(df, score, label, positive)
+    return _pr_from_points(score_points(df, score, label, positive))
+
+
+def _pr_from_points(p: DataFrame) -> DataFrame:
     pts = p.select(
         "threshold",
         (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
@@ -68,7 +71,10 @@ def roc_auc(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """Area under the ROC curve, ties counted half: sum over scores of
     positives x (2 x negatives below + negatives at), over 2PN, summed in
     exact integers (decimal(38,0)) and divided once."""
-    p = score_points(df, score, label, positive)
+    return _auc_from_points(score_points(df, score, label, positive))
+
+
+def _auc_from_points(p: DataFrame) -> DataFrame:
     term = (F.col("pos_at").cast("decimal(38,0)")
             * (F.lit(2) * (F.col("N") - F.col("fp")) + F.col("neg_at")).cast("decimal(38,0)"))
     return p.agg(F.sum(term).alias("num"), F.first("P").alias("P"), F.first("N").alias("N")).select(
@@ -79,14 +85,21 @@ def roc_auc(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
 def average_precision(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """Sum over thresholds of (recall step) x precision, without
     interpolation."""
-    p = score_points(df, score, label, positive)
+    return _ap_from_points(score_points(df, score, label, positive))
+
+
+def _ap_from_points(p: DataFrame) -> DataFrame:
     term = (F.col("pos_at").cast("double") / F.col("P").cast("double")) * (
         F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double"))
     return p.agg(F.sum(term).alias("average_precision"))
 
 
 def f1_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
-    pr = pr_curve(df, score, label, positive).where(F.col("threshold").isNotNull())
+    return _f1_from_points(score_points(df, score, label, positive))
+
+
+def _f1_from_points(p: DataFrame) -> DataFrame:
+    pr = _pr_from_points(p).where(F.col("threshold").isNotNull())
     f1 = (F.lit(2.0) * F.col("precision") * F.col("recall")) / (F.col("precision") + F.col("recall") + F.lit(EPS))
     return pr.withColumn("f1", f1)
 
@@ -94,12 +107,28 @@ def f1_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
 def best_f1_threshold(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """Threshold with the highest F1 (the end point excluded); the lowest
     threshold wins a tie."""
-    return (f1_points(df, score, label, positive)
-            .orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
+    return _best_from_f1(_f1_from_points(score_points(df, score, label, positive)))
+
+
+def _best_from_f1(f: DataFrame) -> DataFrame:
+    return (f.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
             .select(F.col("threshold").alias("best_threshold"), F.col("f1").alias("best_f1"),
                     "precision", "recall"))
 
 
+def binary_summary(df: DataFrame, score: str, label: str, positive=1) -> dict:
+    """AUC, average precision and the best-F1 threshold from one pass of
+    curve points (materialised once, read three times)."""
+    p = reliable_checkpoint(score_points(df, score, label, positive))
+    best = _best_from_f1(_f1_from_points(p)).first()
+    return {
+        "auc": _auc_from_points(p).first()["roc_auc"],
+        "pr_auc": _ap_from_points(p).first()["average_precision"],
+        "best_threshold": best["best_threshold"] if best else None,
+        "best_f1": best["best_f1"] if best else None,
+    }
+
+
 def classification_report(df: DataFrame, score: str, label: str, threshold: Column | float,
                           positive=1, names: tuple[str, str] = ("Accepted", "Rejected")) -> DataFrame:
     """Per-class precision, recall, F1 and support at ``score >=

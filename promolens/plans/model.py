@@ -107,10 +107,9 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     model = Pipeline(stages=stages + [make_classifier(cfg)]).fit(train)
 
     ev = reliable_checkpoint(p_positive(model.transform(test)).select("ProposalID", "label", "reject_prob"))
-    auc = curves.roc_auc(ev, "reject_prob", "label", 1).first()["roc_auc"]
-    pr_auc = curves.average_precision(ev, "reject_prob", "label", 1).first()["average_precision"]
-    best = curves.best_f1_threshold(ev, "reject_prob", "label", 1).first()
-    thr, f1 = (best["best_threshold"], best["best_f1"]) if best else (0.5, 0.0)
+    summ = curves.binary_summary(ev, "reject_prob", "label", 1)
+    auc, pr_auc = summ["auc"], summ["pr_auc"]
+    thr, f1 = (summ["best_threshold"], summ["best_f1"]) if summ["best_threshold"] is not None else (0.5, 0.0)
     report = curves.classification_report(ev, "reject_prob", "label", thr, 1, names=("Accepted", "Rejected"))
 
     scored = (p_positive(model.transform(data))
