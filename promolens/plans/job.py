@@ -39,7 +39,7 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
     spark = proposals_df.sparkSession
     feats = add_features(proposals_df)
     tr = train_and_score(feats, cfg)
-    scored = reliable_checkpoint(tr.scored)  # reused by segmentation, selection and the sink
+    scored = reliable_checkpoint(tr.scored, spread=True)  # reused by segmentation, selection and the sink
 
     if cfg.skip_kmeans:
         seg = SegmentResult(None, None, None, "skipped by flag", [])

@@ -88,7 +88,7 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     require_columns(df, CLASSIFIER_REQUIRED, "classifier")
     # The feature frame feeds a dozen jobs (bounds, sample thresholds, fit,
     # scoring): materialise it once in the shared checkpoint folder.
-    df = reliable_checkpoint(df)
+    df = reliable_checkpoint(df, spread=True)
     bounds = clip_bounds(df)
     data = rejection_label(winsorize(df, bounds))
     cats, nums = feature_columns(data)
@@ -96,7 +96,7 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
     sample = sampling.balanced_sample(data, "label", "ProposalID", neg_ratio=cfg.neg_ratio, seed=cfg.seed,
                                       cap=cfg.max_train_rows)
     split = sampling.stratified_split(sample, "label", "ProposalID", cfg.test_fraction, seed=f"{cfg.seed}-split")
-    split = reliable_checkpoint(split)  # cut lineage: reused by fit, medians and evaluation
+    split = reliable_checkpoint(split, spread=True)  # cut lineage: reused by fit, medians and evaluation
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     if cfg.oversample:

@@ -54,14 +54,15 @@ def proposals(t: SalesTables, as_of: dt.date | None = None, extra_columns: bool
                                             F.col("Name").alias("ProductCategory")), "p_cat", "left")
             .select("ProductID", "StandardCost", "ProductCategory"))
     cm = customer_metrics(t, as_of)
-    # Customer attributes and metrics are both one row per customer: join
-    # them first (full outer keeps either side), so the lines are shuffled
-    # on the customer key once instead of twice.
-    info = cust.join(cm, "CustomerID", "full")
+    # Join order for large inputs: the product join (on ProductID) comes
+    # before the two customer-keyed joins, so after the first of those the
+    # lines are already partitioned on CustomerID and the second one does
+    # not shuffle them again; small dimensions are broadcast by the planner.
     rows = (d.join(h, "SalesOrderID", "inner")
-            .join(st, "TerritoryID", "left")
             .join(prod, "ProductID", "left")
-            .join(info, "CustomerID", "left"))
+            .join(st, "TerritoryID", "left")
+            .join(cust, "CustomerID", "left")
+            .join(cm, "CustomerID", "left"))
     cols = [
         F.col("SalesOrderDetailID").alias("ProposalID"),
         F.col("LineTotal").alias("ProposalAmount"),

@@ -42,7 +42,7 @@ def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> S
     # narrow (id, features) rows feed five aggregate passes and the final
     # assignment: materialise them once instead of re-running the upstream plan
     x = reliable_checkpoint(
-        df.select(id_col, *[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in feature_cols]))
+        df.select(id_col, *[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in feature_cols]), spread=True)
     usable = x.agg(F.count(F.lit(1)).alias("n"),
                    F.count_if(F.coalesce(*[F.col(c).isNotNull() for c in feature_cols], F.lit(False))).alias("u")
                    ).first()
@@ -85,7 +85,7 @@ def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), sample_rows: int
                                             seed).where(F.col("_in")).drop("_in", "_all"))
     else:
         sample = vec
-    sample = reliable_checkpoint(sample.select(id_col, "features"))  # bounded: at most sample_rows rows
+    sample = reliable_checkpoint(sample.select(id_col, "features"), spread=True)  # bounded: at most sample_rows rows
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = (None, -1.0, None)
     scores = []

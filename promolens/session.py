@@ -66,8 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
-def reliable_checkpoint(df):
+def reliable_checkpoint(df, spread: bool = False):
     """Materialise ``df`` into the shared checkpoint folder and cut its
-    lineage (survives the loss of the executors that computed it)."""
+    lineage (survives the loss of the executors that computed it).
+
+    AQE packs a small result into few partitions; the steps that read a
+    checkpoint (model fitting, scoring, several passes) would then run on
+    one core. With ``spread``, a checkpoint with fewer partitions than the
+    default parallelism is redistributed and written again. Few partitions
+    after coalescing means little data, so this costs little, and a large
+    result (many partitions) is left as it is."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    ck = df.checkpoint(eager=True)
+    if spread:
+        dp = df.sparkSession.sparkContext.defaultParallelism
+        if ck.rdd.getNumPartitions() < dp:
+            ck = ck.repartition(dp).checkpoint(eager=True)
+    return ck
