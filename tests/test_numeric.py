@@ -49,3 +49,37 @@ def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(v,) for v in [None, -5.0, 0.5, 7.0]], "x double")
     out = [r["c"] for r in df.select(clip(F.col("x"), 0.0, 1.0).alias("c")).collect()]
     assert out == [None, 0.0, 0.5, 1.0]
+
+
+def _rule(text):
+    """Plain-Python statement of the dirty-number rule, for comparison."""
+    import re
+    if text is None:
+        return None
+    s = re.sub(r"[^0-9,.\-]", "", text.strip())
+    if "," in s and "." not in s:
+        s = s.replace(",", ".")
+    s = s.replace(",", "")
+    if not re.fullmatch(r"-?(\d+\.?\d*|\.\d+)", s):
+        return None
+    return float(s)
+
+
+def test_coerce_matches_rule_on_random_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = []
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(alphabet="0123456789,.-$ ()eE", max_size=12))
+    def collect(t):
+        texts.append(t)
+
+    collect()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r["i"]: r["v"] for r in df.select("i", coerce_numeric(F.col("s")).alias("v")).collect()}
+    for i, t in enumerate(texts):
+        want = _rule(t)
+        assert (got[i] is None and want is None) or (got[i] is not None and want is not None
+                                                     and math.isclose(got[i], want)), (t, got[i], want)
