@@ -30,6 +30,7 @@ from promolens.operators.prefix import running_sums
 from promolens.session import reliable_checkpoint
 
 MONEY = T.DecimalType(38, 6)
+BROADCAST_ROWS = 1_000_000  # fill-round picks are counted; below this they are broadcast
 
 
 @dataclass
@@ -76,51 +77,67 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
     # The candidates are read by every round and by the final flagging.
     cand = reliable_checkpoint(cand)
     # A proposal dearer than the whole budget can never be chosen.
-    items = cand.where(F.col("_c") <= F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p")
+    items = cand.where(F.col("_c") <= F.lit(b))
 
-    def take_prefix(pool: DataFrame, left: Decimal) -> DataFrame:
-        r = running_sums(pool, "_eff", {"_cum": F.col("_c")}, descending=True, tiebreak="_tie",
-                         rows_per_bucket=rows_per_bucket, prefix="")
-        return r
+    def take_prefix(pool: DataFrame) -> DataFrame:
+        return running_sums(pool, "_eff", {"_cum": F.col("_c")}, descending=True, tiebreak="_tie",
+                            rows_per_bucket=rows_per_bucket, prefix="")
 
-    r0 = reliable_checkpoint(take_prefix(items, b))
-    chosen0 = r0.where(F.col("_cum") <= F.lit(b))
-    s0 = chosen0.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p"), F.count(F.lit(1)).alias("n")).first()
+    # Round 0: the longest prefix in efficiency order that fits the budget.
+    r0 = reliable_checkpoint(take_prefix(items))
+    s0 = r0.where(F.col("_cum") <= F.lit(b)).agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
     used = s0["c"] or Decimal(0)
     profit = s0["p"] or Decimal(0)
     # LP bound: the fitting fraction of the first proposal that did not fit.
     nxt = r0.where(F.col("_cum") > F.lit(b)).orderBy(F.desc("_eff"), F.asc("_tie")).select("_c", "_p").first()
     lp_bound = float(profit) + (float((b - used) / nxt["_c"]) * float(nxt["_p"]) if nxt and nxt["_c"] > 0 else 0.0)
 
-    fills = []
+    # Fill rounds: the same step on what is left and still fits. The rows a
+    # round does not take (cum > left) are exactly the next round's pool.
+    fills: list[DataFrame] = []
+    n_fill = 0
     left = b - used
     pool = r0.where(F.col("_cum") > F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p")
     for _ in range(fill_rounds):
         pool = reliable_checkpoint(pool.where(F.col("_c") <= F.lit(left)))
         if pool.isEmpty():
             break
-        r = take_prefix(pool, left)
-        got = reliable_checkpoint(r.where(F.col("_cum") <= F.lit(left)).select(id_col, "_c", "_p"))
-        s = got.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
+        r = reliable_checkpoint(take_prefix(pool))
+        s = r.where(F.col("_cum") <= F.lit(left)).agg(
+            F.sum("_c").alias("c"), F.sum("_p").alias("p"), F.count(F.lit(1)).alias("n")).first()
         if s["c"] is None:
             break
-        fills.append(got.select(id_col))
+        fills.append(r.where(F.col("_cum") <= F.lit(left)).select(id_col))
+        n_fill += s["n"]
         used += s["c"]
         profit += s["p"]
+        pool = r.where(F.col("_cum") > F.lit(left)).select(id_col, "_eff", "_tie", "_c", "_p")
         left = b - used
-        pool = pool.join(got.select(id_col), id_col, "left_anti")
 
     best = items.orderBy(F.desc("_p"), F.asc("_tie")).select(id_col, "_c", "_p").first()
-    chosen_ids = chosen0.select(id_col)
-    for f in fills:
-        chosen_ids = chosen_ids.unionByName(f)
+    internals = ["_eff", "_tie", "_c", "_p"]
     if best is not None and best["_p"] > profit:
-        chosen_ids = items.where(F.col(id_col) == F.lit(best[id_col])).select(id_col)
+        # one proposal alone beats the greedy total (1/2-approximation guard)
         used, profit = best["_c"], best["_p"]
-    chosen_ids = chosen_ids.withColumn("selected", F.lit(1))
-    selection = (cand.join(chosen_ids, id_col, "left")
-                 .withColumn("selected", F.coalesce(F.col("selected"), F.lit(0)))
-                 .drop("_eff", "_tie", "_c", "_p"))
+        selection = cand.withColumn("selected", F.when(F.col(id_col) == F.lit(best[id_col]), 1).otherwise(0))
+    else:
+        # Flags come from the round-0 prefix itself (no join of all
+        # candidates); only the fill-round picks are joined back, broadcast
+        # when their counted size allows.
+        base = r0.withColumn("selected", F.when(F.col("_cum") <= F.lit(b), 1).otherwise(0)).drop("_cum")
+        dear = cand.where(F.col("_c") > F.lit(b)).withColumn("selected", F.lit(0))
+        selection = base.unionByName(dear)
+        if fills:
+            picked = fills[0]
+            for f in fills[1:]:
+                picked = picked.unionByName(f)
+            picked = picked.withColumn("_fill", F.lit(1))
+            if n_fill <= BROADCAST_ROWS:
+                picked = F.broadcast(picked)
+            selection = (selection.join(picked, id_col, "left")
+                         .withColumn("selected", F.when(F.col("_fill") == 1, 1).otherwise(F.col("selected")))
+                         .drop("_fill"))
+    selection = selection.drop(*internals)
     bound = max(lp_bound, float(profit))
     totals = (selection.where(F.col("selected") == 1)
               .agg(F.count(F.lit(1)).alias("selected_count"),
