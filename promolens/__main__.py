@@ -36,6 +36,7 @@ def main(argv=None) -> None:
     p.add_argument("--opt-top-n", type=int, default=None, help="optional cap on selection candidates")
     p.add_argument("--model", choices=["rf", "gbt", "lightgbm"], default="gbt")
     p.add_argument("--oversample", action="store_true")
+    p.add_argument("--format", choices=["parquet", "csv"], default="parquet", help="output table format")
 
     e = sub.add_parser("evaluate", help="curve, histogram, lift/gain and selection tables")
     e.add_argument("--proposals", required=True)
@@ -59,7 +60,8 @@ def main(argv=None) -> None:
         from promolens.plans.job import run_pipeline
 
         cfg = PipelineConfig(budget=args.budget, skip_kmeans=args.skip_kmeans, opt_top_n=args.opt_top_n,
-                             model=args.model, oversample=args.oversample, out_dir=args.out)
+                             model=args.model, oversample=args.oversample, out_dir=args.out,
+                             output_format=args.format)
         out = run_pipeline(_read_any(spark, args.data), cfg)
         print(report_text(out.report))
     elif args.cmd == "evaluate":

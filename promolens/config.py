@@ -68,4 +68,5 @@ class PipelineConfig:
     segment_features: tuple[str, ...] = ("Purchases", "AvgOrderValue", "PromoResponseRate", "Recency")
     fill_rounds: int = 10
     out_dir: str | None = None
+    output_format: str = "parquet"  # or "csv" (header line, one part file per task)
     extra: dict = field(default_factory=dict)

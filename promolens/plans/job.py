@@ -68,14 +68,23 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
                                    "section string, metric string, value double")
     out = PipelineOutputs(scored, segmented, sel.selection, report, tr, seg, sel)
     if cfg.out_dir:
-        save_outputs(out, cfg.out_dir)
+        save_outputs(out, cfg.out_dir, cfg.output_format)
     return out
 
 
-def save_outputs(out: PipelineOutputs, out_dir: str) -> None:
-    """Sinks: three tables, the fitted pipeline and the run report."""
-    out.scored.write.mode("overwrite").parquet(os.path.join(out_dir, "proposal_accept_scores"))
-    out.segmented.write.mode("overwrite").parquet(os.path.join(out_dir, "customer_segments"))
-    out.selection.write.mode("overwrite").parquet(os.path.join(out_dir, "proposal_selection"))
+def save_outputs(out: PipelineOutputs, out_dir: str, fmt: str = "parquet") -> None:
+    """Sinks: three tables, the fitted pipeline and the run report, written
+    by the executors (a folder of part files per table)."""
+    def write(df: DataFrame, name: str) -> None:
+        w = df.write.mode("overwrite")
+        path = os.path.join(out_dir, name)
+        if fmt == "csv":
+            w.option("header", True).csv(path)
+        else:
+            w.parquet(path)
+
+    write(out.scored, "proposal_accept_scores")
+    write(out.segmented, "customer_segments")
+    write(out.selection, "proposal_selection")
     out.train.model.write().overwrite().save(os.path.join(out_dir, "proposal_model"))
     out.report.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "model_report"))

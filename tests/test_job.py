@@ -64,8 +64,12 @@ def test_evaluation_needs_labels(spark, raw):
         evaluation_frame(props, scores, sel)
 
 
-def test_skip_kmeans_flag(spark, raw):
-    out = run_pipeline(raw, PipelineConfig(model="rf", rf_num_trees=10, skip_kmeans=True, budget=5_000.0))
+def test_skip_kmeans_flag(spark, raw, tmp_path):
+    out_dir = str(tmp_path / "csv_out")
+    out = run_pipeline(raw, PipelineConfig(model="rf", rf_num_trees=10, skip_kmeans=True, budget=5_000.0,
+                                           out_dir=out_dir, output_format="csv"))
+    back = read_proposals_csv(spark, os.path.join(out_dir, "proposal_selection"))
+    assert back.count() == out.selection.count()
     assert out.segments.reason == "skipped by flag"
     assert out.segmented.where(F.col("segment").isNotNull()).count() == 0
     assert "Segmentation skipped" in report_text(out.report)
