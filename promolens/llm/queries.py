@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promolens.llm import packing, token_index
+from promolens.llm import jaccard_join, packing, token_index
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +30,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.op4_digest(spark, _table(spark, sf_dir, "documents"), scratch(spark, "ids"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(_table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": op2,
     "op4_token_index": op4,
+    "op10_jaccard_join": op10,
 }
 
 ORACLES: dict[str, str] = {}
