@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from promolens.llm import jaccard_join, packing, token_index
+from promolens.llm import jaccard_join, packing, token_index, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.op4_digest(spark, _table(spark, sf_dir, "documents"), scratch(spark, "ids"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = windows.remove_repeats(_table(spark, sf_dir, "documents"), 35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(_table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
 
@@ -37,6 +43,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": op2,
     "op4_token_index": op4,
+    "op6_repeated_windows": op6,
     "op10_jaccard_join": op10,
 }
 
