@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import jaccard_join, packing, token_index, windows
+from promolens.llm import jaccard_join, packing, pq_dedup, token_index, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.op4_digest(spark, _table(spark, sf_dir, "documents"), scratch(spark, "ids"), _tokenizer("byte_bpe_50k.json"))
 
@@ -42,6 +46,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": op2,
+    "op3_pq_near_duplicates": op3,
     "op4_token_index": op4,
     "op6_repeated_windows": op6,
     "op10_jaccard_join": op10,
