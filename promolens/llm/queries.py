@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import jaccard_join, packing, pq_dedup, sharding, token_index, windows
+from promolens.llm import decontaminate, jaccard_join, packing, pq_dedup, sharding, token_index, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), 16)
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op3_pq_near_duplicates": op3,
     "op4_token_index": op4,
     "op6_repeated_windows": op6,
+    "op7_benchmark_matches": op7,
     "op9_balanced_sharding": op9,
     "op10_jaccard_join": op10,
 }
