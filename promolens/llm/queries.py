@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import decontaminate, jaccard_join, packing, pq_dedup, sharding, token_index, windows
+from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pq_dedup, sharding, token_index, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = cotraining.fit(docs, _table(spark, sf_dir, "labels"))
+    return cotraining.classify(docs, model).select("doc_id", "text_score", "page_score", "score", "kept")
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), 16)
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_index": op4,
     "op6_repeated_windows": op6,
     "op7_benchmark_matches": op7,
+    "op8_cotraining_quality": op8,
     "op9_balanced_sharding": op9,
     "op10_jaccard_join": op10,
 }
