@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pq_dedup, sharding, token_index, windows
+from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pii, pq_dedup, sharding, token_index, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
@@ -59,6 +63,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_contextual_pii": op1,
     "op2_harmonic_packing": op2,
     "op3_pq_near_duplicates": op3,
     "op4_token_index": op4,
