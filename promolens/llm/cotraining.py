@@ -147,7 +147,7 @@ class Model:
     def page_features(self, numbers: np.ndarray, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         n = len(numbers)
         cols = [np.searchsorted(self.edges[k], numbers[:, k]) + k * BINS for k in range(NUMBERS)]
-        cols += [part.column(c).to_numpy() + NUMBERS * BINS + k * NAMED for k, c in enumerate(("lang_at", "source_at"))]
+        cols += [part.column(c).to_numpy() + NUMBERS * BINS + k * NAMED for k, c in enumerate(("__lang", "__source"))]
         return np.tile(np.arange(n), len(cols)), np.concatenate(cols).astype(np.int64)
 
     def logits(self, text: tuple, page: tuple, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ class Model:
 
 def _prepared(docs: DataFrame) -> DataFrame:
     place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(NAMED)) if c in docs.columns else F.lit(0).cast("long")
-    return docs.withColumns({"lang_at": place("lang"), "source_at": place("source")})
+    return docs.withColumns({"__lang": place("lang"), "__source": place("source")})
 
 
 def _wanted(labels: DataFrame, fit_rows: int) -> DataFrame:
@@ -205,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
     """Co-trains both views on ``docs`` (doc_id, text; lang and source if there)
     and ``labels`` (doc_id, quality, toxic; bad: quality 0 or toxic 1)."""
     spark = docs.sparkSession
-    docs = _prepared(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang_at", "source_at")
+    docs = _prepared(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__lang", "__source")
     wanted = staged(_wanted(labels, fit_rows), "labelled")
     labelled = docs.join(F.broadcast(wanted), "doc_id")  # fit_rows rows at most
     seen = labelled.agg(F.sum("bad").alias("b"), F.count(F.lit(1)).alias("n")).first()
@@ -283,24 +283,23 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
 
 def classify(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """``docs`` with text_score, page_score, score (chance to be good) and kept
-    (score >= least), in one pass over every row.
+    (score >= least), in one pass over every row. Columns of ``docs`` with
+    these names are replaced; other columns stay.
 
     A null text has no words. Without labelled documents of both classes every
     score is the share of good ones among those there are (1 if none)."""
-    spark = docs.sparkSession
-    names = docs.columns
-    shared = spark.sparkContext.broadcast(model)
-    ready = _prepared(docs)
-    ready = ready.select(*[F.col(c).alias(f"in_{k}") for k, c in enumerate(names)], F.col("text").alias("text"), "lang_at", "source_at")
+    new = ["text_score", "page_score", "score", "kept"]
+    shared, names = docs.sparkSession.sparkContext.broadcast(model), [c for c in docs.columns if c not in new]
+    kinds = dict(docs.dtypes)
+    # by number: a column's own name may be anything
+    ready = _prepared(docs).select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"in_{k}") for k, c in enumerate(names)], "__lang", "__source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             a, b, s = shared.value.score(part)
             yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(a), pa.array(b), pa.array(s), pa.array(s >= least)],
-                                             names=[*[f"in_{k}" for k in range(len(names))], "text_score", "page_score", "score", "kept"])
+                                             names=[*part.schema.names[: len(names)], *[f"out_{c}" for c in new]])
 
-    kinds = ", ".join(f"in_{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields))
-    out = ready.mapInArrow(run, f"{kinds}, text_score double, page_score double, score double, kept boolean")
-    for k, c in enumerate(names):
-        out = out.withColumnRenamed(f"in_{k}", c)
-    return out
+    given = [f"{'text' if c == 'text' else f'in_{k}'} {kinds[c]}" for k, c in enumerate(names)]
+    out = ready.mapInArrow(run, ", ".join([*given, "out_text_score double", "out_page_score double", "out_score double", "out_kept boolean"]))
+    return out.select(*[F.col("text" if c == "text" else f"in_{k}").alias(c) for k, c in enumerate(names)], *[F.col(f"out_{c}").alias(c) for c in new])

@@ -146,32 +146,30 @@ def _original(text: str, raw: bytes, start: int, end: int) -> tuple[int, int]:
     return spans[first][0], spans[min(last, len(spans) - 1)][1]
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Items(items))
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for part in slices(batches, "text"):
-            texts = part.column("text").fill_null("").to_pylist()
-            raws = [normal(t) for t in texts]
-            ends = np.cumsum([len(r) + 1 for r in raws])
-            found: dict[tuple[int, int], list] = {}
-            for seg, diagonal in known.regions(np.frombuffer(b"\0".join(raws) + b"\0", np.uint8)):
-                far = diagonal + 2 * known.band + len(known.text[seg])
-                first, last = (min(int(np.searchsorted(ends, max(0, x), "right")), len(raws) - 1) for x in (diagonal, far))
-                for d in range(first, last + 1):  # the band can touch the texts beside the one that filled it
-                    begin = int(ends[d]) - len(raws[d]) - 1
-                    hit = known.align(seg, raws[d], diagonal - begin)
-                    if hit:
-                        found.setdefault((d, known.item[seg]), []).append(hit)
-            rows: list[list] = [[], [], [], [], [], []]
-            for (d, item), hits in sorted(found.items()):
-                start, end = _original(texts[d], raws[d], min(h[1] for h in hits), max(h[2] for h in hits))
-                for c, v in zip(rows, (part.column("doc_id")[d].as_py(), item, len({h[1] for h in hits}), min(h[0] for h in hits), start, end), strict=True):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["doc_id", "item_id", "n_matches", "edits", "start", "end"])
-
-    return docs.mapInArrow(find, "doc_id long, item_id long, n_matches long, edits long, start long, end long")
+def _places(known: Items, texts: list[str]) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+    """(text number, item) -> (places, fewest edits, start, end)."""
+    raws = [normal(t) for t in texts]
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    found: dict[tuple[int, int], list] = {}
+    for seg, diagonal in known.regions(np.frombuffer(b"\0".join(raws) + b"\0", np.uint8)):
+        far = diagonal + 2 * known.band + len(known.text[seg])
+        first, last = (min(int(np.searchsorted(ends, max(0, x), "right")), len(raws) - 1) for x in (diagonal, far))
+        for d in range(first, last + 1):  # the band can touch the texts beside the one that filled it
+            hit = known.align(seg, raws[d], diagonal - (int(ends[d]) - len(raws[d]) - 1))
+            if hit:
+                found.setdefault((d, known.item[seg]), []).append(hit)
+    return {(d, item): (len({h[1] for h in hits}), min(h[0] for h in hits),
+                        *_original(texts[d], raws[d], min(h[1] for h in hits), max(h[2] for h in hits))) for (d, item), hits in found.items()}
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[Items]:
+    """The items in blocks of about BLOCK_BYTES, one at a time."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-total // BLOCK_BYTES))
+    for b in range(n):
+        block = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
+        yield Items([(r["item_id"], r["text"]) for r in block])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -185,9 +183,35 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     (a null doc_id stays null); an empty benchmark gives no row. Other columns
     are not read."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
-    parts = [_scan(docs, [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == b).collect()]) for b in range(blocks)]
-    return reduce(DataFrame.unionByName, parts)
+    names = ["doc_id", "item_id", "n_matches", "edits", "start", "end"]
+
+    def scan(items: Items) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches, "text"):
+                found = _places(shared.value, part.column("text").fill_null("").to_pylist())
+                rows = [(part.column("doc_id")[d].as_py(), item, *rest) for (d, item), rest in sorted(found.items())]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
+
+        return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+    return reduce(DataFrame.unionByName, map(scan, _blocks(benchmark)))
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that share a passage with an item; all columns
+    go along, and nothing is shuffled."""
+    names, schema = docs.columns, docs.schema
+    kinds = ", ".join(f"{'text' if f.name == 'text' else f'c{k}'} {f.dataType.simpleString()}" for k, f in enumerate(schema.fields))
+    for items in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], now=shared) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches, "text"):
+                bad = {d for d, _ in _places(now.value, part.column("text").fill_null("").to_pylist())}
+                yield part.filter(pa.array([d not in bad for d in range(part.num_rows)]))
+
+        numbered = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"c{k}") for k, c in enumerate(names)])
+        docs = numbered.mapInArrow(run, kinds).select(*[F.col("text" if c == "text" else f"c{k}").alias(c) for k, c in enumerate(names)])
+    return docs

@@ -287,12 +287,13 @@ def similar_pairs(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataF
 
 
 def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Per document: (doc_id, n_shingles, component_id, k1, k2).
+    """Per document: (doc_id, n_shingles, component_id, k1, k2, class).
 
     Documents link when den * |intersection| >= num * |union| of their sets
     of distinct ``size``-word shingles (A-Z folded; fewer words: the sequence
     as one). ``component_id`` is the smallest doc_id reachable, itself
-    included. Null and blank texts have no shingle and stand alone; a null
+    included; ``class`` numbers the components whatever their ids (null without
+    shingles). Null and blank texts have no shingle and stand alone; a null
     doc_id counts as none; repeated rows are rows of their own; (k1, k2) is
     a hash of (doc_id, text) that tells the rows apart."""
     members, edges = similar_pairs(docs, size, num, den)
@@ -301,7 +302,25 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> Da
     least = members.where("rid is not null").groupBy("rid").agg(F.min("doc_id").alias("least"))
     named = least.join(comp, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "component").select("rid", "component_id")
+    named = named.join(ids, "component").select("rid", "component_id", F.col("component").alias("class"))
     return (members.join(named, "rid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k1", "k2"))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k1", "k2", "class"))
+
+
+def one_per_class(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` without the near duplicates: of each class the row with the
+    smallest doc_id stays (of its rows with one id the smallest hash, of rows
+    alike in both one). Documents without shingles all stay; other columns go
+    along as they are."""
+    found = staged(classes(docs, size, num, den), "classes")
+    best = (found.where("class is not null").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("b"))
+            .select("class", F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2")))
+    drop = (found.where("class is not null").join(best, "class").where("k1 <> b1 or k2 <> b2").select("k1", "k2").distinct())
+    again = (found.where("class is not null").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k1", "k2"))
+    names, doc_id = docs.columns, F.col("doc_id").cast("long")
+    keyed = docs.withColumns({"__k1": F.xxhash64(F.lit(1), doc_id, "text"), "__k2": F.xxhash64("text", doc_id, F.lit(2))})
+    on = [F.col("__k1") == F.col("k1"), F.col("__k2") == F.col("k2")]
+    keyed = keyed.join(drop, on, "left_anti")
+    repeated = keyed.join(again, on, "left_semi").dropDuplicates(["__k1", "__k2"])
+    return keyed.join(again, on, "left_anti").select(names).unionByName(repeated.select(names))

@@ -3,8 +3,8 @@
 Base: e-mail addresses, IP addresses, card and phone numbers by fixed
 patterns and checks. They are the seeds. One pass over the texts also lists
 every identifier-like string (a word with a digit or an at sign, not part of
-a seed). A pattern is what stands before a string: its last two words, or its
-last word, with the string's shape. Patterns and instances (the strings
+a seed). A pattern is what stands before a string: the last two words, or the
+last word. Patterns and instances (the strings
 themselves) form a bipartite graph that Spark scores in rounds: a pattern is
 worth the mean trust of its distinct instances, pulled towards nothing where
 they are few; an instance is trusted as much as its best pattern. Seeds keep
@@ -35,7 +35,6 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
 _EDGE = ".,;:!?\"'()[]{}<>"
-_LONGEST = 64
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -78,12 +77,6 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def shape(word: str) -> str:
-    """Letters as a, digits as 9, runs as one: the outline of a string."""
-    plain = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in word[:_LONGEST])
-    return re.sub(r"(.)\1+", r"\1", plain)
-
-
 def _before(text: str, start: int) -> list[str]:
     words = text[max(0, start - 80): start].lower().split()
     return [w[-24:] for w in words[-2:]]
@@ -107,8 +100,8 @@ def mentions(text: str) -> list[tuple[int, int, int, str, list[str]]]:
         if b - a >= 4 and not (at < len(taken) and taken[at][0] < b):
             found.append((-1, a, b))
     for kind, a, b in found:
-        left, form = _before(text, a), shape(text[a:b])
-        patterns = [f"{w}|{form}" for w in ([" ".join(left), left[-1]] if len(left) == 2 else left)]
+        left = _before(text, a)
+        patterns = [" ".join(left), left[-1]] if len(left) == 2 else left
         out.append((kind, a, b, text[a:b].lower()[:256], patterns))
     return out
 

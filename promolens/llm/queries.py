@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pii, pq_dedup, sharding, token_index, windows
+from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pii, pq_dedup, sharding, token_index, unigram, windows
 from promolens.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -28,7 +28,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_digest(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return packing.pack_digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_index.op4_digest(spark, _table(spark, sf_dir, "documents"), scratch(spark, "ids"), _tokenizer("byte_bpe_50k.json"))
+    return token_index.op4_digest(spark, _table(spark, sf_dir, "documents"), scratch(spark, "ids"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": op2,
     "op3_pq_near_duplicates": op3,
     "op4_token_index": op4,
+    "op5_unigram_counts": op5,
     "op6_repeated_windows": op6,
     "op7_benchmark_matches": op7,
     "op8_cotraining_quality": op8,
