@@ -320,7 +320,8 @@ def one_per_class(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     again = (found.where("class is not null").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k1", "k2"))
     names, doc_id = docs.columns, F.col("doc_id").cast("long")
     keyed = docs.withColumns({"__k1": F.xxhash64(F.lit(1), doc_id, "text"), "__k2": F.xxhash64("text", doc_id, F.lit(2))})
-    on = [F.col("__k1") == F.col("k1"), F.col("__k2") == F.col("k2")]
+    on = ["__k1", "__k2"]
+    drop, again = (t.withColumnsRenamed({"k1": "__k1", "k2": "__k2"}) for t in (drop, again))
     keyed = keyed.join(drop, on, "left_anti")
     repeated = keyed.join(again, on, "left_semi").dropDuplicates(["__k1", "__k2"])
     return keyed.join(again, on, "left_anti").select(names).unionByName(repeated.select(names))

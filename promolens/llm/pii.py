@@ -149,11 +149,11 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS, least: float = CO
 
 
 def spans(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> tuple[DataFrame, DataFrame]:
-    """(keyed, found): ``keyed`` are the documents with (k1, k2), a hash of
+    """(keyed, found): ``keyed`` are the documents with (__k1, __k2), a hash of
     (doc_id, text); ``found`` has a row per span: (k1, k2, kind, start, end, base)."""
-    keyed = docs.withColumns({"k1": F.xxhash64(F.lit(1), "doc_id", "text"), "k2": F.xxhash64("text", "doc_id", F.lit(2))})
+    keyed = docs.withColumns({"__k1": F.xxhash64(F.lit(1), "doc_id", "text"), "__k2": F.xxhash64("text", "doc_id", F.lit(2))})
     # rows that repeat with doc_id and text have the same spans: one of them is enough
-    all_found = staged(_extract(keyed.select("k1", "k2", "text")).dropDuplicates(["k1", "k2", "kind", "start"]), "mentions")
+    all_found = staged(_extract(keyed.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "text")).dropDuplicates(["k1", "k2", "kind", "start"]), "mentions")
     trusted = confident_patterns(all_found, rounds, least)
     new = (all_found.where("kind < 0").select("k1", "k2", "start", "end", F.explode("patterns").alias("pattern"))
            .join(trusted, "pattern").groupBy("k1", "k2", "start", "end").agg(F.max(F.struct("worth", "kind")).alias("b"))
@@ -182,7 +182,8 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> Dat
         F.collect_list(F.when(F.col("base"), span)).alias("base"), F.collect_list(span).alias("every"),
         F.count(F.when(~F.col("base"), 1)).alias("n_found"))
     none = F.lit(0).cast("long")
-    return (keyed.select("doc_id", "k1", "k2").join(per, ["k1", "k2"], "left")
+    per = per.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
+    return (keyed.select("doc_id", "__k1", "__k2").join(per, ["__k1", "__k2"], "left")
             .select("doc_id", *[F.coalesce(f"n_{k}", none).alias(f"n_{k}") for k in KINDS],
                     F.sha2(F.coalesce(_joined("base"), F.lit("")), 256).alias("base_sha256"),
                     F.coalesce(_joined("every"), F.lit("")).alias("spans"), F.coalesce("n_found", none).alias("n_found")))
@@ -193,7 +194,7 @@ def redact(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> D
     brackets (the earlier span where two overlap); other columns as they are."""
     names = docs.columns
     keyed, found = spans(docs, rounds, least)
-    per = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("found_spans"))
+    per = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("found_spans")).withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "t"):
@@ -209,7 +210,7 @@ def redact(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> D
                 out.append(text)
             yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(out, pa.string())], names=[*[f"c{k}" for k in range(len(names))], "redacted"])
 
-    rows = keyed.join(per, ["k1", "k2"], "left").select(*[F.col(c).alias(f"c{k}") if c != "text" else F.lit(None).cast("string").alias(f"c{k}")
+    rows = keyed.join(per, ["__k1", "__k2"], "left").select(*[F.col(c).alias(f"c{k}") if c != "text" else F.lit(None).cast("string").alias(f"c{k}")
                                                           for k, c in enumerate(names)], F.col("text").alias("t"), F.col("found_spans").alias("s"))
     kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields))
     out = rows.mapInArrow(run, f"{kinds}, redacted string")
