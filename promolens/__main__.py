@@ -3,6 +3,7 @@
     spark-submit --py-files promolens.zip promolens/__main__.py pipeline --data proposals.csv --budget 500000 --out /shared/out
     spark-submit --py-files promolens.zip promolens/__main__.py evaluate --proposals p.csv --scores /shared/out/proposal_accept_scores \
         --selection /shared/out/proposal_selection --outdir /shared/eval
+    spark-submit --py-files promolens.zip promolens/__main__.py extract --tables /shared/sales --as-of 2014-12-31 --out /shared/extract
     spark-submit --py-files promolens.zip promolens/__main__.py reports --tables /shared/sales --out /shared/reports
 
 Options mirror the reference command line; outputs go to shared storage.
@@ -18,12 +19,6 @@ from promolens.config import PipelineConfig, ReportParams
 from promolens.session import build_session
 
 
-def _read_any(spark, path: str):
-    from promolens.sources.csv import read_proposals_csv
-
-    return read_proposals_csv(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
-
-
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="promolens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -44,9 +39,15 @@ def main(argv=None) -> None:
     e.add_argument("--selection", required=True)
     e.add_argument("--outdir", default="out_eval")
 
+    x = sub.add_parser("extract", help="customer metrics and the labelled proposals from the sales tables")
+    x.add_argument("--as-of", default=None, help="day that recency counts to (default: today)")
+    x.add_argument("--out", default="out_extract")
+    x.add_argument("--format", choices=["parquet", "csv"], default="csv", help="output table format")
+
     r = sub.add_parser("reports", help="promotion reports over the sales tables")
-    r.add_argument("--tables", default=None, help="Parquet root with one folder per table (default: catalog)")
-    r.add_argument("--namespace", default=None)
+    for cmd in (x, r):
+        cmd.add_argument("--tables", default=None, help="Parquet root with one folder per table (default: catalog)")
+        cmd.add_argument("--namespace", default=None)
     r.add_argument("--from-date", default="2011-01-01")
     r.add_argument("--to-date", default="2014-12-31")
     r.add_argument("--top-n", type=int, default=5)
@@ -54,6 +55,7 @@ def main(argv=None) -> None:
 
     args = ap.parse_args(argv)
     spark = build_session()
+    from promolens.sources.csv import read_table
 
     if args.cmd == "pipeline":
         from promolens.plans.evaluation import report_text
@@ -62,17 +64,27 @@ def main(argv=None) -> None:
         cfg = PipelineConfig(budget=args.budget, skip_kmeans=args.skip_kmeans, opt_top_n=args.opt_top_n,
                              model=args.model, oversample=args.oversample, out_dir=args.out,
                              output_format=args.format)
-        out = run_pipeline(_read_any(spark, args.data), cfg)
+        out = run_pipeline(read_table(spark, args.data), cfg)
         print(report_text(out.report))
     elif args.cmd == "evaluate":
         from promolens.plans.evaluation import evaluation_frame, evaluation_tables
 
-        df = evaluation_frame(_read_any(spark, args.proposals), _read_any(spark, args.scores),
-                              _read_any(spark, args.selection))
+        df = evaluation_frame(read_table(spark, args.proposals), read_table(spark, args.scores),
+                              read_table(spark, args.selection))
         tabs = evaluation_tables(df)
         for name in ("pr_curve", "roc_curve", "average_precision", "roc_auc", "score_histogram", "lift_gain",
                      "selected_deals"):
             getattr(tabs, name).write.mode("overwrite").parquet(os.path.join(args.outdir, name))
+    elif args.cmd == "extract":
+        from promolens.plans.proposals import customer_metrics, proposals
+        from promolens.sources.tables import SalesTables
+
+        t = SalesTables.from_parquet(spark, args.tables) if args.tables else \
+            SalesTables.from_catalog(spark, args.namespace)
+        as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+        for name, df in (("customer_metrics", customer_metrics(t, as_of)), ("proposals", proposals(t, as_of, extra_columns=True))):
+            w = df.write.mode("overwrite").option("header", True)
+            (w.csv if args.format == "csv" else w.parquet)(os.path.join(args.out, name))
     else:
         from promolens.plans import monthly, reports
         from promolens.sources.tables import SalesTables

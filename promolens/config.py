@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,10 @@ class PipelineConfig:
     Fixed values of the reference job: budget 500 000, 500 boosting rounds
     with learning rate 0.05, 64 leaves, at least 20 rows per leaf, row and
     column subsampling 0.8, seed 42, negatives sampled 1:5, segmentation
-    k = 2..7. Row caps (30 000 training rows, 20 000 clustering rows,
-    5 000 selection candidates) exist in the reference for single-machine
-    tractability; here they are optional and off by default, except the
-    clustering sample, which only chooses k (every row is assigned).
+    k = 2..7. The caps that a single machine needs are options and off:
+    ``max_train_rows`` bounds the labelled rows a classifier is fitted on,
+    ``opt_top_n`` the selection's candidates. Segmentation and selection
+    use every row.
     """
 
     budget: float = 500_000.0
@@ -64,9 +64,6 @@ class PipelineConfig:
     rf_num_trees: int = 100
     rf_max_depth: int = 10
     kmeans_k: tuple[int, ...] = (2, 3, 4, 5, 6, 7)
-    kmeans_sample_rows: int = 20_000
     segment_features: tuple[str, ...] = ("Purchases", "AvgOrderValue", "PromoResponseRate", "Recency")
-    fill_rounds: int = 10
     out_dir: str | None = None
     output_format: str = "parquet"  # or "csv" (header line, one part file per task)
-    extra: dict = field(default_factory=dict)

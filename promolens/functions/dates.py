@@ -29,11 +29,3 @@ def in_closed_range(ts: Column, from_date: dt.date, to_date: dt.date) -> Column:
     """ts >= from AND ts <= to: on a datetime the last day counts only at
     midnight, as in the report it mirrors."""
     return (ts >= F.lit(from_date).cast("timestamp_ntz")) & (ts <= F.lit(to_date).cast("timestamp_ntz"))
-
-
-def month_spine(spark: SparkSession, from_date: dt.date, to_date: dt.date) -> DataFrame:
-    """One row per month start between the two dates' months, inclusive."""
-    first = dt.date(from_date.year, from_date.month, 1)
-    last = dt.date(to_date.year, to_date.month, 1)
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))).alias("MonthStart"))

@@ -32,6 +32,19 @@ def nan_inf_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
 
 
+def lenient_number(c: Column) -> Column:
+    """Text or number -> double; what does not parse, and NaN, is missing."""
+    x = c.try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def lenient_label(c: Column) -> Column:
+    """0/1 label as text ("1", "1.0", "false"), number or boolean -> int;
+    anything else is missing."""
+    x = F.coalesce(c.try_cast("double"), c.cast("string").try_cast("boolean").cast("double"))
+    return F.when(x == 1, 1).when(x == 0, 0)
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den with a zero denominator, NaN or +-inf giving NULL."""
     return nan_inf_to_null(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)))

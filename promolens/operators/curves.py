@@ -31,9 +31,8 @@ def score_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame
     g = reliable_checkpoint(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_pos(label, positive)).cast("bigint").alias("pos_at"),
         F.sum(1 - _pos(label, positive)).cast("bigint").alias("neg_at")))
-    tot = g.agg(F.count(F.lit(1)).alias("n"), F.sum("pos_at").alias("P"), F.sum("neg_at").alias("N")).first()
-    cum = running_sums(g, "threshold", {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, descending=True,
-                       prefix="", n_rows=tot["n"])
+    tot = g.agg(F.sum("pos_at").alias("P"), F.sum("neg_at").alias("N")).first()
+    cum = running_sums(g, [F.desc("threshold")], {"tp": F.col("pos_at"), "fp": F.col("neg_at")}, prefix="")
     return cum.withColumns({"P": F.lit(int(tot["P"] or 0)).cast("bigint"),
                             "N": F.lit(int(tot["N"] or 0)).cast("bigint")})
 
@@ -70,28 +69,29 @@ def roc_curve(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """Area under the ROC curve, ties counted half: sum over scores of
     positives x (2 x negatives below + negatives at), over 2PN, summed in
-    exact integers (decimal(38,0)) and divided once."""
+    exact integers (decimal(38,0)) and divided once; NULL when a class is
+    missing, where the curve is not defined."""
     return _auc_from_points(score_points(df, score, label, positive))
 
 
 def _auc_from_points(p: DataFrame) -> DataFrame:
     term = (F.col("pos_at").cast("decimal(38,0)")
             * (F.lit(2) * (F.col("N") - F.col("fp")) + F.col("neg_at")).cast("decimal(38,0)"))
+    both = F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")
     return p.agg(F.sum(term).alias("num"), F.first("P").alias("P"), F.first("N").alias("N")).select(
-        (F.col("num").cast("double") / (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")))
-        .alias("roc_auc"))
+        (F.col("num").cast("double") / F.nullif(both, F.lit(0.0))).alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
     """Sum over thresholds of (recall step) x precision, without
-    interpolation."""
+    interpolation; 0 without positives."""
     return _ap_from_points(score_points(df, score, label, positive))
 
 
 def _ap_from_points(p: DataFrame) -> DataFrame:
-    term = (F.col("pos_at").cast("double") / F.col("P").cast("double")) * (
+    term = (F.col("pos_at").cast("double") / F.nullif(F.col("P"), F.lit(0)).cast("double")) * (
         F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double"))
-    return p.agg(F.sum(term).alias("average_precision"))
+    return p.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("average_precision"))
 
 
 def f1_points(df: DataFrame, score: str, label: str, positive=1) -> DataFrame:
@@ -220,13 +220,12 @@ def score_histogram(df: DataFrame, score: str, label: str, bins: int = 40,
 def lift_gain(df: DataFrame, id_col: str, score: str, label: str, tiebreak: str, positive=1) -> DataFrame:
     """Per row in descending score order (ties by the uniform ``tiebreak``
     hash): % of population, % of positives captured (gain) and lift."""
-    # narrow rows read by the totals, the bucket bounds and the window
+    # narrow rows read by the totals, the range bounds and the window
     base = reliable_checkpoint(df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
                                .select(id_col, score, tiebreak, _pos(label, positive).alias("_y")))
     tot = base.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("P"))
     trow = tot.first()
-    cum = running_sums(base, score, {"i": F.lit(1), "cum_pos": F.col("_y")}, descending=True,
-                       tiebreak=tiebreak, prefix="", n_rows=trow["n"])
+    cum = running_sums(base, [F.desc(score), F.asc(tiebreak), F.asc(id_col)], {"i": F.lit(1), "cum_pos": F.col("_y")}, prefix="")
     n = F.lit(float(trow["n"]))
     P = F.lit(float(trow["P"] or 0))
     i = F.col("i").cast("double")

@@ -21,6 +21,7 @@ def months_active(df: DataFrame, start_col: str, end_col: str,
     """
     first = dt.date(from_date.year, from_date.month, 1)
     last = dt.date(to_date.year, to_date.month, 1)
+    df = df.where(F.col(start_col).isNotNull())  # an unknown start is not before any month's end
     start = F.col(start_col)
     s_month = F.trunc(start.cast("date"), "month")
     # A start later than midnight of its month's last day misses that month.

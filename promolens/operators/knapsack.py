@@ -3,34 +3,36 @@
 Maximise the summed expected profit of the chosen proposals subject to
 their summed cost staying within the budget. Instead of a single-machine
 integer program over a capped candidate list, every candidate is ranked
-by profit per unit of cost (zero cost first, ties by a uniform id hash)
-and the longest prefix that fits is taken (``running_sums``: range
-buckets, no single-task window). Fill rounds then repeat the same step on
-the not-yet-chosen proposals that still fit the leftover budget. The
-better of that and the best single affordable proposal is returned (the
-classic 1/2-approximation guard). The LP relaxation bound (prefix plus
-the fitting fraction of the first proposal that did not fit) and the gap
-are reported with the totals.
-
-Costs are summed as decimal(38,6): a double sum depends on the order of
-addition, which could flip a ``cum_cost <= budget`` test.
+by profit per unit of cost (zero cost first), then expected profit, then
+id, and the longest prefix that fits is taken (``running_sums``: ranges, no
+single-task window). The same step is repeated on the not-yet-chosen
+proposals that fit what is left, until none fits. If the best single
+affordable proposal is worth more than all of that, it is chosen first and
+the rest is filled the same way (the classic 1/2-approximation guard). The
+LP relaxation bound (prefix plus the fitting fraction of the first proposal
+that did not fit) and the gap are reported with the totals.
+
+The rounds carry (id, efficiency, profit, cost) only. Costs are summed as
+decimal(38,6): a double sum depends on the order of addition, which could
+flip a ``cum_cost <= budget`` test.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.functions.hashing import hash_key
 from promolens.operators.prefix import running_sums
 from promolens.session import reliable_checkpoint
 
 MONEY = T.DecimalType(38, 6)
-BROADCAST_ROWS = 1_000_000  # fill-round picks are counted; below this they are broadcast
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -59,90 +61,91 @@ def _money_total(c: F.Column) -> F.Column:
     return F.round(F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY)), 2).cast("double")
 
 
+def require_unique(df: DataFrame, id_col: str) -> None:
+    """Fail when an id occurs twice: the choice is made by id."""
+    twice = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col).first()
+    if twice is not None:
+        raise ValueError(f"{id_col} must be unique, but {twice[0]!r} occurs more than once")
+
+
+def candidates(df: DataFrame, id_col: str = "ProposalID", cost: str = "Cost", amount: str = "ProposalAmount",
+               prob: str = "accept_prob") -> DataFrame:
+    """Proposals with a positive expected profit, with their profit per cost
+    (NULL for free ones) and the ranking columns ``_eff, _c, _p``."""
+    return (expected_values(df, amount, cost, prob)
+            .where(F.col("expected_profit") > 0)
+            .withColumns({"profit_per_cost": F.try_divide(F.col("expected_profit"), F.col(cost)), "_eff": _efficiency(cost),
+                          "_c": F.col(cost).cast(MONEY), "_p": F.col("expected_profit").cast(MONEY)}))
+
+
+def ranking(id_col: str = "ProposalID") -> list[F.Column]:
+    """Best first: profit per cost, expected profit, id."""
+    return [F.desc("_eff"), F.desc("expected_profit"), F.asc(id_col)]
+
+
+def top_candidates(df: DataFrame, n: int, **columns) -> DataFrame:
+    """The ``n`` best candidates (a top-n report)."""
+    return candidates(df, **columns).orderBy(*ranking(columns.get("id_col", "ProposalID"))).limit(n).drop("_eff", "_c", "_p")
+
+
 def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID", cost: str = "Cost",
-                         amount: str = "ProposalAmount", prob: str = "accept_prob", fill_rounds: int = 10,
-                         top_n: int | None = None, rows_per_bucket: int = 250_000) -> SelectionResult:
+                         amount: str = "ProposalAmount", prob: str = "accept_prob",
+                         top_n: int | None = None) -> SelectionResult:
+    """Flags the chosen candidates; raises when an id occurs twice.
+    ``top_n`` keeps only the best candidates (an option of the job, off by
+    default)."""
     b = Decimal(str(budget)).quantize(Decimal("0.000001"))
-    cand = (expected_values(df, amount, cost, prob)
-            .where(F.col("expected_profit") > 0)
-            .withColumn("profit_per_cost", F.try_divide(F.col("expected_profit"), F.col(cost)))
-            .withColumn("_eff", _efficiency(cost))
-            .withColumn("_tie", hash_key(F.col(id_col), "tie"))
-            .withColumn("_c", F.col(cost).cast(MONEY))
-            .withColumn("_p", F.col("expected_profit").cast(MONEY)))
+    cand = candidates(df, id_col, cost, amount, prob)
     if top_n is not None:
-        ranked = running_sums(cand, "_eff", {"_pos": F.lit(1)}, descending=True, tiebreak="_tie",
-                              rows_per_bucket=rows_per_bucket, prefix="")
-        cand = ranked.where(F.col("_pos") <= top_n).drop("_pos")
-    # The candidates are read by every round and by the final flagging.
-    cand = reliable_checkpoint(cand)
+        cand = cand.orderBy(*ranking(id_col)).limit(top_n)
+    narrow = reliable_checkpoint(cand.select(id_col, "_eff", "expected_profit", "_c", "_p"))
+    require_unique(narrow, id_col)
     # A proposal dearer than the whole budget can never be chosen.
-    items = cand.where(F.col("_c") <= F.lit(b))
-
-    def take_prefix(pool: DataFrame) -> DataFrame:
-        return running_sums(pool, "_eff", {"_cum": F.col("_c")}, descending=True, tiebreak="_tie",
-                            rows_per_bucket=rows_per_bucket, prefix="")
-
-    # Round 0: the longest prefix in efficiency order that fits the budget.
-    r0 = reliable_checkpoint(take_prefix(items))
-    s0 = r0.where(F.col("_cum") <= F.lit(b)).agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
-    used = s0["c"] or Decimal(0)
-    profit = s0["p"] or Decimal(0)
-    # LP bound: the fitting fraction of the first proposal that did not fit.
-    nxt = r0.where(F.col("_cum") > F.lit(b)).orderBy(F.desc("_eff"), F.asc("_tie")).select("_c", "_p").first()
-    lp_bound = float(profit) + (float((b - used) / nxt["_c"]) * float(nxt["_p"]) if nxt and nxt["_c"] > 0 else 0.0)
-
-    # Fill rounds: the same step on what is left and still fits. The rows a
-    # round does not take (cum > left) are exactly the next round's pool.
-    fills: list[DataFrame] = []
-    n_fill = 0
-    left = b - used
-    pool = r0.where(F.col("_cum") > F.lit(b)).select(id_col, "_eff", "_tie", "_c", "_p")
-    for _ in range(fill_rounds):
-        pool = reliable_checkpoint(pool.where(F.col("_c") <= F.lit(left)))
-        if pool.isEmpty():
-            break
-        r = reliable_checkpoint(take_prefix(pool))
-        s = r.where(F.col("_cum") <= F.lit(left)).agg(
-            F.sum("_c").alias("c"), F.sum("_p").alias("p"), F.count(F.lit(1)).alias("n")).first()
-        if s["c"] is None:
-            break
-        fills.append(r.where(F.col("_cum") <= F.lit(left)).select(id_col))
-        n_fill += s["n"]
-        used += s["c"]
-        profit += s["p"]
-        pool = r.where(F.col("_cum") > F.lit(left)).select(id_col, "_eff", "_tie", "_c", "_p")
-        left = b - used
-
-    best = items.orderBy(F.desc("_p"), F.asc("_tie")).select(id_col, "_c", "_p").first()
-    internals = ["_eff", "_tie", "_c", "_p"]
+    items = narrow.where(F.col("_c") <= F.lit(b))
+
+    def fill(pool: DataFrame, left: Decimal) -> tuple[list[DataFrame], Decimal, Decimal, DataFrame | None]:
+        """Takes prefixes until nothing that is left fits: (ids taken, cost,
+        profit, first round). A round takes at least its first row."""
+        taken, spent, gained, first = [], Decimal(0), Decimal(0), None
+        while True:
+            pool = reliable_checkpoint(pool.where(F.col("_c") <= F.lit(left - spent)))
+            if pool.isEmpty():
+                log.info("selection: %d rounds, %s left", len(taken), left - spent)
+                return taken, spent, gained, first
+            r = reliable_checkpoint(running_sums(pool, ranking(id_col), {"_cum": F.col("_c")}, prefix=""))
+            first = r if first is None else first
+            fits = r.where(F.col("_cum") <= F.lit(left - spent))
+            s = fits.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
+            taken.append(fits.select(id_col))
+            pool = r.where(F.col("_cum") > F.lit(left - spent)).drop("_cum")
+            spent, gained = spent + s["c"], gained + s["p"]
+
+    taken, used, profit, r0 = fill(items, b)
+    # LP bound: the first prefix and the fitting fraction of the proposal after it.
+    lp_bound = 0.0
+    if r0 is not None:
+        s0 = r0.where(F.col("_cum") <= F.lit(b)).agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
+        nxt = r0.where(F.col("_cum") > F.lit(b)).orderBy(*ranking(id_col)).select("_c", "_p").first()
+        lp_bound = float(s0["p"] or 0)
+        if nxt and nxt["_c"] > 0:
+            lp_bound += float((b - (s0["c"] or Decimal(0))) / nxt["_c"]) * float(nxt["_p"])
+    best = items.orderBy(F.desc("_p"), *ranking(id_col)).select(id_col, "_c", "_p").first()
     if best is not None and best["_p"] > profit:
-        # one proposal alone beats the greedy total (1/2-approximation guard)
-        used, profit = best["_c"], best["_p"]
-        selection = cand.withColumn("selected", F.when(F.col(id_col) == F.lit(best[id_col]), 1).otherwise(0))
+        # one proposal alone is worth more: it goes first, the rest is filled
+        alone = items.where(F.col(id_col) == F.lit(best[id_col])).select(id_col)
+        more, used, profit, _ = fill(items.where(F.col(id_col) != F.lit(best[id_col])), b - best["_c"])
+        taken, used, profit = [alone, *more], used + best["_c"], profit + best["_p"]
+
+    selection = cand.drop("_eff", "_c", "_p")
+    if taken:
+        picked = reduce(DataFrame.unionByName, taken).withColumn("selected", F.lit(1))
+        selection = selection.join(picked, id_col, "left").withColumn("selected", F.coalesce("selected", F.lit(0)))
     else:
-        # Flags come from the round-0 prefix itself (no join of all
-        # candidates); only the fill-round picks are joined back, broadcast
-        # when their counted size allows.
-        base = r0.withColumn("selected", F.when(F.col("_cum") <= F.lit(b), 1).otherwise(0)).drop("_cum")
-        dear = cand.where(F.col("_c") > F.lit(b)).withColumn("selected", F.lit(0))
-        selection = base.unionByName(dear)
-        if fills:
-            picked = fills[0]
-            for f in fills[1:]:
-                picked = picked.unionByName(f)
-            picked = picked.withColumn("_fill", F.lit(1))
-            if n_fill <= BROADCAST_ROWS:
-                picked = F.broadcast(picked)
-            selection = (selection.join(picked, id_col, "left")
-                         .withColumn("selected", F.when(F.col("_fill") == 1, 1).otherwise(F.col("selected")))
-                         .drop("_fill"))
-    selection = selection.drop(*internals)
+        selection = selection.withColumn("selected", F.lit(0))
     bound = max(lp_bound, float(profit))
-    totals = (selection.where(F.col("selected") == 1)
-              .agg(F.count(F.lit(1)).alias("selected_count"),
-                   _money_total(F.col(cost)).alias("total_cost"),
-                   _money_total(F.col("expected_profit")).alias("total_profit"))
+    totals = (narrow.join(picked, id_col) if taken else narrow.where(F.lit(False)))
+    totals = (totals.agg(F.count(F.lit(1)).alias("selected_count"), _money_total(F.col("_c")).alias("total_cost"),
+                         _money_total(F.col("_p")).alias("total_profit"))
               .withColumns({"lp_bound": F.greatest(F.lit(bound), F.col("total_profit")),
                             "gap": F.greatest(F.lit(bound), F.col("total_profit")) - F.col("total_profit")}))
     return SelectionResult(selection, totals, float(used), float(profit))

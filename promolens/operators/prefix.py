@@ -1,84 +1,42 @@
 """Distributed running sums over a global order.
 
-An unpartitioned window (``Window.orderBy(...)``) moves every row into
-one task. Here the order key is cut into ranges with ``approxQuantile``;
-each range (bucket) is summed on its own, a running offset is computed
-over the bucket totals (one row per bucket, a bounded relation that is
-broadcast back), and the within-bucket running sum is a window
-partitioned by bucket. A value holding a large share of the rows gets a
-bucket of its own, which is split further by the uniform tie-break hash,
-so no task receives more than about ``rows_per_bucket`` rows whatever
-the skew. Bucket bounds are literals computed once, so a recomputed
-partition (lost executor) lands in the same bucket.
+An unpartitioned window (``Window.orderBy(...)``) moves every row into one
+task. Here the rows are range-partitioned by the whole order and written
+once, so every row keeps its range; a range is summed on its own, and the
+totals of the ranges before it (one row per partition, a relation bounded
+by the partition count) are broadcast back. The order ends in a key that
+tells rows apart, so a value that holds most of the rows is cut like any
+other.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.functions.hashing import HASH_BITS
-
-MAX_BUCKETS = 100_000
-
-
-def running_sums(df: DataFrame, key: str, values: dict[str, Column], *, descending: bool = False,
-                 tiebreak: str | None = None, rows_per_bucket: int = 250_000,
-                 prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
-    """Add ``<prefix><name>`` = inclusive running sum of each value in the
-    order (key asc/desc, tiebreak asc). ``key`` must be a non-NULL,
-    non-NaN numeric column; ``tiebreak`` (if any) a uniform bigint in
-    [0, 2^60) that is unique per row, e.g. ``hash_key`` of the row id.
-    """
-    sk = "_pk"
-    base = df.withColumn(sk, (-F.col(key) if descending else F.col(key)).cast("double"))
-    for name, c in values.items():
-        base = base.withColumn(f"_v_{name}", c)
-    n = n_rows if n_rows is not None else base.count()
-    n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
-    order = [F.col(sk)] + ([F.col(tiebreak)] if tiebreak else [])
-
-    if n_buckets == 1:
-        bucketed = base.withColumn("_b", F.lit(0.0)).withColumn("_s", F.lit(0))
-    else:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = base.approxQuantile(sk, probs, 1.0 / (4 * n_buckets))
-        mult: dict[float, int] = {}
-        for b in bounds:
-            mult[b] = mult.get(b, 0) + 1
-        splits = set(bounds)
-        hot = {v: m for v, m in mult.items() if m >= 2}
-        for v in hot:
-            splits.add(math.nextafter(v, math.inf))
-        split_list = [-math.inf] + sorted(s for s in splits if math.isfinite(s)) + [math.inf]
-        bucketizer = Bucketizer(splits=split_list, inputCol=sk, outputCol="_b", handleInvalid="keep")
-        bucketed = bucketizer.transform(base)
-        # A bucket holding one hot value is split by the tie-break hash,
-        # in as many pieces as the value's share of the quantiles suggests.
-        hot_bucket = {float(split_list.index(v)): m + 1 for v, m in hot.items()}
-        if hot_bucket and tiebreak:
-            pieces = F.create_map(*[x for b, m in hot_bucket.items() for x in (F.lit(b), F.lit(m))])
-            n_sub = F.coalesce(F.element_at(pieces, F.col("_b")), F.lit(1))
-            sub = F.floor(F.col(tiebreak).cast("double") / float(2 ** HASH_BITS) * n_sub).cast("int")
-            bucketed = bucketed.withColumn("_s", F.least(sub, n_sub - 1))
-        else:
-            bucketed = bucketed.withColumn("_s", F.lit(0))
-
-    vnames = [f"_v_{name}" for name in values]
-    w = Window.partitionBy("_b", "_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if n_buckets == 1:
-        # at most rows_per_bucket rows: one window partition, no offsets
-        out = bucketed.withColumns({f"{prefix}{name}": F.sum(v).over(w) for name, v in zip(values, vnames)})
-        return out.drop(sk, "_b", "_s", *vnames)
-    totals = bucketed.groupBy("_b", "_s").agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(vnames)])
-    w_off = Window.orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket (bounded by MAX_BUCKETS times the hot splits): a single small task
-    offsets = totals.select("_b", "_s", *[F.coalesce(F.sum(f"_t{i}").over(w_off), F.lit(0)).alias(f"_o{i}")
-                                          for i in range(len(vnames))])
-    joined = bucketed.join(F.broadcast(offsets), ["_b", "_s"], "inner")
-    out = joined.withColumns({f"{prefix}{name}": F.sum(v).over(w) + F.col(f"_o{i}")
-                              for i, (name, v) in enumerate(zip(values, vnames))})
-    return out.drop(sk, "_b", "_s", *vnames, *[f"_o{i}" for i in range(len(vnames))])
+from promolens.session import reliable_checkpoint
+
+
+def range_partitioned(df: DataFrame, order: list[Column], out: str = "_range", parts: int | None = None) -> DataFrame:
+    """``df`` dealt into ranges of ``order`` and written once; ``out`` numbers
+    the ranges in order."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reliable_checkpoint(df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id()))
+
+
+def running_sums(df: DataFrame, order: list[Column], values: dict[str, Column], *, prefix: str = "cum_",
+                 parts: int | None = None) -> DataFrame:
+    """Add ``<prefix><name>`` = inclusive running sum of each value in
+    ``order`` (sort expressions such as ``F.desc("score")``; the last ones
+    should tell rows apart)."""
+    names = list(values)
+    base = df.withColumns({f"_v{i}": values[c] for i, c in enumerate(names)})
+    ranged = range_partitioned(base, order, parts=parts)
+    totals = ranged.groupBy("_range").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
+                                        for i in range(len(names))])
+    local = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.withColumns({f"_s{i}": F.sum(f"_v{i}").over(local) for i in range(len(names))})
+    out = summed.join(F.broadcast(offsets), "_range")  # at most one row per partition
+    return out.select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_o{i}")).alias(f"{prefix}{c}") for i, c in enumerate(names)])

@@ -18,9 +18,11 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.functions.numeric import nan_inf_to_null
+
 
 def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]],
                       counts: dict[str, int], mins: dict[str, float], maxs: dict[str, float],
@@ -44,8 +46,7 @@ def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]
         exprs = []
         for gi, (c, lo, hi) in enumerate(groups):
             v = F.col(c)
-            width = (hi - lo) / bins
-            b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1)) if width > 0 else F.lit(0)
+            b = _bin(v, lo, hi, bins)
             exprs.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)),
                                 F.struct(F.lit(gi).alias("g"), b.alias("b"), v.cast("double").alias("v"))))
         long = df.select(F.explode(F.array(*exprs)).alias("t")).where(F.col("t").isNotNull()).select("t.*")
@@ -75,12 +76,8 @@ def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]
             picks = []
             for gi, b in wanted:
                 c, lo, hi = gl[gi]
-                width = (hi - lo) / bins
                 v = F.col(c)
-                in_bin = (v >= F.lit(lo)) & (v <= F.lit(hi))
-                if width > 0:
-                    in_bin = in_bin & (F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"),
-                                               F.lit(bins - 1)) == b)
+                in_bin = (v >= F.lit(lo)) & (v <= F.lit(hi)) & (_bin(v, lo, hi, bins) == b)
                 picks.append(F.when(in_bin, F.struct(F.lit(gi).alias("g"), F.lit(b).alias("b"),
                                                      v.cast("double").alias("v"))))
             got: dict[tuple[int, int], list[float]] = {}
@@ -95,6 +92,14 @@ def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]
     return found
 
 
+def _bin(v: Column, lo: float, hi: float, bins: int) -> Column:
+    """Bin of v in [lo, hi], by halves so that no range is too wide for a double."""
+    width = (hi / 2 - lo / 2) / bins
+    if width <= 0:
+        return F.lit(0)
+    return F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+
+
 def linear_positions(n: int, q: float) -> tuple[int, int, float]:
     """0-based ranks and weight of the 'linear' quantile method, with the
     same floating-point steps as the NumPy/pandas implementation."""
@@ -116,11 +121,10 @@ def lerp(a: float, b: float, t: float) -> float:
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], bins: int = 2048,
                     small: int = 50_000) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column (pandas' default
-    method, bit for bit given the same order statistics), ignoring NULL
-    and NaN. Returns ``{col: [q(p) for p in probs]}``; None
+    method, bit for bit given the same order statistics), ignoring NULL,
+    NaN and infinite values. Returns ``{col: [q(p) for p in probs]}``; None
     for a column without values."""
-    narrow = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
-                         for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(*[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         aggs = []
         for c in cols:

@@ -91,7 +91,7 @@ def balanced_sample(df: DataFrame, label: str, id_col: str, neg_ratio: int = 5,
     counts = class_counts(df, label)
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if n_pos == 0:
-        raise ValueError("No rejected samples found; cannot train rejection model.")
+        raise ValueError("a rejection model needs at least one rejected proposal")
     quotas = {1: (n_pos, n_pos), 0: (min(n_neg, n_pos * neg_ratio), n_neg)}
     s = smallest_by_hash(df, label, quotas, id_col, seed).where(F.col("_in")).drop("_in")
     if cap is not None and n_pos + quotas[0][0] > cap:

@@ -14,19 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.hashing import hash_key
+from promolens.functions.numeric import lenient_label, lenient_number
 from promolens.operators import curves, knapsack
 
 
 def evaluation_frame(proposals: DataFrame, scores: DataFrame, selection: DataFrame,
                      id_col: str = "ProposalID") -> DataFrame:
-    """scores <- labels <- (selected, expected_profit, Cost), left joins on the id."""
-    labels = proposals.select(id_col, F.col("Accepted").cast("int").alias("Accepted"))
-    sel = selection.select(id_col, "selected", "expected_profit", F.col("Cost").alias("Cost"))
-    df = (scores.select(id_col, "accept_prob")
+    """scores <- labels <- (selected, expected_profit, Cost), left joins on the
+    id. The inputs may be text: scores and money become doubles (so equal
+    scores are one threshold), labels and flags 0, 1 or NULL."""
+    labels = proposals.select(id_col, lenient_label(F.col("Accepted")).alias("Accepted"))
+    sel = selection.select(id_col, lenient_label(F.col("selected")).alias("selected"),
+                           *[lenient_number(F.col(c)).alias(c) for c in ("expected_profit", "Cost")])
+    df = (scores.select(id_col, lenient_number(F.col("accept_prob")).alias("accept_prob"))
           .join(labels, id_col, "left")
           .join(sel, id_col, "left"))
     if not df.where(F.col("Accepted").isNull()).limit(1).isEmpty():
-        raise ValueError("Accepted column missing/NaN for some rows; ensure proposals have Accepted labels.")
+        raise ValueError("some scored proposals have no label: every one needs Accepted = 0 or 1")
     return df
 
 
@@ -63,9 +67,13 @@ def report_text(report: DataFrame) -> str:
     def g(s, m):
         return rows.get((s, m))
 
+    def num(x):
+        return "undefined" if x is None else f"{x:.4f}"
+
+    # fixed values: the section headings of the text report
     out = ["=== Classifier (positive = Rejected) ==="]
-    out.append(f"AUC: {g('classifier', 'auc'):.4f}")
-    out.append(f"PR-AUC: {g('classifier', 'pr_auc'):.4f}")
+    out.append(f"AUC: {num(g('classifier', 'auc'))}")
+    out.append(f"PR-AUC: {num(g('classifier', 'pr_auc'))}")
     out.append(f"Best threshold (F1): {g('classifier', 'best_threshold'):.4f}, "
                f"Best F1: {g('classifier', 'best_f1'):.4f}")
     out.append("")

@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.numeric import clip, coerce_numeric, safe_ratio
+from promolens.functions.numeric import clip, coerce_numeric, lenient_number, safe_ratio
 from promolens.operators.quantiles import exact_quantiles
 
+# Fixed values of the reference job: the date, money and behaviour columns it
+# looks for, the clipped columns, the quantiles, the candidate feature list in
+# its order, the categorical and the required columns.
 DATE_CANDIDATES = ("ProposalDate", "OrderDate", "Date")
+DISCOUNT_CANDIDATES = ("DiscountRate", "UnitPriceDiscount")
 NUMERIC_INPUTS = ("Purchases", "AvgOrderValue", "PromoResponseRate", "Recency")
-# Fixed values of the reference job: the clipped columns, the quantiles
-# and the candidate feature list, in its order.
 CLIP_COLUMNS = ("ProposalAmount", "Cost", "margin", "margin_rate", "cost_rate", "log_amount", "log_cost")
 CLIP_PROBS = (0.01, 0.99)
 FEATURE_CANDIDATES = (
@@ -32,12 +34,17 @@ def require_columns(df: DataFrame, required, what: str) -> None:
     """Fail before any job runs when required columns are missing."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns for {what}: {missing}")
+        raise ValueError(f"{what} needs columns that the input lacks: {', '.join(missing)}")
 
 
 def coerce_amounts(df: DataFrame) -> DataFrame:
-    """ProposalAmount and Cost through the dirty-number rule (negative -> NULL)."""
+    """ProposalAmount and Cost through the dirty-number rule (negative ->
+    NULL), and the first discount column there is as ``discount_rate``."""
     out = df
+    for c in DISCOUNT_CANDIDATES:
+        if c in out.columns:
+            out = out.withColumn("discount_rate", coerce_numeric(F.col(c), floor_zero=True))
+            break
     for c in ("ProposalAmount", "Cost"):
         if c in out.columns:
             out = out.withColumn(c, coerce_numeric(F.col(c), floor_zero=True))
@@ -46,10 +53,14 @@ def coerce_amounts(df: DataFrame) -> DataFrame:
 
 def coercion_missing_counts(coerced: DataFrame) -> DataFrame:
     """Rows and missing values per coerced column, in one aggregate pass
-    over the coerced frame: (column_name, rows, missing_or_invalid)."""
-    cols = [c for c in ("ProposalAmount", "Cost") if c in coerced.columns]
+    over the coerced frame: (column_name, rows, missing_or_invalid). The
+    discount goes by the name of its input column."""
+    cols = {c: c for c in ("ProposalAmount", "Cost") if c in coerced.columns}
+    discount = [c for c in DISCOUNT_CANDIDATES if c in coerced.columns]
+    if discount:
+        cols[discount[0]] = "discount_rate"
     agg = coerced.agg(F.count(F.lit(1)).alias("_rows"),
-                      *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+                      *[F.count_if(F.col(at).isNull()).alias(c) for c, at in cols.items()])
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("rows"), F.col(c).alias("missing_or_invalid"))
         for c in cols])).alias("s")).select("s.*")
@@ -75,13 +86,9 @@ def add_features(df: DataFrame) -> DataFrame:
             ts = F.col(dc) if field in ("timestamp", "timestamp_ntz", "date") else F.try_to_timestamp(F.col(dc))
             out = out.withColumns({"month": F.month(ts), "quarter": F.quarter(ts)})
             break
-    if "DiscountRate" in cols:
-        out = out.withColumn("discount_rate", coerce_numeric(F.col("DiscountRate"), floor_zero=True))
-    elif "UnitPriceDiscount" in cols:
-        out = out.withColumn("discount_rate", coerce_numeric(F.col("UnitPriceDiscount"), floor_zero=True))
     for c in NUMERIC_INPUTS:
         if c in cols:
-            out = out.withColumn(c, F.col(c).cast("double"))
+            out = out.withColumn(c, lenient_number(F.col(c)))
     return out
 
 

@@ -12,14 +12,12 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from promolens.config import PipelineConfig
 from promolens.operators import knapsack
 from promolens.plans.features import add_features, require_columns
 from promolens.plans.model import TrainResult, train_and_score
 from promolens.plans.segments import SegmentResult, fit_segments, segment_inputs
-from promolens.session import reliable_checkpoint
 
 SELECTION_REQUIRED = ("ProposalID", "ProposalAmount", "Cost", "accept_prob")
 
@@ -39,18 +37,18 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
     spark = proposals_df.sparkSession
     feats = add_features(proposals_df)
     tr = train_and_score(feats, cfg)
-    scored = reliable_checkpoint(tr.scored, spread=True)  # reused by segmentation, selection and the sink
+    # The wide frame was written once, as the classifier's input. Scores are computed as it is read: for the
+    # selection's narrow rows, and by each sink.
+    scored = tr.scored
 
     if cfg.skip_kmeans:
         seg = SegmentResult(None, None, None, "skipped by flag", [])
     else:
-        seg = fit_segments(segment_inputs(scored, list(cfg.segment_features)), cfg.kmeans_k,
-                           cfg.kmeans_sample_rows, cfg.seed)
-    segmented = scored.join(seg.segments, "ProposalID", "left") if seg.segments is not None else \
-        scored.withColumn("segment", F.lit(None).cast("int"))
+        seg = fit_segments(segment_inputs(scored, list(cfg.segment_features)), cfg.kmeans_k, cfg.seed)
+    segmented = seg.assign(scored)
 
     require_columns(segmented, SELECTION_REQUIRED, "optimization")
-    sel = knapsack.select_within_budget(segmented, cfg.budget, fill_rounds=cfg.fill_rounds, top_n=cfg.opt_top_n)
+    sel = knapsack.select_within_budget(segmented, cfg.budget, top_n=cfg.opt_top_n)
     tot = sel.totals.first()
 
     rows = [(r["section"], r["metric"], r["value"]) for r in tr.metrics.collect()]

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import PipelineConfig
+from promolens.functions.numeric import lenient_label
 from promolens.operators import curves, sampling
 from promolens.operators.quantiles import exact_quantiles
 from promolens.plans.features import CLASSIFIER_REQUIRED, clip_bounds, feature_columns, require_columns, winsorize
@@ -31,9 +32,9 @@ MISSING_CATEGORY = "__missing__"
 @dataclass
 class TrainResult:
     model: PipelineModel
-    scored: DataFrame       # input (winsorised) + accept_prob
+    scored: DataFrame       # input (winsorised) + accept_prob, scored as it is read
     metrics: DataFrame      # (section, metric, value)
-    auc: float
+    auc: float | None       # None: the test split lacks a class
     pr_auc: float
     best_threshold: float
     best_f1: float
@@ -42,7 +43,8 @@ class TrainResult:
 
 
 def rejection_label(df: DataFrame) -> DataFrame:
-    return df.withColumn("label", F.when(F.col("Accepted").cast("double") == 0, 1).otherwise(0))
+    """``label``: 1 = rejected; a missing or unreadable ``Accepted`` counts as accepted."""
+    return df.withColumn("label", F.when(lenient_label(F.col("Accepted")) == 0, 1).otherwise(0))
 
 
 def _prep_stages(train: DataFrame, cats: list[str], nums: list[str]):
@@ -117,7 +119,7 @@ def train_and_score(df: DataFrame, cfg: PipelineConfig) -> TrainResult:
               .select(*df.columns, "accept_prob"))
     spark = df.sparkSession
     metrics = spark.createDataFrame(
-        [("classifier", "auc", float(auc)), ("classifier", "pr_auc", float(pr_auc)),
+        [("classifier", "auc", auc), ("classifier", "pr_auc", pr_auc),
          ("classifier", "best_threshold", float(thr)), ("classifier", "best_f1", float(f1))],
         "section string, metric string, value double")
-    return TrainResult(model, scored, metrics, float(auc), float(pr_auc), float(thr), float(f1), report, bounds)
+    return TrainResult(model, scored, metrics, auc, pr_auc, float(thr), float(f1), report, bounds)

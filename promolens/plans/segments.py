@@ -4,22 +4,21 @@ Preparation follows the reference guards, each returning a reason when
 segmentation is skipped: missing columns, no usable value, all features
 constant, fewer than 10 rows. Imputation (median), the variance filter and
 standardisation (population std) are fitted on all rows with aggregates.
-k = 2..7 is chosen on a bounded hash-ordered sample (20 000 rows by
-default) by silhouette (first maximum); then every row is assigned.
+K-Means is fitted on all rows for k = 2..7 and scored by the silhouette of
+all rows (first maximum); every row is assigned.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.numeric import nan_inf_to_null
-from promolens.operators import sampling
 from promolens.operators.quantiles import exact_quantiles
 from promolens.session import reliable_checkpoint
 
@@ -33,6 +32,7 @@ class SegmentInputs:
     features: list[str]
     n_rows: int
     reason: str | None          # why segmentation is skipped, else None
+    z: list[Column] | None = None  # the standardised features as expressions on the raw columns
 
 
 def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> SegmentInputs:
@@ -50,7 +50,8 @@ def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> S
         return SegmentInputs(None, [], usable["n"], "no usable rows")
     med = exact_quantiles(x, list(feature_cols), [0.5])
     present = [c for c in feature_cols if med[c][0] is not None]  # all-missing columns are dropped
-    imp = x.select(id_col, *[F.coalesce(F.col(c), F.lit(med[c][0])).alias(c) for c in present])
+    filled = {c: F.coalesce(nan_inf_to_null(F.col(c).cast("double")), F.lit(med[c][0])) for c in present}
+    imp = x.select(id_col, *[filled[c].alias(c) for c in present])
     stats = imp.agg(*[F.var_pop(c).alias(f"v_{c}") for c in present],
                     *[F.avg(c).alias(f"m_{c}") for c in present],
                     *[F.stddev_pop(c).alias(f"s_{c}") for c in present]).first()
@@ -59,9 +60,8 @@ def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> S
         return SegmentInputs(None, [], usable["n"], "all segmentation features have zero variance")
     if usable["n"] < MIN_ROWS:
         return SegmentInputs(None, kept, usable["n"], f"too few rows ({usable['n']}) for clustering")
-    z = imp.select(id_col, *[((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"])).alias(f"z_{c}")
-                             for c in kept])
-    return SegmentInputs(z, kept, usable["n"], None)
+    z = [((filled[c] - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"])).alias(f"z_{c}") for c in kept]
+    return SegmentInputs(x.select(id_col, *z), kept, usable["n"], None, z)
 
 
 @dataclass
@@ -71,30 +71,35 @@ class SegmentResult:
     silhouette: float | None
     reason: str | None
     scores: list[tuple[int, float]]
+    model: KMeansModel | None = None
+    inputs: SegmentInputs | None = None
 
+    def assign(self, df: DataFrame) -> DataFrame:
+        """``df`` (with the raw feature columns) and its ``segment``, NULL when
+        segmentation was skipped; a projection, no join."""
+        if self.model is None:
+            return df.withColumn("segment", F.lit(None).cast("int"))
+        zc = [f"z_{c}" for c in self.inputs.features]
+        vec = VectorAssembler(inputCols=zc, outputCol="features").transform(df.select("*", *self.inputs.z))
+        return self.model.transform(vec).select(*df.columns, F.col("prediction").cast("int").alias("segment"))
 
-def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), sample_rows: int = 20_000, seed: int = 42,
+
+def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), seed: int = 42,
                  id_col: str = "ProposalID") -> SegmentResult:
     if inputs.reason:
         return SegmentResult(None, None, None, inputs.reason, [])
     zc = [f"z_{c}" for c in inputs.features]
     vec = VectorAssembler(inputCols=zc, outputCol="features").transform(inputs.frame)
-    n = inputs.n_rows
-    if n > sample_rows:
-        sample = (sampling.smallest_by_hash(vec.withColumn("_all", F.lit(0)), "_all", {0: (sample_rows, n)}, id_col,
-                                            seed).where(F.col("_in")).drop("_in", "_all"))
-    else:
-        sample = vec
-    sample = reliable_checkpoint(sample.select(id_col, "features"), spread=True)  # bounded: at most sample_rows rows
+    rows = reliable_checkpoint(vec.select(id_col, "features"), spread=True)  # read by every k
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = (None, -1.0, None)
     scores = []
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(sample)
-        s = evaluator.evaluate(model.transform(sample))
+        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(rows)
+        s = evaluator.evaluate(model.transform(rows))
         scores.append((k, float(s)))
         if s > best[1]:
             best = (k, float(s), model)
     k, s, model = best
-    seg = model.transform(vec).select(id_col, F.col("prediction").cast("int").alias("segment"))
-    return SegmentResult(seg, k, s, None, scores)
+    seg = model.transform(rows).select(id_col, F.col("prediction").cast("int").alias("segment"))
+    return SegmentResult(seg, k, s, None, scores, model, inputs)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,26 +79,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     if not (fallback or sc.master.startswith("local")):
         raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS, S3, ...)")
-    # local mode (tests, a laptop): a folder on this machine is the shared storage
-    path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "promolens-checkpoints")
+    # local mode (tests, a laptop): driver and tasks are one process, a new folder on this machine is shared storage
+    path = fallback or tempfile.mkdtemp(prefix="promolens-checkpoints-")
     sc.setCheckpointDir(path)
-    return path
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def reliable_checkpoint(df, spread: bool = False):
-    """Materialise ``df`` into the shared checkpoint folder and cut its
-    lineage (survives the loss of the executors that computed it).
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read
+    it back: the lineage is cut (it survives the loss of the executors that
+    computed it) and readers take only the columns they use.
 
-    AQE packs a small result into few partitions; the steps that read a
-    checkpoint (model fitting, scoring, several passes) would then run on
-    one core. With ``spread``, a checkpoint with fewer partitions than the
-    default parallelism is redistributed and written again. Few partitions
-    after coalescing means little data, so this costs little, and a large
-    result (many partitions) is left as it is."""
-    ensure_checkpoint_dir(df.sparkSession)
-    ck = df.checkpoint(eager=True)
-    if spread:
-        dp = df.sparkSession.sparkContext.defaultParallelism
-        if ck.rdd.getNumPartitions() < dp:
-            ck = ck.repartition(dp).checkpoint(eager=True)
-    return ck
+    AQE packs a small result into few files; the steps that read it several
+    times (model fitting, scoring) would then run on one core. With
+    ``spread``, a table that would be read in fewer partitions than the
+    default parallelism is dealt out as it is read; it is not written again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    parallel = spark.sparkContext.defaultParallelism
+    if spread and out.rdd.getNumPartitions() < parallel:
+        out = out.repartition(parallel)
+    return out

@@ -57,3 +57,7 @@ def test_one_class_only(spark):
     assert all(r["precision"] == 1.0 for r in pr)
     rep = {r["label"]: r for r in curves.classification_report(df, "s", "y", 0.5).collect()}
     assert rep["Accepted"]["precision"] == 0.0 and rep["accuracy"]["f1_score"] == 0.5
+    assert curves.roc_auc(df, "s", "y").first()[0] is None and curves.average_precision(df, "s", "y").first()[0] == 1.0
+    none = _df(spark, [(0.3, 0), (0.6, 0)])
+    assert curves.roc_auc(none, "s", "y").first()[0] is None and curves.average_precision(none, "s", "y").first()[0] == 0.0
+    assert curves.binary_summary(none, "s", "y")["auc"] is None

@@ -55,6 +55,35 @@ def test_run_pipeline_end_to_end(spark, raw, tmp_path):
     assert tabs.selected_deals.count() == sel.where("selected = 1").count()
 
 
+def test_csv_command_line_round_trip(spark, raw, tmp_path):
+    from promolens.__main__ import main
+
+    dirty = raw.withColumns({
+        "Purchases": F.when(F.col("ProposalID") == "P1", "NA").when(F.col("ProposalID") == "P2", "abc").otherwise(F.col("Purchases")),
+        "Recency": F.when(F.col("ProposalID") == "P3", "").otherwise(F.col("Recency")),
+        "Region": F.when(F.col("ProposalID") == "P4", "N/A").otherwise(F.col("Region")),
+        "Accepted": F.concat("Accepted", F.lit(".0"))})
+    src, out, ev = (str(tmp_path / d) for d in ("in", "out", "eval"))
+    write_csv(dirty, src)
+    rows = {r["ProposalID"]: r for r in read_proposals_csv(spark, src).collect()}
+    assert rows["P1"]["Purchases"] is None and rows["P3"]["Recency"] is None and rows["P4"]["Region"] is None
+    main(["pipeline", "--data", src, "--budget", "20000", "--model", "rf", "--out", out, "--format", "csv"])
+    main(["evaluate", "--proposals", src, "--scores", f"{out}/proposal_accept_scores", "--selection", f"{out}/proposal_selection", "--outdir", ev])
+    assert spark.read.parquet(f"{ev}/score_histogram").agg(F.sum("count")).first()[0] == 600
+    scores = read_proposals_csv(spark, f"{out}/proposal_accept_scores").select(F.col("accept_prob").cast("double").alias("p")).distinct().count()
+    assert spark.read.parquet(f"{ev}/pr_curve").count() == scores + 1
+
+
+def test_text_scores_tie_like_numbers(spark):
+    props = spark.createDataFrame([("a", "1.0"), ("b", "0"), ("c", "true")], "ProposalID string, Accepted string")
+    scores = spark.createDataFrame([("a", "0.5"), ("b", "0.50"), ("c", "0.9")], "ProposalID string, accept_prob string")
+    sel = spark.createDataFrame([("a", "1", "2.5", "abc")], "ProposalID string, selected string, expected_profit string, Cost string")
+    df = evaluation_frame(props, scores, sel)
+    assert dict(df.dtypes)["accept_prob"] == "double" and {r["Accepted"] for r in df.collect()} == {0, 1}
+    tabs = evaluation_tables(df)
+    assert tabs.pr_curve.count() == 3 and tabs.roc_auc.first()[0] == 0.75
+
+
 def test_evaluation_needs_labels(spark, raw):
     scores = raw.select("ProposalID", F.lit(0.5).alias("accept_prob"))
     props = raw.withColumn("Accepted", F.when(F.col("ProposalID") == "P3", None).otherwise(F.col("Accepted")))

@@ -65,6 +65,51 @@ def test_empty_frame(spark):
     assert r.total_profit == 0.0 and r.totals.first()["selected_count"] == 0
 
 
+def test_fills_until_nothing_fits(spark):
+    # halves of halves: every round leaves a little less, 34 proposals need more rounds than ten
+    items, size, i = [], 1 << 20, 0
+    while size >= 16:
+        for cost in (size // 2 + 1, size // 2):
+            items.append((f"p{i:02d}", cost * (3.0 - 0.01 * i), float(cost), 1.0))
+            i += 1
+        size //= 2
+    budget = float(1 << 20)
+    r = select_within_budget(_frame(spark, items), budget)
+    rows = r.selection.collect()
+    left = budget - sum(x["Cost"] for x in rows if x["selected"] == 1)
+    assert left >= 0 and all(x["Cost"] > left for x in rows if x["selected"] == 0)
+    order = sorted(rows, key=lambda x: (-x["profit_per_cost"], -x["expected_profit"], x["ProposalID"]))
+    want, room = set(), budget
+    for x in order:  # the rounds are the plain greedy walk
+        if x["Cost"] <= room:
+            want.add(x["ProposalID"])
+            room -= x["Cost"]
+    assert {x["ProposalID"] for x in rows if x["selected"] == 1} == want
+
+
+def test_fills_after_the_single_best(spark):
+    items = [("small", 12.0, 1.0, 1.0), ("big", 200.0, 95.0, 1.0), ("rest", 6.0, 5.0, 1.0), ("more", 5.5, 5.0, 1.0)]
+    r = select_within_budget(_frame(spark, items), 100.0)
+    # greedy takes small and is left without big; big alone is worth more, and rest still fits beside it
+    assert {x["ProposalID"] for x in r.selection.collect() if x["selected"] == 1} >= {"big"}
+    left = 100.0 - r.total_cost
+    assert all(x["Cost"] > left for x in r.selection.collect() if x["selected"] == 0)
+
+
+def test_ranking_by_efficiency_profit_id(spark):
+    items = [(f"f{i}", 10.0 + i // 2, 0.0, 1.0) for i in range(20)]  # all free: profit decides, then the id
+    from promolens.operators.knapsack import top_candidates
+
+    assert [r["ProposalID"] for r in top_candidates(_frame(spark, items), 3).collect()] == ["f18", "f19", "f16"]
+    r = select_within_budget(_frame(spark, items), 10.0, top_n=3)
+    assert {x["ProposalID"] for x in r.selection.collect()} == {"f16", "f18", "f19"}
+
+
+def test_ids_must_be_unique(spark):
+    with pytest.raises(ValueError, match="unique"):
+        select_within_budget(_frame(spark, [("a", 10.0, 1.0, 0.9), ("a", 11.0, 1.0, 0.9)]), 10.0)
+
+
 def test_candidate_cap_keeps_most_efficient(spark):
     items = [(f"p{i}", 100.0, float(10 + i), 0.9) for i in range(20)]  # efficiency falls with i
     r = select_within_budget(_frame(spark, items), 1e6, top_n=5)

@@ -48,7 +48,7 @@ def test_planted_signal_rf(planted):
 
 def test_missing_required_column(spark):
     df = spark.createDataFrame([("a", "1")], "ProposalID string, ProposalAmount string")
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="needs columns that the input lacks"):
         train_and_score(df, PipelineConfig())
 
 
@@ -68,12 +68,19 @@ def test_segments_assign_every_row(spark):
     rnd = random.Random(4)
     rows = [(f"r{i}", rnd.gauss(c * 10, 1), rnd.gauss(-c * 10, 1)) for i in range(600) for c in [i % 3]]
     df = spark.createDataFrame(rows, "ProposalID string, a double, b double")
-    res = fit_segments(segment_inputs(df, ["a", "b"]), sample_rows=200)
+    res = fit_segments(segment_inputs(df, ["a", "b"]))
     assert res.k in range(2, 8)
     seg = res.segments
     assert seg.count() == 600
     assert seg.where(F.col("segment").isNull() | (F.col("segment") >= res.k)).count() == 0
     assert res.k == 3
+    # fitted on every row: the centroids are the means of the segments
+    z = segment_inputs(df, ["a", "b"]).frame.join(seg, "ProposalID").groupBy("segment").agg(F.avg("z_a"), F.avg("z_b")).collect()
+    centres = res.model.clusterCenters()
+    for r in z:
+        assert all(abs(x - y) < 1e-6 for x, y in zip(centres[r["segment"]], (r[1], r[2])))
+    again = {r["ProposalID"]: r["segment"] for r in res.assign(df).collect()}
+    assert again == {r["ProposalID"]: r["segment"] for r in seg.collect()}
 
 
 def test_oversampled_training_runs(planted):

@@ -65,6 +65,30 @@ def test_customer_metrics_with_hot_customer(spark):
         assert r["Recency"] == (as_of - last.date()).days
 
 
+def test_lines_are_not_shuffled_on_the_customer(spark):
+    """Only headers and customers move on CustomerID: no exchange on it carries a line column."""
+    t, _, _ = _tables(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = proposals(t, dt.date(2016, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    keys = [ln for ln in plan.splitlines() if "Join" in ln]
+    assert any("SalesOrderID" in ln for ln in keys) and any("CustomerID" in ln for ln in keys)
+    lines = plan.splitlines()
+    for i, ln in enumerate(lines):
+        if "Exchange hashpartitioning(CustomerID" in ln:
+            depth = len(ln) - len(ln.lstrip(" :+-"))
+            below = []
+            for x in lines[i + 1:]:
+                if len(x) - len(x.lstrip(" :+-")) <= depth:
+                    break
+                below.append(x)
+            project = next(x for x in below if "Project" in x or "HashAggregate" in x)
+            assert "SalesOrderDetailID" not in project, project
+
+
 def test_proposals_row_count_with_hot_keys(spark):
     t, headers, lines = _tables(spark)
     status = {h[0]: h[4] for h in headers}
