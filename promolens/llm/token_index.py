@@ -130,9 +130,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id"
      .text(path))
 
 
-def read_shards(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """One row per stored document, from the files: (part, file_no, row, key,
-    byte_offset, n_ids, ids binary)."""
+_PLACE = "part long, file_no long, row long, key long, byte_offset long, n_ids long"
+
+
+def read_shards(spark: SparkSession, path: str, width: int, checksum: bool = False) -> DataFrame:
+    """One row per stored document, from the files: its place and ``ids``
+    (binary), or with ``checksum`` ``ids_crc32``, the unsigned checksum of
+    its ids as unsigned 32-bit integers, instead."""
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -149,30 +153,26 @@ def read_shards(spark: SparkSession, path: str, width: int) -> DataFrame:
                 ends = np.cumsum(counts) * width
                 if ends[-1] != at:
                     raise ValueError(f"{name}: its footer and its size differ")
-                ids = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), raw.slice(0, at)])
+                cuts = np.concatenate([[0], ends]).astype(np.int64)
+                if checksum:
+                    wide = memoryview(np.frombuffer(raw, f"<u{width}", at // width).astype("<u4").tobytes())
+                    last = pa.array([zlib.crc32(wide[x:y]) for x, y in zip((cuts * 4 // width).tolist(), (cuts[1:] * 4 // width).tolist())], pa.int64())
+                else:
+                    last = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cuts), raw.slice(0, at)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part)), pa.array(np.full(n, no)), pa.array(np.arange(n)),
-                     pa.array(keys, mask=nulls), pa.array(ends - counts * width), pa.array(counts), ids.cast(pa.binary())],
-                    names=["part", "file_no", "row", "key", "byte_offset", "n_ids", "ids"])
+                     pa.array(keys, mask=nulls), pa.array(ends - counts * width), pa.array(counts), last],
+                    names=["part", "file_no", "row", "key", "byte_offset", "n_ids", "ids_crc32" if checksum else "ids"])
 
     return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-            .mapInArrow(spans, "part long, file_no long, row long, key long, byte_offset long, n_ids long, ids binary"))
-
-
-def _as_u32(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        crc = [zlib.crc32(np.frombuffer(b.as_buffer(), f"<u{width}").astype("<u4").tobytes()) for b in batch.column("ids")]
-        yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(crc, pa.int64()))
+            .mapInArrow(spans, f"{_PLACE}, {'ids_crc32 long' if checksum else 'ids binary'}"))
 
 
 def catalogue(spark: SparkSession, path: str, width: int) -> DataFrame:
     """The stored documents without their ids: place, order number, number of
     ids stored before, occurrence of the key, checksum of the ids as
     unsigned 32-bit integers."""
-    rows = read_shards(spark, path, width).mapInArrow(
-        lambda batches: _as_u32(batches, width),
-        "part long, file_no long, row long, key long, byte_offset long, n_ids long, ids_crc32 long")
-    rows = staged(rows, "catalogue")
+    rows = staged(read_shards(spark, path, width, checksum=True), "catalogue")
     shards = with_running(rows.groupBy("part", "file_no").agg(F.sum("n_ids").alias("ids")), ["part", "file_no"], "ids", out="before")
     rows = (rows.join(shards.drop("ids"), ["part", "file_no"])
             .withColumn("start", F.col("before") + (F.col("byte_offset") / width).cast("long")).drop("before"))
