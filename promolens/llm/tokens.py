@@ -18,10 +18,28 @@ import numpy as np
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
 _ADJACENT = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c")
-KEEP = 500_000
+KEEP = 700_000
 LONGEST = 48
 
 
+_LATIN = "\u0250"  # letters below it are composed, and are lowered one by one
+
+
+def _byte_signs() -> list[str]:
+    """Byte-level spelling: visible Latin-1 bytes stand for themselves, the
+    others for the characters from 256 on, in order."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in seen else next(rest)) for b in range(256)]
+
+
+_SIGNS = dict(enumerate(_byte_signs()))
+
+
+def _spelt(word: str) -> str:
+    return word.encode().decode("latin-1").translate(_SIGNS)
+
+
 def _plain(text: str) -> bool:
     """No white space but single spaces and line breaks, each between other characters or at an end."""
     return not (any(a in text for a in _ADJACENT) or _RARE.search(text))
@@ -33,7 +51,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.code = "H" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
@@ -43,10 +61,15 @@ class Encoder:
                                        if not (t.single_word or t.lstrip or t.rstrip))
         self.chunks: dict[str, bytes] = {}  # of chunks after a text's first, with their space
         self.atoms: dict[str, bytes] = {}  # of strings as they are
+        self.passing: list[str] = []
         size = self.tok.get_vocab_size(with_added_tokens=True)
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         names = [self.tok.id_to_token(i) or "" for i in range(size)]
         self.begins = np.array([t.startswith("\u0120") for t in names])  # the byte-level sign of a space
         self.ends = np.array([t.endswith("</w>") for t in names])
+        self.spaced = not self.ends.any()
+        self.sign = "\u0120" if self.spaced else ""
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -54,19 +77,24 @@ class Encoder:
     def _learn(self, atoms: set[str]) -> None:
         """Encode new atoms many at a time, an added token behind each."""
         new = list(atoms - self.atoms.keys())
-        if len(self.atoms) + len(new) > KEEP:
-            self.atoms.clear()
-            new = list(atoms)
+        if len(self.atoms) + len(new) > KEEP // 2:
+            self.passing += new  # forgotten after this call: what came first is frequent
         table, w8 = self.atoms, self.width
-        words = [a for a in new if a[:1] == " " and a[1:].isalpha()]
-        for lo in range(0, len(words), 4096):  # words need no added token between them: their ids show where one begins or ends
+        # Latin words need neither an added token between them (their ids show where one begins or ends) nor the
+        # normaliser: the model takes them as they are, in their byte-level spelling
+        words = [a for a in new if a[:1] == " " and max(a) < _LATIN and a[1:].isalpha() and "\u0130" not in a]
+        for lo in range(0, len(words), 4096):
             some = words[lo: lo + 4096]
-            ids = np.array(self.tok.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.code)
-            cuts = np.flatnonzero(self.begins[ids]) if self.begins.any() else np.flatnonzero(self.ends[ids]) + 1
-            cuts = [*cuts.tolist(), len(ids)] if self.begins.any() else [0, *cuts.tolist()]
+            line = " ".join([self.sign + (a[1:] if a.isascii() else _spelt(a[1:])) for a in some])
+            ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, self.code)
+            if self.spaced:
+                cuts = [*(np.flatnonzero(self.begins[ids]) * w8).tolist(), len(ids) * w8]
+            else:
+                cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * w8).tolist()]
             if len(cuts) == len(some) + 1:
                 raw = ids.tobytes()
-                table.update((a, raw[x * w8: y * w8]) for a, x, y in zip(some, cuts, cuts[1:]))
+                for a, x, y in zip(some, cuts, cuts[1:], strict=False):
+                    table[a] = raw[x:y]
         plain = [a for a in new if "<|" not in a and a not in table]
         for lo in range(0, len(plain), 4096):
             some = plain[lo: lo + 4096]
@@ -94,10 +122,27 @@ class Encoder:
         return [*parts, lead + chunk] if lead or chunk else parts
 
     def _fill(self, words: list[str]) -> dict[str, bytes]:
-        parts = {w: self._parts(w, " ") for w in dict.fromkeys(words)}
-        self._learn({a for p in parts.values() for a in p})
-        get = self.atoms.__getitem__
-        made = {w: b"".join(map(get, p)) for w, p in parts.items()}
+        """Ids of chunks that the table lacks; most are a word and a tail."""
+        known, lower, made = self.atoms, self.lower, {}
+        keys, cores, tails, odd = [], [], [], {}
+        for w in dict.fromkeys(words):
+            core = w.rstrip(".,")
+            if core.isalpha():
+                keys.append(w)
+                tails.append(w[len(core):])
+                cores.append(" " + (core.lower() if lower and max(core) < _LATIN and "\u0130" not in core else core))
+            else:
+                odd[w] = self._parts(w, " ")
+        need = set(cores)
+        need.update(tails)
+        for p in odd.values():
+            need.update(p)
+        need.discard("")
+        self._learn(need)
+        for w, core, tail in zip(keys, cores, tails, strict=True):
+            made[w] = known[core] + known[tail] if tail else known[core]
+        for w, p in odd.items():
+            made[w] = b"".join([known[a] for a in p])
         if len(self.chunks) < KEEP:
             self.chunks.update((w, b) for w, b in made.items() if len(w) <= LONGEST)
         return made
@@ -118,6 +163,9 @@ class Encoder:
             end = at + len(p) - 1
             out.append(b"".join([self.atoms[a] for a in h]) + b"".join(got[at:end]))
             at = end
+        for a in self.passing:
+            del self.atoms[a]
+        self.passing = []
         return out
 
 
