@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pii, pq_dedup, sharding, token_index, unigram, windows
 from promolens.llm.common import scratch
+from promolens.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,5 +81,3 @@ QUERIES: dict[str, Query] = {
     "op9_balanced_sharding": op9,
     "op10_jaccard_join": op10,
 }
-
-ORACLES: dict[str, str] = {}
