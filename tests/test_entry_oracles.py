@@ -50,7 +50,8 @@ FAST = ["promotions_by_year_month", "promotions_year_pivot", "revenue_by_promo_f
         "winsorized_features", "roc_auc", "average_precision", "best_f1_threshold", "classification_report",
         "pr_curve", "roc_curve", "score_histogram", "lift_gain", "budget_selection", "selection_totals",
         "balanced_sample", "stratified_split", "oversampled_train", "class_weights", "segment_inputs",
-        "table_listing", "coercion_missing_counts", "selected_deals"]
+        "table_listing", "coercion_missing_counts", "selected_deals", "top_candidates", "pr_curve_text_scores",
+        "catalog_listing"]
 
 
 @pytest.mark.parametrize("name", FAST)
