@@ -109,7 +109,6 @@ def main(argv=None) -> None:
         outs.update(monthly.monthly_reports(t, params))
         for name, df in outs.items():
             df.write.mode("overwrite").parquet(os.path.join(args.out, name))
-        outs["line_base"].unpersist()
 
 
 if __name__ == "__main__":

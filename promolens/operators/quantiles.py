@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.numeric import nan_inf_to_null
+from promolens.session import reliable_checkpoint
 
 
 def _order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]],
@@ -114,6 +114,8 @@ def linear_positions(n: int, q: float) -> tuple[int, int, float]:
 
 def lerp(a: float, b: float, t: float) -> float:
     """NumPy's monotone interpolation: from the nearer end point."""
+    if t == 0:  # also where b - a is too large for a double
+        return a
     d = b - a
     return b - d * (1 - t) if t >= 0.5 else a + d * t
 
@@ -124,30 +126,28 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], bins: in
     method, bit for bit given the same order statistics), ignoring NULL,
     NaN and infinite values. Returns ``{col: [q(p) for p in probs]}``; None
     for a column without values."""
-    narrow = df.select(*[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        aggs = []
-        for c in cols:
-            aggs += [F.count(c).alias(f"n_{c}"), F.min(c).alias(f"mn_{c}"), F.max(c).alias(f"mx_{c}")]
-        row = narrow.agg(*aggs).first()
-        counts = {c: row[f"n_{c}"] for c in cols}
-        mins = {c: row[f"mn_{c}"] for c in cols}
-        maxs = {c: row[f"mx_{c}"] for c in cols}
-        ranks: dict[str, list[int]] = {}
-        plan: dict[tuple[str, float], tuple[int, int, float]] = {}
-        for c in cols:
-            n = counts[c]
-            rs: set[int] = set()
-            for p in probs:
-                if n == 0:
-                    continue
-                lo, hi, t = linear_positions(n, p)
-                plan[(c, p)] = (lo, hi, t)
-                rs.update([lo, hi])
-            ranks[c] = sorted(rs)
-        stats = _order_statistics(narrow, [c for c in cols if counts[c]], ranks, counts, mins, maxs, bins, small)
-    finally:
-        narrow.unpersist()
+    # read by every refinement pass
+    narrow = reliable_checkpoint(df.select(*[nan_inf_to_null(F.col(c).cast("double")).alias(c) for c in cols]))
+    aggs = []
+    for c in cols:
+        aggs += [F.count(c).alias(f"n_{c}"), F.min(c).alias(f"mn_{c}"), F.max(c).alias(f"mx_{c}")]
+    row = narrow.agg(*aggs).first()
+    counts = {c: row[f"n_{c}"] for c in cols}
+    mins = {c: row[f"mn_{c}"] for c in cols}
+    maxs = {c: row[f"mx_{c}"] for c in cols}
+    ranks: dict[str, list[int]] = {}
+    plan: dict[tuple[str, float], tuple[int, int, float]] = {}
+    for c in cols:
+        n = counts[c]
+        rs: set[int] = set()
+        for p in probs:
+            if n == 0:
+                continue
+            lo, hi, t = linear_positions(n, p)
+            plan[(c, p)] = (lo, hi, t)
+            rs.update([lo, hi])
+        ranks[c] = sorted(rs)
+    stats = _order_statistics(narrow, [c for c in cols if counts[c]], ranks, counts, mins, maxs, bins, small)
     out: dict[str, list[float | None]] = {}
     for c in cols:
         vals: list[float | None] = []

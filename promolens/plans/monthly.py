@@ -3,7 +3,7 @@
 ``line_base`` is the shared, narrow fact of all reports: one row per order
 line in the date range with its month, territory, product and category
 names and the promotion flag. Run several reports in one job by
-persisting it (``line_base(...).persist()``); each function also works on
+writing it once (``reliable_checkpoint(line_base(...))``); each function also works on
 a fresh plan, where Catalyst prunes it to the columns the report reads.
 """
 
@@ -18,6 +18,7 @@ from promolens.functions.dates import in_closed_range, in_half_open_day_range, m
 from promolens.functions.flags import UNCATEGORIZED, UNSPECIFIED, is_promotion, promo_label
 from promolens.operators.intervals import months_active
 from promolens.operators.topn import rank_filter
+from promolens.session import reliable_checkpoint
 from promolens.sources.tables import SalesTables
 
 
@@ -134,9 +135,9 @@ def top_groups_by_month(lb: DataFrame, params: ReportParams) -> DataFrame:
 
 def monthly_reports(t: SalesTables, params: ReportParams) -> dict[str, DataFrame]:
     """All monthly reports of one parameter set, sharing one materialised
-    ``line_base`` (built once, as the report script's temp tables are).
-    The caller unpersists ``result['line_base']`` when done."""
-    lb = line_base(t, params).persist()
+    ``line_base`` (written once to the shared folder, as the report script's
+    temp tables are)."""
+    lb = reliable_checkpoint(line_base(t, params))
     return {
         "line_base": lb,
         "order_promo_flag": order_promo_flag(lb),

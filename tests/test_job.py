@@ -45,6 +45,10 @@ def test_run_pipeline_end_to_end(spark, raw, tmp_path):
     for name in ("proposal_accept_scores", "customer_segments", "proposal_selection", "proposal_model",
                  "model_report"):
         assert os.path.exists(os.path.join(out_dir, name)), name
+    figures = {r["metric"]: r["value"] for r in out.report.where("section = 'optimization'").collect()}
+    sums = sel.where("selected = 1").agg(F.count(F.lit(1)), F.sum("Cost"), F.sum("expected_profit")).first()
+    assert figures["selected_count"] == sums[0]
+    assert abs(figures["total_selected_cost"] - sums[1]) < 0.02 and abs(figures["total_selected_profit"] - sums[2]) < 0.02
     text = report_text(out.report)
     assert "AUC:" in text and "Total selected cost" in text
 
