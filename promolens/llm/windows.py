@@ -146,7 +146,8 @@ def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
             many = np.diff(np.append(np.flatnonzero(~same), len(order))) > 1
             doc = np.searchsorted(at, place, "right") - 1
             pos = (place - at[doc]).astype(np.uint32)
-            to = (one[first] % _U(buckets)).astype(np.int64)
+            # copies of a window share its smallest run; neighbours mostly do, and so travel and return together
+            to = (mix64(low[place[first]]) % _U(buckets)).astype(np.int64)
             by = np.argsort(to, kind="stable")
             k1, k2 = part.column("k1").to_numpy(), part.column("k2").to_numpy()
             rows: list[list] = [[] for _ in range(8)]
