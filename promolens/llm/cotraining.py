@@ -1,6 +1,6 @@
 """Quality classifier by co-training.
 
-Two views of a document: its words, and what its page record and layout say
+Two views of a document: its words and their stems, and what its page record and layout say
 (language, source, length, lines, shares of capitals, digits, signs, spaces,
 distinct words). Each has its own logistic classifier on one-hot features.
 Both start from labelled documents; in each round every document is scored
@@ -33,6 +33,7 @@ LEAST_G2 = 18.0
 EXCHANGE = 1000
 SURE = 0.97
 BINS = 16
+STEMS = (4, 5)  # bytes
 NAMED = 64  # hashed places for each of language and source
 NUMBERS = 8
 _KIND = np.zeros(256, np.int8)  # 1 capital, 2 digit, 3 sign, 4 white space
@@ -43,15 +44,23 @@ for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
 _KIND[SPACE] = 4
 
 
-def _trimmed_words(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes without signs at the ends, text of each word, bytes, offsets)."""
+def _trimmed_words(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """(hashes of the words without signs at the ends, text of each word,
+    bytes, offsets, hashes and texts of all terms: the words, and the first
+    STEMS bytes of longer ones)."""
     raw, off = text_bytes(arr)
     starts, ends = word_spans(raw, off)
     doc = np.searchsorted(off, starts, "right") - 1
     for _ in range(3):
         starts = starts + ((ends - starts > 1) & (_KIND[raw[starts]] == 3)) if len(starts) else starts
         ends = ends - ((ends - starts > 1) & (_KIND[raw[ends - 1]] == 3)) if len(ends) else ends
-    return word_hashes(raw, starts, ends, True), doc, raw, off
+    h = word_hashes(raw, starts, ends, True)
+    terms, docs = [h], [doc]
+    for n in STEMS:
+        long = ends - starts > n
+        terms.append(word_hashes(raw, starts[long], starts[long] + n, True) ^ _U(0xA24BAED4963EE407 + n))
+        docs.append(doc[long])
+    return h, doc, raw, off, (np.concatenate(terms), np.concatenate(docs))
 
 
 def _distinct(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +130,12 @@ def fit_line(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def both_views(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the last step sees: either view's logit and the worse of the two,
+    as a fault that one view shows is a fault."""
+    return np.stack([a, b, np.maximum(a, b)], 1)
+
+
 @dataclass
 class Model:
     """Vocabulary, bins and both views; ``base`` alone when nothing can be fitted."""
@@ -130,7 +145,7 @@ class Model:
     edges: np.ndarray = field(default_factory=lambda: np.zeros((NUMBERS, BINS - 1)))
     text: View | None = None
     page: View | None = None
-    mix: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    mix: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
     @property
     def page_width(self) -> int:
@@ -138,11 +153,11 @@ class Model:
 
     def features(self, part: pa.RecordBatch) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """(text, feature) pairs of both views."""
-        h, doc, raw, off = _trimmed_words(part.column("text"))
+        *layout, (h, doc) = _trimmed_words(part.column("text"))
         at = np.minimum(np.searchsorted(self.vocabulary, h), max(0, len(self.vocabulary) - 1))
         known = self.vocabulary[at] == h if len(self.vocabulary) else np.zeros(len(h), bool)
         text = _distinct(doc[known], at[known])
-        return text, self.page_features(_layout(h, doc, raw, off), part)
+        return text, self.page_features(_layout(*layout), part)
 
     def page_features(self, numbers: np.ndarray, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         n = len(numbers)
@@ -159,7 +174,7 @@ class Model:
         if self.text is None:
             return (np.full(n, 1 - self.base),) * 3
         a, b = self.logits(*self.features(part), n)
-        return 1 - _sigmoid(a), 1 - _sigmoid(b), 1 - _sigmoid(self.mix[0] * a + self.mix[1] * b + self.mix[2])
+        return 1 - _sigmoid(a), 1 - _sigmoid(b), 1 - _sigmoid(np.column_stack([both_views(a, b), np.ones(n)]) @ self.mix)
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -175,10 +190,10 @@ def _wanted(labels: DataFrame, fit_rows: int) -> DataFrame:
 
 
 def _vocabulary(labelled: DataFrame) -> np.ndarray:
-    """Hashes of the words most telling of the class (likelihood ratio)."""
+    """Hashes of the terms most telling of the class (likelihood ratio)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            h, doc, _, _ = _trimmed_words(part.column("text"))
+            h, doc = _trimmed_words(part.column("text"))[4]
             d, v = _distinct(doc, h)
             word, at = np.unique(v, return_inverse=True)
             bad = np.bincount(at, part.column("bad").to_numpy()[d], len(word)).astype(np.int64)
@@ -215,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            values = _layout(*_trimmed_words(part.column("text")))
+            values = _layout(*_trimmed_words(part.column("text"))[:4])
             yield pa.RecordBatch.from_arrays([pa.array(values[:, k]) for k in range(NUMBERS)], names=[f"v{k}" for k in range(NUMBERS)])
 
     kinds = ", ".join(f"v{k} double" for k in range(NUMBERS))
@@ -255,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
             view.scale, view.shift = fit_line(view.logit(row, col, len(y))[test][:, None], y[test])
             setattr(model, name, view)
             calibrated.append(view.logit(row, col, len(y))[test])
-        model.mix = fit_line(np.stack(calibrated, 1), y[test])
+        model.mix = fit_line(both_views(*calibrated), y[test])
 
     refit()
     pool = every.join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_anti")
