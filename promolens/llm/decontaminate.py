@@ -29,7 +29,8 @@ from promolens.llm.token_index import mix64
 
 _U = np.uint64
 Q = 12
-SEGMENT = 96
+SEGMENT = 64
+STEP = 16  # so any run of SEGMENT + STEP - 1 bytes of an item holds a whole segment: about 13 words
 EDITS_PER = 16  # one edit for so many bytes
 BLOCK_BYTES = 4 << 20
 MAP = 1 << 22
@@ -66,8 +67,7 @@ class Items:
             raw = normal(text or "")
             if len(raw) < Q:
                 continue  # no q-gram: too short to be told from chance
-            step = SEGMENT // 2
-            starts = sorted({*range(0, max(1, len(raw) - SEGMENT + 1), step), max(0, len(raw) - SEGMENT)})
+            starts = sorted({*range(0, max(1, len(raw) - SEGMENT + 1), STEP), max(0, len(raw) - SEGMENT)})
             for a in starts:
                 s = raw[a: a + SEGMENT]
                 k = min(len(s) // EDITS_PER, (len(s) - Q) // Q)
