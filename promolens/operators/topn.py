@@ -13,26 +13,25 @@ from promolens.session import reliable_checkpoint
 
 def top_k_through_joins(fact: DataFrame, order: list[Column], k: int,
                         enrich: Callable[[DataFrame], DataFrame], start: int | None = None) -> DataFrame:
-    """Exact ``enrich(fact).orderBy(order).limit(k)`` without joining the
-    whole fact table.
+    """Exact ``enrich(fact).orderBy(order).limit(k)``, in the usual case
+    without joining the whole fact table.
 
     ``enrich`` may only drop rows (inner joins), repeat them (duplicate
     dimension keys) or add columns; the order columns must come from
     ``fact`` and end in a unique key. Candidates are the first ``m`` fact
-    rows (a per-partition top-m, then one merge of m rows per partition);
-    if fewer than ``k`` of them survive ``enrich`` while more fact rows
-    exist, ``m`` grows. Any surviving row of a non-candidate sorts after
-    every candidate, so the answer is exact. The candidate set is a
-    reliable checkpoint: small, and safe if an executor is lost.
+    rows (a per-partition top-m, then one merge of m rows per partition),
+    ``m`` a fixed multiple of ``k``; being few they are broadcast, so the
+    other sides are not shuffled. Any surviving row of a non-candidate sorts
+    after every candidate, so k survivors are the answer. Should joins drop
+    so many that fewer are left, the whole fact table is joined and the top
+    k taken from that, still without sorting it in one task.
     """
     m = start or max(8 * k, 64)
-    while True:
-        cand = reliable_checkpoint(fact.orderBy(*order).limit(m))
-        n_cand = cand.count()
-        joined = enrich(cand)
-        if n_cand < m or joined.count() >= k:
-            return joined.orderBy(*order).limit(k)
-        m *= 8
+    cand = reliable_checkpoint(fact.orderBy(*order).limit(m))
+    joined = enrich(F.broadcast(cand))  # m rows
+    if joined.count() < k and cand.count() == m:
+        joined = enrich(fact)
+    return joined.orderBy(*order).limit(k)
 
 
 def rank_filter(df: DataFrame, partition_cols: list[str], order: list[Column], n: int,
