@@ -18,7 +18,7 @@ import numpy as np
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
 _ADJACENT = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c")
-KEEP = 700_000
+KEEP = 700_000  # chunks in a worker's table, about 240 bytes each
 LONGEST = 48
 
 
@@ -40,6 +40,11 @@ def _spelt(word: str) -> str:
     return word.encode().decode("latin-1").translate(_SIGNS)
 
 
+def _word(core: str) -> bool:
+    """Letters that neither composing nor lowering turns into other than letters."""
+    return core.isalpha() and max(core) < _LATIN and "\u0130" not in core
+
+
 def _plain(text: str) -> bool:
     """No white space but single spaces and line breaks, each between other characters or at an end."""
     return not (any(a in text for a in _ADJACENT) or _RARE.search(text))
@@ -49,7 +54,8 @@ class Encoder:
     """``encode(texts)`` gives the ids of each text as little-endian bytes,
     ``width`` bytes an id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = KEEP):
+        self.keep = keep
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -77,7 +83,7 @@ class Encoder:
     def _learn(self, atoms: set[str]) -> None:
         """Encode new atoms many at a time, an added token behind each."""
         new = list(atoms - self.atoms.keys())
-        if len(self.atoms) + len(new) > KEEP // 2:
+        if len(self.atoms) + len(new) > self.keep // 2:
             self.passing += new  # forgotten after this call: what came first is frequent
         table, w8 = self.atoms, self.width
         # Latin words need neither an added token between them (their ids show where one begins or ends) nor the
@@ -112,12 +118,12 @@ class Encoder:
     def _parts(self, chunk: str, lead: str) -> list[str]:
         """Atoms of a chunk; a chunk from a line break on has no space before it."""
         parts = []
-        if chunk[:1] == "\n":
+        if lead and chunk[:1] == "\n":
             parts, chunk, lead = ["\n"], chunk[1:], ""
         core = chunk.rstrip(".,")
-        if core.isalpha():
+        if _word(core):
             tail = chunk[len(core):]
-            core = core.lower() if self.lower and core.isascii() else core
+            core = core.lower() if self.lower else core
             return [*parts, lead + core, tail] if tail else [*parts, lead + core]
         return [*parts, lead + chunk] if lead or chunk else parts
 
@@ -127,10 +133,10 @@ class Encoder:
         keys, cores, tails, odd = [], [], [], {}
         for w in dict.fromkeys(words):
             core = w.rstrip(".,")
-            if core.isalpha():
+            if core.isalpha() and max(core) < _LATIN and "\u0130" not in core:  # _word(core)
                 keys.append(w)
                 tails.append(w[len(core):])
-                cores.append(" " + (core.lower() if lower and max(core) < _LATIN and "\u0130" not in core else core))
+                cores.append(" " + (core.lower() if lower else core))
             else:
                 odd[w] = self._parts(w, " ")
         need = set(cores)
@@ -143,7 +149,7 @@ class Encoder:
             made[w] = known[core] + known[tail] if tail else known[core]
         for w, p in odd.items():
             made[w] = b"".join([known[a] for a in p])
-        if len(self.chunks) < KEEP:
+        if len(self.chunks) < self.keep:
             self.chunks.update((w, b) for w, b in made.items() if len(w) <= LONGEST)
         return made
 
@@ -172,9 +178,9 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """The worker's encoder for a file; Python workers are reused, and so are
     its tables."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, keep)
     return _ENCODERS[path]

@@ -16,7 +16,7 @@ from promolens.llm.tokens import Encoder
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ENCODERS = {f: Encoder(public.path(f)) for f in FILES}
 TEXTS = ["", None, " ", "one", "a  b\n c", "Été, où. Über\nstraße", "x" * 300 + " y " * 50, "don't.,!", "same text here", "same text here",
-         "<|endoftext|> a", "word " * 900]
+         "<|endoftext|> a", "word " * 900, "\n\nx", "\n", "\ny\n"]
 
 
 def plain(name, text):
@@ -25,7 +25,7 @@ def plain(name, text):
 
 @pytest.mark.parametrize("name", FILES)
 @given(st.lists(st.lists(st.sampled_from([*"aZ \u00e9\u0130\u00df\u03a3.,\n\t\u00a0\u3000'9<|>\u0301", "<|endoftext|>", "the", " and"]), max_size=40).map("".join), max_size=6))
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=600, deadline=None)
 def test_ids_are_the_library_s(name, texts):
     got = ENCODERS[name].encode(texts)
     assert [np.frombuffer(b, f"<u{ENCODERS[name].width}").tolist() for b in got] == [plain(name, t) for t in texts]
