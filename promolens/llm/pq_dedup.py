@@ -31,7 +31,7 @@ from promolens.llm.common import connected_components, shuffle_partitions, stage
 from promolens.llm.jaccard_join import Forest
 
 FIT_ROWS = 32_768
-PER_LIST = 128
+PER_LIST = 256  # of the largest label
 PROBE = 4.0
 SUBSPACES = 8
 CODES = 64
@@ -209,9 +209,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     for (width,) in reps.select(F.size("vec")).distinct().collect():  # a model for each length of vector
         own = reps.where(F.size("vec") == width)
         sample = own.orderBy(F.xxhash64("label", "vec"), "rid").limit(FIT_ROWS).select("vec").toArrow()
-        total = own.count()
+        # lists are kept by label: enough of them for the largest label
+        largest = own.groupBy("label").count().agg(F.max("count")).first()[0]
         x = _unit(sample.column("vec"))
-        parts.append(links(own, Quantiser(x, max(1, min(len(x) // 16, total // PER_LIST))), least))
+        parts.append(links(own, Quantiser(x, max(1, min(len(x) // 16, largest // PER_LIST))), least))
     if not parts:
         alone = vectors
     else:
