@@ -30,6 +30,7 @@ from promolens.llm.common import shuffle_partitions, slices, staged, with_runnin
 from promolens.llm.tokens import encoder
 
 END_ID = 0
+KEEP_CHUNKS = 1_300_000  # the writer's table of known chunks: about 300 MB a worker
 _U = np.uint64
 
 
@@ -88,11 +89,12 @@ def fingerprint(key: np.ndarray, occ: np.ndarray) -> np.ndarray:
 def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text",
                  docs_per_shard: int = 1024, end_id: int = END_ID) -> None:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes
-    the shards in ascending key order (null keys first, equal keys by text).
+    the shards in ascending key order (null keys first; equal keys by text inside
+    a range).
 
     A shard must stay under 2 GB, the limit of a binary value in Spark."""
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, KEEP_CHUNKS)
         stop = int(end_id).to_bytes(enc.width, "little")
         keys: list[int] = []
         counts: list[int] = []
@@ -105,7 +107,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id"
                 x.clear()
             return end
 
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 22):
             out = []
             ids = enc.encode(part.column("text").fill_null("").to_pylist())
             for k, b in zip(part.column("key").to_pylist(), ids, strict=True):
@@ -121,9 +123,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id"
 
     if end_id >> 8 * (encoder(tokenizer).width - 1):
         raise ValueError("the end id's high byte must be zero: it ends each record")
-    order = ["key", F.xxhash64("text")]
-    (docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-     .repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    # The salt cuts a key with very many rows; the range bounds are sampled without reading a text.
+    (docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("salt"))
+     .repartitionByRange(shuffle_partitions(docs.sparkSession), "key", "salt").sortWithinPartitions("key", F.xxhash64("text"))
      .mapInArrow(records, "rec binary")
      .select(F.expr("cast(substring(rec, 1, length(rec) - 1) as string)").alias("value"))
      .write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", docs_per_shard + 1)
