@@ -9,8 +9,8 @@ their prefix: the best score and its number of tokens. A new pre-token only
 scores the characters past its longest known prefix; its end node keeps the
 count, and every occurrence anywhere reads it there.
 
-Each worker keeps one trie of bounded size across its tasks; when full it is
-begun again, which changes no count. Nothing is shuffled.
+Each worker keeps one trie of bounded size across its tasks; what comes first,
+and so is frequent, stays, and the bound changes no count. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from promolens.llm.common import slices
 
 SIGN = "▁"
-MAX_NODES = 400_000
+MAX_NODES = 500_000
+MAX_ENDS = 500_000
+LONGEST = 64  # characters of a pre-token that is kept
 
 
 def zipf_scores(path: str) -> dict[str, float]:
@@ -43,47 +45,57 @@ class Trie:
     """Forward scores of the prefixes met so far.
 
     ``best[v]`` and ``count[v]`` are those of node v's prefix; equal scores
-    go to the split with fewer tokens."""
+    go to the split with fewer tokens. ``pieces`` holds the vocabulary read
+    backwards (nested by character, a piece's score under ``""``), so the
+    pieces that end at a character are found in one walk."""
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         self.byte_score = min(scores.values(), default=0.0) - 10.0
-        self.clear()
-
-    def clear(self) -> None:
+        self.pieces: dict = {}
+        for piece, score in scores.items():
+            node = self.pieces
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = score
         self.children: list[dict[str, int]] = [{}]
         self.best, self.count = [0.0], [0]
         self.terminal: dict[str, int] = {}  # pre-token (without its sign) -> tokens
 
     def insert(self, token: str) -> int:
-        """Token count of a pre-token, scoring only its new characters."""
-        path, node, depth = [0], 0, 0
-        for c in token:  # the known prefix
-            node = self.children[node].get(c, -1)
-            if node < 0:
+        """Token count of a pre-token, scoring only its new characters; a full
+        trie scores them without keeping their nodes."""
+        node, best, count = 0, [0.0], [0]  # forward states along the path
+        for c in token:
+            step = self.children[node].get(c)
+            if step is None:
                 break
-            path.append(node)
-            depth += 1
-        for end in range(depth + 1, len(token) + 1):
+            node = step
+            best.append(self.best[node])
+            count.append(self.count[node])
+        keep = len(self.best) + len(token) < MAX_NODES and len(token) <= LONGEST
+        for end in range(len(best), len(token) + 1):
             c = token[end - 1]
-            size = len(c.encode("utf-8", "surrogatepass"))
-            before = path[end - 1]
-            best, count = self.best[before] + size * self.byte_score, self.count[before] + size
-            for start in range(max(0, end - self.longest), end):
-                s = self.scores.get(token[start:end])
-                if s is not None:
-                    v = path[start]
-                    total, n = self.best[v] + s, self.count[v] + 1
-                    if total > best or total == best and n < count:
-                        best, count = total, n
-            node = len(self.best)
-            self.children[before][c] = node
-            self.children.append({})
-            self.best.append(best)
-            self.count.append(count)
-            path.append(node)
-        return self.count[path[-1]]
+            size = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
+            top, n = best[end - 1] + size * self.byte_score, count[end - 1] + size
+            piece = self.pieces
+            for start in range(end - 1, -1, -1):
+                piece = piece.get(token[start])
+                if piece is None:
+                    break
+                score = piece.get("")
+                if score is not None:
+                    total, tokens = best[start] + score, count[start] + 1
+                    if total > top or total == top and tokens < n:
+                        top, n = total, tokens
+            best.append(top)
+            count.append(n)
+            if keep:
+                self.children[node][c] = node = len(self.best)
+                self.children.append({})
+                self.best.append(top)
+                self.count.append(n)
+        return count[-1]
 
 
 _TRIES: dict[str, Trie] = {}
@@ -105,13 +117,9 @@ def count_texts(texts: list[str], trie: Trie) -> list[tuple[int, int]]:
             for i, n in enumerate(got):
                 if n is None:
                     w = words[i]
-                    n = known.get(w)
-                    if n is None:
-                        n = known[w] = trie.insert(SIGN + w)
-                    got[i] = n
-            if len(trie.best) > MAX_NODES:
-                trie.clear()
-                known = trie.terminal
+                    got[i] = n = trie.insert(SIGN + w)
+                    if len(known) < MAX_ENDS and len(w) <= LONGEST:
+                        known[w] = n
         out.append((len(words), sum(got)))
     return out
 

@@ -177,7 +177,8 @@ def test_token_counts(spark, monkeypatch):
     want = sorted((str(i), len((t or "").split()), sum(best_split("▁" + w, trie) for w in (t or "").split())) for i, t in rows)
     assert sorted((str(r["doc_id"]), r["n_pretokens"], r["n_tokens"]) for r in got) == want
     assert unigram.token_counts(documents(spark, rows).where("doc_id = 0"), path).collect() == []
-    monkeypatch.setattr(unigram, "MAX_NODES", 20)  # begun again and again
+    monkeypatch.setattr(unigram, "MAX_NODES", 20)  # full at once
+    monkeypatch.setattr(unigram, "MAX_ENDS", 5)
     words = [f"w{i % 17}{'ab' * (i % 5)}" for i in range(300)]
     again = unigram.count_texts([" ".join(words[i: i + 7]) for i in range(0, 300, 7)], unigram.Trie(trie.scores))
     assert [n for _, n in again] == [sum(best_split("▁" + w, trie) for w in words[i: i + 7]) for i in range(0, 300, 7)]
