@@ -38,7 +38,7 @@ def test_balanced_sample_counts(spark, frame):
 
 def test_no_positive_raises(spark):
     df = spark.createDataFrame([("a", 0), ("b", 0)], "ProposalID string, label int")
-    with pytest.raises(ValueError, match="No rejected samples"):
+    with pytest.raises(ValueError, match="rejected"):
         sampling.balanced_sample(df, "label", "ProposalID")
 
 

@@ -85,8 +85,8 @@ def test_lines_are_not_shuffled_on_the_customer(spark):
                 if len(x) - len(x.lstrip(" :+-")) <= depth:
                     break
                 below.append(x)
-            project = next(x for x in below if "Project" in x or "HashAggregate" in x)
-            assert "SalesOrderDetailID" not in project, project
+            outputs = [x for x in below if "Project [" in x or "HashAggregate(" in x][:1] or below[:1]
+            assert "SalesOrderDetailID" not in outputs[0], outputs[0]
 
 
 def test_proposals_row_count_with_hot_keys(spark):
