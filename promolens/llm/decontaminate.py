@@ -31,7 +31,7 @@ _U = np.uint64
 Q = 12
 SEGMENT = 64
 STEP = 16  # so any run of SEGMENT + STEP - 1 bytes of an item holds a whole segment: about 13 words
-EDITS_PER = 16  # one edit for so many bytes
+EDITS_PER = 20  # one edit for so many bytes
 BLOCK_BYTES = 4 << 20
 MAP = 1 << 22
 
