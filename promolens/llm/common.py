@@ -3,6 +3,8 @@ running numbers over a global order, connected components, Arrow slices."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -106,7 +108,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give freed memory back: workers are reused, and those that wait would
+    hold on to what their largest batch took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``most`` bytes (one
     longer value stays whole); a worker's memory follows the slice."""
     for batch in batches:
@@ -120,6 +130,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21)
                 lo, held = i, 0
             held += s
         yield batch.slice(lo)
+    release()
 
 
 def text_bytes(arr: pa.Array):

@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         stop = int(end_id).to_bytes(enc.width, "little")
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 21):
             cols: list[list] = [[], [], [], [], []]
             coded = enc.encode(part.column("text").fill_null("").to_pylist())
             for doc, raw in zip(part.column("key").to_pylist(), coded, strict=True):

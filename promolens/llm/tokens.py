@@ -18,7 +18,7 @@ import numpy as np
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
 _ADJACENT = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c")
-KEEP = 700_000  # chunks in a worker's table, about 240 bytes each
+KEEP = 500_000  # chunks in a worker's table, about 240 bytes each
 LONGEST = 48
 
 

@@ -20,7 +20,7 @@ _ODD = _U(0x2545F4914F6CDD1D | 1)
 _BYTES = mix64(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _FOLDED = _BYTES.copy()
 _FOLDED[65:91] = _BYTES[97:123]
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _POWERS: list[np.ndarray] = []
 
 
