@@ -18,7 +18,7 @@ import numpy as np
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
 _ADJACENT = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\x0b", "\x0c")
-KEEP = 500_000  # chunks in a worker's table, about 240 bytes each
+KEEP = 900_000  # chunks in a worker's table, about 240 bytes each
 LONGEST = 48
 
 
@@ -88,7 +88,7 @@ class Encoder:
         table, w8 = self.atoms, self.width
         # Latin words need neither an added token between them (their ids show where one begins or ends) nor the
         # normaliser: the model takes them as they are, in their byte-level spelling
-        words = [a for a in new if a[:1] == " " and max(a) < _LATIN and a[1:].isalpha() and "\u0130" not in a]
+        words = [a for a in new if a[:1] == " " and a[1:].isalpha() and (a.isascii() or _word(a[1:]))]
         for lo in range(0, len(words), 4096):
             some = words[lo: lo + 4096]
             line = " ".join([self.sign + (a[1:] if a.isascii() else _spelt(a[1:])) for a in some])
@@ -133,7 +133,7 @@ class Encoder:
         keys, cores, tails, odd = [], [], [], {}
         for w in dict.fromkeys(words):
             core = w.rstrip(".,")
-            if core.isalpha() and max(core) < _LATIN and "\u0130" not in core:  # _word(core)
+            if core.isalpha() and (core.isascii() or _word(core)):
                 keys.append(w)
                 tails.append(w[len(core):])
                 cores.append(" " + (core.lower() if lower else core))
