@@ -31,7 +31,8 @@ _U = np.uint64
 Q = 12
 SEGMENT = 64
 STEP = 16  # so any run of SEGMENT + STEP - 1 bytes of an item holds a whole segment: about 13 words
-EDITS_PER = 20  # one edit for so many bytes
+EDITS_PER = 16  # one edit for so many bytes
+TOGETHER = 2048  # bands aligned at a time
 BLOCK_BYTES = 4 << 20
 MAP = 1 << 22
 
@@ -110,33 +111,50 @@ class Items:
         good = both >= self.least_of[strip // size]
         return [(int(s // size), int(s % size) * self.band - SEGMENT) for s in strip[good]]
 
-    def align(self, seg: int, text: bytes, diagonal: int) -> tuple[int, int, int] | None:
-        """(edits, start, end) of the best place of a segment in the band of
-        diagonals from ``diagonal``; None above its budget."""
-        pattern, k = self.text[seg], self.edits[seg]
-        lo, hi = diagonal - k, diagonal + 2 * self.band + k
-        exact = text.find(pattern, max(0, lo), max(0, hi + len(pattern)))
-        if exact >= 0:
-            return 0, exact, exact + len(pattern)
-        width, far = hi - lo + 1, 1 << 20
-        padded = np.full(len(pattern) + width, 256, np.int32)
-        a, b = max(0, lo), min(len(text), lo + len(padded))
-        if b > a:
-            padded[a - lo: b - lo] = np.frombuffer(text[a:b], np.uint8)
-        steps = np.arange(width)
-        dist, start = np.zeros(width, np.int64), steps + lo
-        for r, c in enumerate(pattern):
-            straight = dist + (padded[r: r + width] != c)
-            skip = np.append(dist[1:] + 1, far)
-            here = np.where(skip < straight, skip, straight)
-            start = np.where(skip < straight, np.append(start[1:], 0), start)
-            run = np.minimum.accumulate(here - steps)
-            source = np.maximum.accumulate(np.where(here - steps == run, steps, 0))
-            dist, start = run + steps, start[source]
-        best = int(np.argmin(dist))
-        if dist[best] > k:
-            return None
-        return int(dist[best]), int(max(0, start[best])), int(min(len(text), best + lo + len(pattern)))
+    def align(self, bands: list[tuple[int, int, int, int]], joined: bytes) -> list[tuple[int, int, int] | None]:
+        """For each (segment, first diagonal, start, end of a text), places in
+        ``joined``: (edits, start, end) of the segment's best place in the band
+        inside that text; None above its budget. Segments of one length are
+        aligned together."""
+        out: list[tuple[int, int, int] | None] = [None] * len(bands)
+        rest: dict[int, list[int]] = {}
+        for i, (seg, diagonal, first, last) in enumerate(bands):
+            pattern, k = self.text[seg], self.edits[seg]
+            exact = joined.find(pattern, max(first, diagonal - k), max(first, min(last, diagonal + 2 * self.band + k + len(pattern))))
+            if exact >= 0:
+                out[i] = 0, exact, exact + len(pattern)
+            elif k:
+                rest.setdefault(len(pattern), []).append(i)
+        raw = np.frombuffer(joined, np.uint8)
+        for long, those in rest.items():
+            for a in range(0, len(those), TOGETHER):
+                self._align(long, those[a: a + TOGETHER], bands, raw, out)
+        return out
+
+    def _align(self, long: int, those: list[int], bands: list, raw: np.ndarray, out: list) -> None:
+        seg, diagonal, first, last = np.array([bands[i] for i in those], np.int64).T
+        k = self.edits[int(seg[0])]  # the length gives the budget
+        width, lo = 2 * self.band + 2 * k + 1, diagonal - k
+        bits = width.bit_length()
+        pattern = np.frombuffer(b"".join(self.text[s] for s in seg), np.uint8).reshape(len(seg), long).T
+        at = lo + np.arange(long + width)[:, None]
+        padded = np.where((at >= first) & (at < last), raw[np.clip(at, 0, len(raw) - 1)], 256).astype(np.int16)
+        steps = np.arange(width, dtype=np.int32)[:, None]
+        dist, start = np.zeros((width, len(seg)), np.int32), np.repeat(steps, len(seg), 1)
+        none = np.full((1, len(seg)), 1 << 20, np.int32)
+        for r in range(long):
+            straight = dist + (padded[r: r + width] != pattern[r])
+            skip = np.concatenate([dist[1:] + 1, none])
+            begun = np.where(skip < straight, np.concatenate([start[1:], start[:1]]), start)
+            # least of the cells to the left, the nearest of equal ones, in one number
+            run = np.minimum.accumulate((np.minimum(straight, skip) - steps) * (1 << bits) - steps, axis=0)
+            source = -run & ((1 << bits) - 1)
+            dist, start = ((run + source) >> bits) + steps, np.take_along_axis(begun, source, 0)
+        best = dist.argmin(0)
+        edits, begin = dist[best, np.arange(len(seg))], start[best, np.arange(len(seg))] + lo
+        for i, e, b, z in zip(those, edits.tolist(), np.maximum(first, begin).tolist(), np.minimum(last, best + lo + long).tolist(), strict=True):
+            if e <= k:
+                out[i] = e, b, z
 
 
 def _original(text: str, raw: bytes, start: int, end: int) -> tuple[int, int]:
@@ -149,15 +167,19 @@ def _original(text: str, raw: bytes, start: int, end: int) -> tuple[int, int]:
 def _places(known: Items, texts: list[str]) -> dict[tuple[int, int], tuple[int, int, int, int]]:
     """(text number, item) -> (places, fewest edits, start, end)."""
     raws = [normal(t) for t in texts]
+    joined = b"\0".join(raws) + b"\0"
     ends = np.cumsum([len(r) + 1 for r in raws])
-    found: dict[tuple[int, int], list] = {}
-    for seg, diagonal in known.regions(np.frombuffer(b"\0".join(raws) + b"\0", np.uint8)):
+    bands, where = [], []
+    for seg, diagonal in known.regions(np.frombuffer(joined, np.uint8)):
         far = diagonal + 2 * known.band + len(known.text[seg])
         first, last = (min(int(np.searchsorted(ends, max(0, x), "right")), len(raws) - 1) for x in (diagonal, far))
         for d in range(first, last + 1):  # the band can touch the texts beside the one that filled it
-            hit = known.align(seg, raws[d], diagonal - (int(ends[d]) - len(raws[d]) - 1))
-            if hit:
-                found.setdefault((d, known.item[seg]), []).append(hit)
+            bands.append((seg, diagonal, int(ends[d]) - len(raws[d]) - 1, int(ends[d]) - 1))
+            where.append(d)
+    found: dict[tuple[int, int], list] = {}
+    for d, (seg, _, begin, _), hit in zip(where, bands, known.align(bands, joined), strict=True):
+        if hit:
+            found.setdefault((d, known.item[seg]), []).append((hit[0], hit[1] - begin, hit[2] - begin))
     return {(d, item): (len({h[1] for h in hits}), min(h[0] for h in hits),
                         *_original(texts[d], raws[d], min(h[1] for h in hits), max(h[2] for h in hits))) for (d, item), hits in found.items()}
 

@@ -101,6 +101,23 @@ def test_edit_budget(seed):
         assert hits[1, 1][1] == min(good)
 
 
+def test_budget_is_four_edits_in_64_bytes():
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    for size, edits in ((12, 0), (23, 0), (24, 1), (36, 2), (48, 3), (64, 4)):
+        assert decontaminate.Items([(1, letters(size))]).edits == [edits]
+    for size in (64, 95, 400):
+        item = letters(size)
+        known = decontaminate.Items([(1, item)])
+        for places, found in (((6, 22, 38, 54), True), ((6, 19, 32, 45, 58), False)):  # in each 64 bytes
+            copy = list(item)
+            for at in range(size):
+                if at % 64 in places:
+                    copy[at] = "X"
+            hits = decontaminate._places(known, [letters(80), letters(30) + "".join(copy) + letters(30)])
+            assert ((1, 1) in hits) == found and (not found or hits[1, 1][1] == 4)
+
+
 def test_benchmark(spark):
     item = "The quick Brown fox jumps over the lazy dog while 27 sleepy cats watch from the tall garden wall and yawn in turn"
     rows = [(1, "x " * 50 + item.upper().replace(" ", "\n ") + " y" * 9), (2, item.replace("lazy", "lzy").replace("wall", "wa11")), (3, item[:50]), (4, None), (5, ""),
