@@ -6,9 +6,9 @@ every identifier-like string (a word with a digit or an at sign, not part of
 a seed). A pattern is what stands before a string: the last two words, or the
 last word. Patterns and instances (the strings
 themselves) form a bipartite graph that Spark scores in rounds: a pattern is
-worth the mean trust of its distinct instances, pulled towards nothing where
-they are few; an instance is trusted as much as its best pattern. Seeds keep
-full trust in their kind. Strings under patterns of high confidence in one
+worth the share of one kind among the trust of its distinct instances, times
+the logarithm of that kind's trust; strings nobody knows yet weigh little. An
+instance is trusted as much as its best pattern. Seeds keep full trust in their kind. Strings under patterns of high confidence in one
 kind are new spans of that kind; base spans always stay.
 """
 
@@ -26,7 +26,8 @@ from promolens.llm.common import discard, slices, staged
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 CONFIDENT = 0.8
-SUPPORT = 5  # a pattern's worth is its instances' trust over their number plus this
+ENOUGH = 7  # seeds of a kind behind a pattern that count in full; fewer by their logarithm
+UNKNOWN = 0.1  # what a string without trust weighs against a pattern, a seed of another kind being 1
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -134,16 +135,18 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS, least: float = CO
     degree = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("degree"))
     worth = None
     for _ in range(rounds):
-        per = (edges.join(trust, "instance").groupBy("pattern", "kind").agg(F.sum("trust").alias("sum"))
-               .join(degree, "pattern").withColumn("worth", F.col("sum") / (F.col("degree") + SUPPORT)))
+        known = edges.join(trust, "instance").groupBy("pattern", "kind").agg(F.sum("trust").alias("sum"), F.count(F.lit(1)).alias("n"))
+        every = known.groupBy("pattern").agg(F.sum("sum").alias("all"), F.sum("n").alias("n")).join(degree, "pattern")
+        weight = F.col("all") + UNKNOWN * F.greatest(F.lit(0), F.col("degree") - F.col("n"))
+        per = known.drop("n").join(every, "pattern").withColumn("worth", F.col("sum") / weight * F.least(F.lit(1.0), F.log2(F.col("sum") + 1) / F.log2(F.lit(ENOUGH + 1.0))))
         new = staged(per.select("pattern", "kind", "worth"), "patterns")
         if worth is not None:
             discard(worth)
         worth = new
         spread = (edges.where("seed < 0").join(worth.where(F.col("worth") >= least), "pattern")
-                  .groupBy("instance", "kind").agg(F.max("worth").alias("trust")))
+                  .groupBy("instance").agg(F.max(F.struct("worth", "kind")).alias("b")))
         seeds = edges.where("seed >= 0").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("trust")).distinct()
-        trust = seeds.unionByName(spread.select("instance", "kind", "trust"))
+        trust = seeds.unionByName(spread.select("instance", "b.kind", F.col("b.worth").alias("trust")))
     best = worth.where(F.col("worth") >= least).groupBy("pattern").agg(F.max(F.struct("worth", "kind")).alias("b"))
     return best.select("pattern", "b.kind", "b.worth")
 

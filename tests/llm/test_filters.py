@@ -67,6 +67,17 @@ def test_pii_bootstraps(spark):
     assert pii.find(documents(spark, rows).where("doc_id = -1")).collect() == []
 
 
+def test_pii_cues_with_many_unknown_strings(spark):
+    rows = [(i, f"note {i} ring +4930{i:07d} soon") for i in range(100)]
+    rows += [(1000 + i, f"note {i} ring 0301{i:06d} soon") for i in range(40)]  # 40 to 100: a mean of trust stays below 0.8
+    rows += [(2000 + i, f"note {i} dial now +4931{i:07d} soon") for i in range(6)] + [(3000, "note 1 dial now 0309876543 soon")]
+    rows += [(4000 + i, f"note {i} has +4932{i:07d} soon") for i in range(5)] + [(4100 + i, f"note {i} has u{i}@h{i}.org soon") for i in range(5)]
+    rows += [(4200, "note 1 has 0305555555 soon")]  # two kinds behind one word
+    rows += [(5000 + i, f"note {i} order +4933{i:07d} soon") for i in range(10)] + [(5100 + i, f"note {i} order A{i:06d} soon") for i in range(90)]
+    got = {r["doc_id"]: r["n_found"] for r in pii.find(documents(spark, rows)).collect()}
+    assert {d for d, n in got.items() if n} == {*range(1000, 1040), 3000} and max(got.values()) == 1
+
+
 def distance_inside(pattern, text):
     """Fewest edits between the pattern and any stretch of the text."""
     row = [0] * (len(text) + 1)
