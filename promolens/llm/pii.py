@@ -2,8 +2,8 @@
 
 Base: e-mail addresses, IP addresses, card and phone numbers by fixed
 patterns and checks. They are the seeds. One pass over the texts also lists
-every identifier-like string (a word with a digit or an at sign, not part of
-a seed). A pattern is what stands before a string: the last two words, or the
+every identifier-like string (a word with a digit or an at sign, or
+neighbouring groups of digits, not part of a seed). A pattern is what stands before a string: the last two words, or the
 last word. Patterns and instances (the strings
 themselves) form a bipartite graph that Spark scores in rounds: a pattern is
 worth the share of one kind among the trust of its distinct instances, times
@@ -35,6 +35,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
+_DIGITS = re.compile(r"(?<![\w@])[(\[]?[0-9]++(?![\w@])(?:(?:(?!  |\. )[ .()\[\]/-]){1,3}[0-9]++(?![\w@]))+")
 _EDGE = ".,;:!?\"'()[]{}<>"
 
 
@@ -79,17 +80,34 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _before(text: str, start: int) -> list[str]:
-    words = text[max(0, start - 80): start].lower().split()
+    words = text[max(0, start - 80): start].rstrip("([").lower().split()  # a bracket around it is no word
     return [w[-24:] for w in words[-2:]]
 
 
+def _runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Groups of digits over several words, joined by single spaces, dots,
+    hyphens, slashes or brackets, between the seeds."""
+    out, lo = [], 0
+    for a, b in [*taken, (len(text), len(text))]:
+        for m in _DIGITS.finditer(text, lo, max(lo, a)):
+            start, end = m.span()
+            if text[start] in "([" and ")]"["([".index(text[start])] not in m[0]:
+                start += 1  # a bracket around more than the number
+            if " " in m[0] and end - start >= 4:
+                out.append((start, end))
+        lo = max(lo, b)
+    return out
+
+
 def mentions(text: str) -> list[tuple[int, int, int, str, list[str]]]:
     """(kind or -1, start, end, string, patterns) of seeds and of other
     identifier-like strings."""
     seeds = base_spans(text)
     out, taken = [], sorted((a, b) for _, a, b in seeds)
     found = [(KINDS.index(k), a, b) for k, a, b in seeds]
-    at = 0
+    at, runs = 0, _runs(text, taken)
+    found += [(-1, a, b) for a, b in runs]
+    taken = sorted(taken + runs)
     for m in _TOKEN.finditer(text):
         a, b = m.span()
         while a < b and text[a] in _EDGE:

@@ -67,6 +67,21 @@ def test_pii_bootstraps(spark):
     assert pii.find(documents(spark, rows).where("doc_id = -1")).collect() == []
 
 
+def test_pii_spaced_numbers(spark):
+    rows = [(i, f"note {i} reach me at +4930{i:07d} soon") for i in range(30)]
+    numbers = ["0171 2345678", "(555) 123-4567", "555 123 4567", "0171 / 23 45 67", "030.123 4567", "[030] 1234567"]
+    rows += [(100 + i, f"note {i} reach me at {x}, or not. 12 of 1999") for i, x in enumerate(numbers)]
+    rows += [(200, "note 1 reach me at 0171 2345678abc"), (201, "reach me at 0171 2345678. 2000 others"), (202, "reach me at (0171 2345678)")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(documents(spark, rows)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(documents(spark, rows)).collect()}
+    for i, x in enumerate(numbers):
+        at = rows[30 + i][1].index(x)
+        assert got[100 + i] == f"phone:{at}:{at + len(x)}"
+        assert clean[100 + i] == f"note {i} reach me at <phone>, or not. 12 of 1999"
+    assert clean[201] == "reach me at <phone>. 2000 others" and clean[202] == "reach me at (<phone>)"
+    assert pii._runs("1" * 300_000 + "a " * 9 + "1 " * 100_000, []) != []
+
+
 def test_pii_cues_with_many_unknown_strings(spark):
     rows = [(i, f"note {i} ring +4930{i:07d} soon") for i in range(100)]
     rows += [(1000 + i, f"note {i} ring 0301{i:06d} soon") for i in range(40)]  # 40 to 100: a mean of trust stays below 0.8
