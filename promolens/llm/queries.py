@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import cotraining, decontaminate, jaccard_join, packing, pii, pq_dedup, sharding, token_index, unigram, windows
+from promolens.llm import (bpe, cotraining, decontaminate, jaccard_join, merkle, packing, pii, pq_dedup, sharding, spelling, token_index,
+                            unigram, windows)
 from promolens.llm.common import scratch
 from promolens.llm.oracles import ORACLES
 
@@ -69,6 +70,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(_table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.op11_digest(_table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op12_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op13_digest(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_contextual_pii": op1,
     "op2_harmonic_packing": op2,
@@ -80,4 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_cotraining_quality": op8,
     "op9_balanced_sharding": op9,
     "op10_jaccard_join": op10,
+    "op11_merkle_manifest": op11,
+    "op12_spelling_variants": op12,
+    "op13_bpe_round_trip": op13,
 }
