@@ -57,10 +57,10 @@ class PipelineConfig:
     test_fraction: float = 0.2
     gbt_max_iter: int = 500
     gbt_step_size: float = 0.05
-    max_depth: int = 6
+    num_leaves: int = 64
     min_instances_per_node: int = 20
     subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
+    column_share: float = 0.8
     rf_num_trees: int = 100
     rf_max_depth: int = 10
     kmeans_k: tuple[int, ...] = (2, 3, 4, 5, 6, 7)

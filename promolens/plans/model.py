@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from promolens.config import PipelineConfig
 from promolens.functions.numeric import lenient_label
 from promolens.operators import curves, sampling
+from promolens.operators.boosting import BoostedTrees, BoostParams
 from promolens.operators.quantiles import exact_quantiles
 from promolens.plans.features import CLASSIFIER_REQUIRED, clip_bounds, feature_columns, require_columns, winsorize
 from promolens.session import reliable_checkpoint
@@ -74,11 +75,9 @@ def make_classifier(cfg: PipelineConfig):
                                       numTrees=cfg.rf_num_trees, maxDepth=cfg.rf_max_depth, seed=cfg.seed,
                                       featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=True)
     if cfg.model in ("gbt", "lightgbm"):
-        return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight",
-                             maxIter=cfg.gbt_max_iter, stepSize=cfg.gbt_step_size, maxDepth=cfg.max_depth,
-                             minInstancesPerNode=cfg.min_instances_per_node, subsamplingRate=cfg.subsampling_rate,
-                             featureSubsetStrategy=cfg.feature_subset, seed=cfg.seed,
-                             maxMemoryInMB=1024, cacheNodeIds=True)
+        return BoostedTrees(BoostParams(rounds=cfg.gbt_max_iter, step=cfg.gbt_step_size, leaves=cfg.num_leaves,
+                                        min_rows=cfg.min_instances_per_node, row_share=cfg.subsampling_rate,
+                                        column_share=cfg.column_share, seed=cfg.seed))
     raise ValueError(f"unknown model {cfg.model!r}: use 'gbt' or 'rf'")
 
 
