@@ -4,15 +4,22 @@ Maximise the summed expected profit of the chosen proposals subject to
 their summed cost staying within the budget. Instead of a single-machine
 integer program over a capped candidate list, every candidate is ranked
 by profit per unit of cost (zero cost first), then expected profit, then
-id, and the longest prefix that fits is taken (``running_sums``: ranges, no
-single-task window). The same step is repeated on the not-yet-chosen
-proposals that fit what is left, until none fits. If the best single
+id, and taken in this order if it fits what is left. The candidates are
+numbered once (ranges, no single-task window); a step then does a stretch of the walk
+with one aggregate over running sums, up to the further of two places:
+
+* the first candidate with which the costs pass what is left (all before it fit);
+* the first place where half of what was left is spent. Until then candidates
+  of at most that half always fit, and the first dearer one that fits spends it at once.
+
+So what is left halves with every step, however many candidates that do not fit
+stand between others that do: at most log2(budget / least cost) + 1 steps. If the best single
 affordable proposal is worth more than all of that, it is chosen first and
 the rest is filled the same way (the classic 1/2-approximation guard). The
 LP relaxation bound (prefix plus the fitting fraction of the first proposal
 that did not fit) and the gap are reported with the totals.
 
-The rounds carry (id, efficiency, profit, cost) only. Costs are summed as
+The steps read (id, place, profit, cost) only. Costs are summed as
 decimal(38,6): a double sum depends on the order of addition, which could
 flip a ``cum_cost <= budget`` test.
 """
@@ -21,14 +28,13 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
-from decimal import Decimal
-from functools import reduce
+from decimal import ROUND_DOWN, Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.operators.prefix import running_sums
+from promolens.operators.prefix import range_partitioned, sums_in_ranges
 from promolens.session import reliable_checkpoint
 
 MONEY = T.DecimalType(38, 6)
@@ -88,6 +94,53 @@ def top_candidates(df: DataFrame, n: int, **columns) -> DataFrame:
     return candidates(df, **columns).orderBy(*ranking(columns.get("id_col", "ProposalID"))).limit(n).drop("_eff", "_c", "_p")
 
 
+def _walk(numbered: DataFrame, budget: Decimal) -> tuple[F.Column, Decimal, Decimal, float]:
+    """Takes candidates in their order while they fit: (which are taken, as a
+    condition on place and cost; cost; profit; the bound of the linear relaxation)."""
+    place, cost, profit = F.col("_pos"), F.col("_c"), F.col("_p")
+    taken, spent, gained, bound, at, steps = F.lit(False), Decimal(0), Decimal(0), None, 0, 0
+    while True:
+        left = budget - spent
+        half = (left / 2).quantize(Decimal("0.000001"), ROUND_DOWN)
+        here = (place > F.lit(at)) & (cost <= F.lit(left))
+        small = cost <= F.lit(half)
+        sums = sums_in_ranges(numbered.where(here), [F.asc("_pos")], {
+            "c": cost, "p": profit, "small_c": F.when(small, cost).otherwise(F.lit(0).cast(MONEY)),
+            "small_p": F.when(small, profit).otherwise(F.lit(0).cast(MONEY))}, prefix="_sum_")
+        over = F.col("_sum_c") > F.lit(left)
+        spends = F.when(small, F.col("_sum_small_c") > F.lit(left - half - Decimal("0.000001"))).otherwise(F.col("_sum_small_c") + cost <= F.lit(left))
+        row = F.struct("_pos", "_c", "_p", "_sum_c", "_sum_p", "_sum_small_c", "_sum_small_p", small.alias("small"))
+        got = sums.agg(F.min(F.when(over, row)).alias("over"), F.min(F.when(spends, row)).alias("half"),
+                       F.max(row).alias("last")).first()
+        if got["last"] is None:
+            break
+        steps += 1
+        stop, end = got["over"], got["half"]
+        if bound is None and stop is None:
+            bound = float(gained + got["last"]["_sum_p"])
+        elif bound is None:
+            before = left - (stop["_sum_c"] - stop["_c"])
+            bound = float(stop["_sum_p"] - stop["_p"]) + float(before / stop["_c"]) * float(stop["_p"])
+        if stop is None:
+            taken, spent, gained = taken | here, spent + got["last"]["_sum_c"], gained + got["last"]["_sum_p"]
+            break
+        if end is None:  # nothing dearer fits to the end, and what is cheaper does
+            taken, spent, gained = taken | (here & small), spent + got["last"]["_sum_small_c"], gained + got["last"]["_sum_small_p"]
+            break
+        if end["_pos"] > stop["_pos"]:
+            at = end["_pos"]
+            taken = taken | (here & small & (place < F.lit(at))) | (place == F.lit(at))
+            spent, gained = spent + end["_sum_small_c"], gained + end["_sum_small_p"]
+            if not end["small"]:
+                spent, gained = spent + end["_c"], gained + end["_p"]
+        else:
+            at = stop["_pos"]
+            taken = taken | (here & (place < F.lit(at)))
+            spent, gained = spent + stop["_sum_c"] - stop["_c"], gained + stop["_sum_p"] - stop["_p"]
+    log.info("selection: %d steps, %s left", steps, budget - spent)
+    return taken, spent, gained, bound or 0.0
+
+
 def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID", cost: str = "Cost",
                          amount: str = "ProposalAmount", prob: str = "accept_prob",
                          top_n: int | None = None) -> SelectionResult:
@@ -102,49 +155,23 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
     require_unique(narrow, id_col)
     # A proposal dearer than the whole budget can never be chosen.
     items = narrow.where(F.col("_c") <= F.lit(b))
+    ranged = range_partitioned(items, ranking(id_col))
+    numbered = reliable_checkpoint(sums_in_ranges(ranged, ranking(id_col), {"_pos": F.lit(1)}, prefix="")
+                                   .select(id_col, "_range", "_pos", "_c", "_p"))
 
-    def fill(pool: DataFrame, left: Decimal) -> tuple[list[DataFrame], Decimal, Decimal, DataFrame | None]:
-        """Takes prefixes until nothing that is left fits: (ids taken, cost,
-        profit, first round). A round takes at least its first row."""
-        taken, spent, gained, first = [], Decimal(0), Decimal(0), None
-        while True:
-            pool = reliable_checkpoint(pool.where(F.col("_c") <= F.lit(left - spent)))
-            if pool.isEmpty():
-                log.info("selection: %d rounds, %s left", len(taken), left - spent)
-                return taken, spent, gained, first
-            r = reliable_checkpoint(running_sums(pool, ranking(id_col), {"_cum": F.col("_c")}, prefix=""))
-            first = r if first is None else first
-            fits = r.where(F.col("_cum") <= F.lit(left - spent))
-            s = fits.agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
-            taken.append(fits.select(id_col))
-            pool = r.where(F.col("_cum") > F.lit(left - spent)).drop("_cum")
-            spent, gained = spent + s["c"], gained + s["p"]
-
-    taken, used, profit, r0 = fill(items, b)
-    # LP bound: the first prefix and the fitting fraction of the proposal after it.
-    lp_bound = 0.0
-    if r0 is not None:
-        s0 = r0.where(F.col("_cum") <= F.lit(b)).agg(F.sum("_c").alias("c"), F.sum("_p").alias("p")).first()
-        nxt = r0.where(F.col("_cum") > F.lit(b)).orderBy(*ranking(id_col)).select("_c", "_p").first()
-        lp_bound = float(s0["p"] or 0)
-        if nxt and nxt["_c"] > 0:
-            lp_bound += float((b - (s0["c"] or Decimal(0))) / nxt["_c"]) * float(nxt["_p"])
-    best = items.orderBy(F.desc("_p"), *ranking(id_col)).select(id_col, "_c", "_p").first()
+    chosen, used, profit, lp_bound = _walk(numbered, b)
+    best = numbered.orderBy(F.desc("_p"), F.asc("_pos")).select("_pos", "_c", "_p").first()
     if best is not None and best["_p"] > profit:
         # one proposal alone is worth more: it goes first, the rest is filled
-        alone = items.where(F.col(id_col) == F.lit(best[id_col])).select(id_col)
-        more, used, profit, _ = fill(items.where(F.col(id_col) != F.lit(best[id_col])), b - best["_c"])
-        taken, used, profit = [alone, *more], used + best["_c"], profit + best["_p"]
-
-    selection = cand.drop("_eff", "_c", "_p")
-    if taken:
-        picked = reduce(DataFrame.unionByName, taken).withColumn("selected", F.lit(1))
-        selection = selection.join(picked, id_col, "left").withColumn("selected", F.coalesce("selected", F.lit(0)))
-    else:
-        selection = selection.withColumn("selected", F.lit(0))
+        others = F.col("_pos") != F.lit(best["_pos"])
+        more, used, profit, _ = _walk(numbered.where(others), b - best["_c"])
+        chosen, used, profit = ~others | more, used + best["_c"], profit + best["_p"]
+
+    picked = numbered.where(chosen).select(id_col, "_c", "_p")
+    selection = (cand.drop("_eff", "_c", "_p").join(picked.select(id_col, F.lit(1).alias("selected")), id_col, "left")
+                 .withColumn("selected", F.coalesce("selected", F.lit(0))))
     bound = max(lp_bound, float(profit))
-    totals = (narrow.join(picked, id_col) if taken else narrow.where(F.lit(False)))
-    totals = (totals.agg(F.count(F.lit(1)).alias("selected_count"), _money_total(F.col("_c")).alias("total_cost"),
+    totals = (picked.agg(F.count(F.lit(1)).alias("selected_count"), _money_total(F.col("_c")).alias("total_cost"),
                          _money_total(F.col("_p")).alias("total_profit"))
               .withColumns({"lp_bound": F.greatest(F.lit(bound), F.col("total_profit")),
                             "gap": F.greatest(F.lit(bound), F.col("total_profit")) - F.col("total_profit")}))

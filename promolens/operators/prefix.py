@@ -30,13 +30,21 @@ def running_sums(df: DataFrame, order: list[Column], values: dict[str, Column],
     ``order`` (sort expressions such as ``F.desc("score")``; the last ones
     should tell rows apart)."""
     names = list(values)
-    base = df.withColumns({f"_v{i}": values[c] for i, c in enumerate(names)})
-    ranged = range_partitioned(base, order, parts=parts)
-    totals = ranged.groupBy("_range").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
+    ranged = range_partitioned(df.withColumns({f"_v{i}": values[c] for i, c in enumerate(names)}), order, parts=parts)
+    out = sums_in_ranges(ranged, order, {c: F.col(f"_v{i}") for i, c in enumerate(names)}, prefix=prefix)
+    return out.select(*df.columns, *[f"{prefix}{c}" for c in names])
+
+
+def sums_in_ranges(ranged: DataFrame, order: list[Column], values: dict[str, Column], *, prefix: str = "cum_") -> DataFrame:
+    """``running_sums`` of rows that are dealt into ranges already (column
+    ``_range``); any rows may have been filtered out since."""
+    names = list(values)
+    base = ranged.withColumns({f"_w{i}": values[c] for i, c in enumerate(names)})
+    totals = base.groupBy("_range").agg(*[F.sum(f"_w{i}").alias(f"_t{i}") for i in range(len(names))])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
                                         for i in range(len(names))])
     local = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = ranged.withColumns({f"_s{i}": F.sum(f"_v{i}").over(local) for i in range(len(names))})
+    summed = base.withColumns({f"_s{i}": F.sum(f"_w{i}").over(local) for i in range(len(names))})
     out = summed.join(F.broadcast(offsets), "_range")  # at most one row per partition
-    return out.select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_o{i}")).alias(f"{prefix}{c}") for i, c in enumerate(names)])
+    return out.select(*ranged.columns, *[(F.col(f"_s{i}") + F.col(f"_o{i}")).alias(f"{prefix}{c}") for i, c in enumerate(names)])

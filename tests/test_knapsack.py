@@ -115,3 +115,42 @@ def test_candidate_cap_keeps_most_efficient(spark):
     r = select_within_budget(_frame(spark, items), 1e6, top_n=5)
     ids = {x["ProposalID"] for x in r.selection.collect()}
     assert ids == {f"p{i}" for i in range(5)}
+
+
+def _plain_walk(items, budget):
+    """Best first by profit per cost, profit, id; taken while it fits."""
+    rows = sorted(((-(p * a - c) / c if c else -float("inf")), -(p * a - c), i, c) for i, a, c, p in items if p * a - c > 0 and c <= budget)
+    out, left = set(), budget
+    for _, _, i, c in rows:
+        if c <= left:
+            out.add(i)
+            left = round(left - c, 6)
+    return out
+
+
+def _steps(caplog):
+    return [int(r.message.split(" steps")[0].split()[-1]) for r in caplog.records if "steps" in r.message]
+
+
+def test_blockers_cost_no_steps(spark, caplog):
+    """Costs 1, L, 1, L - 1, 1, L - 2, ... with falling efficiency: one blocker after every proposal that fits."""
+    budget, items = 1000, []
+    for i in range(100):
+        items.append((f"a{i:03d}", 1.0 * (3000 - 2 * i) / 1000, 1.0, 1.0))
+        items.append((f"b{i:03d}", (budget - i) * (2999 - 2 * i) / 1000, float(budget - i), 1.0))
+    with caplog.at_level("INFO", logger="promolens.operators.knapsack"):
+        r = select_within_budget(_frame(spark, items), float(budget))
+    assert _steps(caplog) and max(_steps(caplog)) <= 11
+    chosen = {x["ProposalID"] for x in r.selection.collect() if x["selected"] == 1}
+    best = max(items, key=lambda x: (x[1] - x[2]))[0]
+    rest = _plain_walk([x for x in items if x[0] != best], budget - next(x[2] for x in items if x[0] == best))
+    assert chosen in (_plain_walk(items, budget), {best} | rest)
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_choice_equals_a_plain_walk(spark, seed):
+    rnd = random.Random(seed)
+    items = [(f"p{i:03d}", c * rnd.choice([1.5, 2.0, 2.5]), c, 1.0) for i in range(250) for c in [float(rnd.choice([0, 1, 2, 3, 5, 8, 40, 90, 200, 333, 480]))]]
+    budget = float(rnd.choice([777, 1500, 4000]))
+    r = select_within_budget(_frame(spark, items), budget)
+    assert {x["ProposalID"] for x in r.selection.collect() if x["selected"] == 1} == _plain_walk(items, budget)
