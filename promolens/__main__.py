@@ -3,6 +3,7 @@
     spark-submit --py-files promolens.zip promolens/__main__.py pipeline --data proposals.csv --budget 500000 --out /shared/out
     spark-submit --py-files promolens.zip promolens/__main__.py evaluate --proposals p.csv --scores /shared/out/proposal_accept_scores \
         --selection /shared/out/proposal_selection --outdir /shared/eval
+    spark-submit --py-files promolens.zip promolens/__main__.py score --data new.csv --model-dir /shared/out/proposal_model --out /shared/new
     spark-submit --py-files promolens.zip promolens/__main__.py extract --tables /shared/sales --as-of 2014-12-31 --out /shared/extract
     spark-submit --py-files promolens.zip promolens/__main__.py reports --tables /shared/sales --out /shared/reports
 
@@ -39,6 +40,11 @@ def main(argv=None) -> None:
     e.add_argument("--selection", required=True)
     e.add_argument("--outdir", default="out_eval")
 
+    c = sub.add_parser("score", help="scores and segments of new proposals with the model that a pipeline run saved")
+    c.add_argument("--data", required=True, help="proposals CSV (or Parquet folder)")
+    c.add_argument("--model-dir", required=True, help="the proposal_model folder of a run")
+    c.add_argument("--out", default="out_score")
+
     x = sub.add_parser("extract", help="customer metrics and the labelled proposals from the sales tables")
     x.add_argument("--as-of", default=None, help="day that recency counts to (default: today)")
     x.add_argument("--out", default="out_extract")
@@ -75,6 +81,13 @@ def main(argv=None) -> None:
         for name in ("pr_curve", "roc_curve", "average_precision", "roc_auc", "score_histogram", "lift_gain",
                      "selected_deals"):
             getattr(tabs, name).write.mode("overwrite").parquet(os.path.join(args.outdir, name))
+    elif args.cmd == "score":
+        from pyspark.ml import PipelineModel
+
+        from promolens.plans.features import add_features
+        from promolens.plans.saved import score
+
+        score(add_features(read_table(spark, args.data)), PipelineModel.load(args.model_dir)).write.mode("overwrite").parquet(args.out)
     elif args.cmd == "extract":
         from promolens.plans.proposals import customer_metrics, proposals
         from promolens.sources.tables import SalesTables

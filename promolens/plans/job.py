@@ -17,6 +17,7 @@ from promolens.config import PipelineConfig
 from promolens.operators import knapsack
 from promolens.plans.features import add_features, require_columns
 from promolens.plans.model import TrainResult, train_and_score
+from promolens.plans.saved import scoring_model
 from promolens.plans.segments import SegmentResult, fit_segments, segment_inputs
 
 SELECTION_REQUIRED = ("ProposalID", "ProposalAmount", "Cost", "accept_prob")
@@ -33,10 +34,10 @@ class PipelineOutputs:
     selection_result: knapsack.SelectionResult
 
 
-def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> PipelineOutputs:
+def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig(), trained: TrainResult | None = None) -> PipelineOutputs:
+    """``trained``: a fit of the same proposals and parameters, not fitted again."""
     spark = proposals_df.sparkSession
-    feats = add_features(proposals_df)
-    tr = train_and_score(feats, cfg)
+    tr = trained or train_and_score(add_features(proposals_df), cfg)
     # The wide frame was written once, as the classifier's input. Scores are computed as it is read: for the
     # selection's narrow rows, and by each sink.
     scored = tr.scored
@@ -71,7 +72,7 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
 
 
 def save_outputs(out: PipelineOutputs, out_dir: str, fmt: str = "parquet") -> None:
-    """Sinks: three tables, the fitted pipeline and the run report, written
+    """Sinks: three tables, the fitted model (``saved.scoring_model``) and the run report, written
     by the executors (a folder of part files per table)."""
     def write(df: DataFrame, name: str) -> None:
         w = df.write.mode("overwrite")
@@ -84,5 +85,5 @@ def save_outputs(out: PipelineOutputs, out_dir: str, fmt: str = "parquet") -> No
     write(out.scored, "proposal_accept_scores")
     write(out.segmented, "customer_segments")
     write(out.selection, "proposal_selection")
-    out.train.model.write().overwrite().save(os.path.join(out_dir, "proposal_model"))
+    scoring_model(out.train, out.segments).write().overwrite().save(os.path.join(out_dir, "proposal_model"))
     out.report.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "model_report"))

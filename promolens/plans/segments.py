@@ -33,6 +33,7 @@ class SegmentInputs:
     n_rows: int
     reason: str | None          # why segmentation is skipped, else None
     z: list[Column] | None = None  # the standardised features as expressions on the raw columns
+    z_sql: list[str] | None = None  # the same as SQL, for a saved model
 
 
 def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> SegmentInputs:
@@ -61,7 +62,10 @@ def segment_inputs(df: DataFrame, feature_cols, id_col: str = "ProposalID") -> S
     if usable["n"] < MIN_ROWS:
         return SegmentInputs(None, kept, usable["n"], f"too few rows ({usable['n']}) for clustering")
     z = [((filled[c] - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"])).alias(f"z_{c}") for c in kept]
-    return SegmentInputs(x.select(id_col, *z), kept, usable["n"], None, z)
+    z_sql = [f"(coalesce(CASE WHEN NOT isnan({d}) AND abs({d}) <> CAST('inf' AS DOUBLE) THEN {d} END, CAST('{med[c][0]!r}' AS DOUBLE))"
+             f" - CAST('{stats[f'm_{c}']!r}' AS DOUBLE)) / CAST('{stats[f's_{c}']!r}' AS DOUBLE)"
+             for c in kept for d in [f"CAST(`{c}` AS DOUBLE)"]]
+    return SegmentInputs(x.select(id_col, *z), kept, usable["n"], None, z, z_sql)
 
 
 @dataclass

@@ -157,9 +157,24 @@ QUERY_MODEL = PipelineConfig(model="rf")
 BOOSTED_MODEL = PipelineConfig(model="gbt", max_train_rows=30_000)
 
 
-def _scored(t: SalesTables, cfg: PipelineConfig = QUERY_MODEL) -> DataFrame:
-    r = model.train_and_score(feature_frame(t), cfg)
-    return r.scored.select("ProposalID", F.col("Accepted").cast("int").alias("Accepted"), "accept_prob")
+_FITS: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, *key, make):
+    """What ``make`` gives, made once a session: queries about one fit share it."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _FITS:
+        _FITS[key] = make()
+    return _FITS[key]
+
+
+def _trained(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> model.TrainResult:
+    return _once(spark, "fit", sf_dir, cfg, make=lambda: model.train_and_score(feature_frame(_tables(spark, sf_dir)), cfg))
+
+
+def _scored(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = QUERY_MODEL) -> DataFrame:
+    return _once(spark, "scores", sf_dir, cfg, make=lambda: reliable_checkpoint(_trained(spark, sf_dir, cfg).scored.select(
+        "ProposalID", F.col("Accepted").cast("int").alias("Accepted"), "accept_prob")))
 
 
 def _segment_inputs(t: SalesTables) -> DataFrame:
@@ -167,20 +182,23 @@ def _segment_inputs(t: SalesTables) -> DataFrame:
     return si.frame.select("ProposalID", *[F.round(F.col(f"z_{c}"), 6).alias(f"z_{c}") for c in si.features])
 
 
-def _segments(t: SalesTables) -> DataFrame:
-    si = segments.segment_inputs(feature_frame(t), list(QUERY_MODEL.segment_features))
-    return segments.fit_segments(si, QUERY_MODEL.kmeans_k, QUERY_MODEL.seed).segments
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make() -> DataFrame:
+        si = segments.segment_inputs(feature_frame(_tables(spark, sf_dir)), list(QUERY_MODEL.segment_features))
+        return reliable_checkpoint(segments.fit_segments(si, QUERY_MODEL.kmeans_k, QUERY_MODEL.seed).segments)
+
+    return _once(spark, "segments", sf_dir, make=make)
 
 
-def _scored_check(t: SalesTables) -> DataFrame:
+def _scored_check(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = QUERY_MODEL) -> DataFrame:
     good = F.col("accept_prob").between(0, 1)
-    return _scored(t).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ProposalID").alias("n_ids"),
+    return _scored(spark, sf_dir, cfg).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ProposalID").alias("n_ids"),
                           F.count_if(good).alias("n_probabilities"), F.count_if(F.col("Accepted") == 1).alias("n_accepted"),
                           F.count_if(F.col("Accepted") == 0).alias("n_rejected"))
 
 
-def _segments_check(t: SalesTables) -> DataFrame:
-    s = _segments(t)
+def _segments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _segments(spark, sf_dir)
     sizes = s.groupBy("segment").agg(F.count(F.lit(1)).alias("size"), F.count_distinct("ProposalID").alias("ids"))
     inside = F.col("segment").between(0, max(QUERY_MODEL.kmeans_k) - 1)
     return sizes.agg(F.sum("size").alias("n_rows"), F.sum("ids").alias("n_ids"),
@@ -197,8 +215,28 @@ def _catalog(t: SalesTables) -> DataFrame:
     return views.join(counts, "name").select("name", "table_type", "is_temporary", "num_rows")
 
 
-def _run_report(t: SalesTables) -> DataFrame:
-    return job.run_pipeline(proposal_text(t), QUERY_MODEL).report
+def _run(spark: SparkSession, sf_dir: str) -> job.PipelineOutputs:
+    return _once(spark, "run", sf_dir, make=lambda: job.run_pipeline(
+        proposal_text(_tables(spark, sf_dir)), QUERY_MODEL, _trained(spark, sf_dir, QUERY_MODEL)))
+
+
+def _run_report_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's totals against the selection table, counted again."""
+    out = _run(spark, sf_dir)
+    chosen = F.col("selected") == 1
+    told = out.report.groupBy().pivot("metric", ["selected_count", "total_selected_cost", "total_selected_profit", "Accepted:support",
+                                                 "Rejected:support", "gap"]).agg(F.first("value"))
+    again = out.selection.agg(F.count_if(chosen).alias("n"), F.sum(F.when(chosen, F.col("Cost"))).alias("cost"),
+                              F.sum(F.when(chosen, F.col("expected_profit"))).alias("profit"),
+                              F.count_if(F.col("expected_profit") <= 0).alias("bad"))
+    one = F.lit(1).alias("one")
+    return told.select("*", one).join(again.select("*", one), "one").select(
+        (F.col("selected_count") == F.col("n")).alias("count_agrees"),
+        (F.abs(F.col("total_selected_cost") - F.col("cost")) < 0.01).alias("cost_agrees"),
+        (F.abs(F.col("total_selected_profit") - F.col("profit")) < 0.01).alias("profit_agrees"),
+        (F.col("total_selected_cost") <= QUERY_MODEL.budget).alias("within_budget"),
+        (F.col("gap") >= 0).alias("gap_is_bound"), F.col("bad").alias("n_without_profit"),
+        F.col("`Accepted:support`").cast("long").alias("n_test_accepted"), F.col("`Rejected:support`").cast("long").alias("n_test_rejected"))
 
 
 QUERIES: dict[str, Query] = {
@@ -249,13 +287,15 @@ QUERIES: dict[str, Query] = {
     "oversampled_train": _q(lambda t: sampling.oversample(_train(t), "label", "ProposalID")
                             .select("ProposalID", "label", "copy_no")),
     "class_weights": _q(lambda t: sampling.class_weight_table(_train(t), "label")),
-    "scored_proposals": _q(lambda t: _scored(t)),
-    "scored_proposals_boosted": _q(lambda t: _scored(t, BOOSTED_MODEL)),
+    "scored_proposals": _scored,
+    "scored_proposals_boosted": lambda spark, sf_dir: _scored(spark, sf_dir, BOOSTED_MODEL),
     "segment_inputs": _q(_segment_inputs),
-    "customer_segments": _q(_segments),
-    "run_report": _q(_run_report),
-    "scored_proposals_check": _q(_scored_check),
-    "customer_segments_check": _q(_segments_check),
+    "customer_segments": _segments,
+    "run_report": lambda spark, sf_dir: _run(spark, sf_dir).report,
+    "scored_proposals_check": _scored_check,
+    "scored_proposals_boosted_check": lambda spark, sf_dir: _scored_check(spark, sf_dir, BOOSTED_MODEL),
+    "run_report_check": _run_report_check,
+    "customer_segments_check": _segments_check,
 }
 
 

@@ -29,6 +29,8 @@ def raw(spark):
 
 
 def test_run_pipeline_end_to_end(spark, raw, tmp_path):
+    from promolens.__main__ import main
+
     src = str(tmp_path / "proposals_csv")
     write_csv(raw, src)
     props = read_proposals_csv(spark, src)
@@ -49,6 +51,10 @@ def test_run_pipeline_end_to_end(spark, raw, tmp_path):
     sums = sel.where("selected = 1").agg(F.count(F.lit(1)), F.sum("Cost"), F.sum("expected_profit")).first()
     assert figures["selected_count"] == sums[0]
     assert abs(figures["total_selected_cost"] - sums[1]) < 0.02 and abs(figures["total_selected_profit"] - sums[2]) < 0.02
+    # the saved model scores and segments like the run that made it, row by row
+    main(["score", "--data", src, "--model-dir", os.path.join(out_dir, "proposal_model"), "--out", str(tmp_path / "again")])
+    again = {r["ProposalID"]: (r["accept_prob"], r["segment"], r["margin"]) for r in spark.read.parquet(str(tmp_path / "again")).collect()}
+    assert again == {r["ProposalID"]: (r["accept_prob"], r["segment"], r["margin"]) for r in seg.collect()}
     text = report_text(out.report)
     assert "AUC:" in text and "Total selected cost" in text
 
