@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from promolens.config import ReportParams
 from promolens.functions.dates import in_closed_range, in_half_open_day_range, month_start, year_month_label
 from promolens.functions.flags import UNCATEGORIZED, UNSPECIFIED, is_promotion, promo_label
-from promolens.operators.intervals import months_active
+from promolens.operators.intervals import active_per_month
 from promolens.operators.topn import rank_filter
 from promolens.session import reliable_checkpoint
 from promolens.sources.tables import SalesTables
@@ -73,9 +73,8 @@ def active_promotions_by_month(t: SalesTables, params: ReportParams) -> DataFram
     """Distinct offers active in each month of the range. Months without an
     active offer are absent, as in an inner join against a month list."""
     so = t.special_offer.where(F.col("SpecialOfferID") != 1)
-    active = months_active(so, "StartDate", "EndDate", params.from_date, params.to_date)
-    return (active.groupBy(F.year("MonthStart").alias("year"), F.month("MonthStart").alias("month"))
-            .agg(F.countDistinct("SpecialOfferID").alias("active_promotions"))
+    active = active_per_month(so, "SpecialOfferID", "StartDate", "EndDate", params.from_date, params.to_date)
+    return (active.select(F.year("MonthStart").alias("year"), F.month("MonthStart").alias("month"), F.col("active").alias("active_promotions"))
             .orderBy("year", "month"))
 
 

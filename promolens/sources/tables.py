@@ -145,11 +145,13 @@ def testdata_adapter(spark: SparkSession, sf_dir: str) -> SalesTables:
     # integer cents divided by the quantity (integer division), back to money
     unit_price = (F.try_divide(cents, qty).cast("bigint") * F.lit(0.01).cast(T.DecimalType(3, 2))).cast(MONEY)
     disc = F.col("l_discount").cast(RATIO)
+    offer = F.col("l_partkey") + F.col("l_linenumber")
     detail = lineitem.select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("SalesOrderDetailID"),
         F.col("l_partkey").alias("ProductID"),
-        (F.lit(1) + F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(12))).cast("int").alias("SpecialOfferID"),
+        # some lines have no offer
+        F.when(F.pmod(offer, F.lit(97)) != 5, (F.lit(1) + F.pmod(offer, F.lit(12))).cast("int")).alias("SpecialOfferID"),
         qty.alias("OrderQty"),
         unit_price.alias("UnitPrice"),
         disc.alias("UnitPriceDiscount"),

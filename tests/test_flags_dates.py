@@ -56,3 +56,21 @@ def test_months_active_matches_theta_join(spark):
     got = sorted((r["id"], r["MonthStart"]) for r in months_active(df, "s", "e", f, t).collect())
     want = sorted((i, m) for i, s, e in offers for m in _brute_months(s, e, dt.date(2011, 1, 1), dt.date(2014, 12, 1)))
     assert got == want
+
+
+def test_active_per_month_counts_ids_once(spark):
+    import random
+
+    from promolens.operators.intervals import active_per_month
+
+    rnd = random.Random(3)
+    rows = []
+    for _ in range(400):
+        s = dt.datetime(2009, 1, 1) + dt.timedelta(days=rnd.randrange(2500), hours=rnd.choice([0, 0, 12]))
+        rows.append((rnd.choice([1, 2, 3, rnd.randrange(60)]), None if rnd.random() < 0.05 else s,
+                     None if rnd.random() < 0.1 else s + dt.timedelta(days=rnd.randrange(-20, 200))))
+    df = spark.createDataFrame(rows, "id int, s timestamp_ntz, e timestamp_ntz")
+    f, t = dt.date(2011, 1, 1), dt.date(2014, 12, 31)
+    want = {r["MonthStart"]: r["n"] for r in months_active(df, "s", "e", f, t).groupBy("MonthStart").agg(F.count_distinct("id").alias("n")).collect()}
+    assert {r["MonthStart"]: r["active"] for r in active_per_month(df, "id", "s", "e", f, t).collect()} == want
+    assert active_per_month(df.limit(0), "id", "s", "e", f, t).collect() == []
