@@ -42,6 +42,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(docs: DataFrame, named: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``docs`` with its columns called in0, in1, ... but for the ``named`` ones, so that
+    no name of the caller's (dots included) meets one of an operator's own."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in named else f"in{k}") for k, c in enumerate(docs.columns)])
+
+
+def renamed(df: DataFrame, docs: DataFrame, named: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The columns of ``docs`` from a frame that ``numbered`` began, under their own names."""
+    return df.select(*[F.col(c if c in named else f"in{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

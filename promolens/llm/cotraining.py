@@ -32,6 +32,7 @@ VOCABULARY = 2048
 LEAST_G2 = 18.0
 EXCHANGE = 1000
 SURE = 0.97
+SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
 BINS = 16
 STEMS = (4, 5)  # bytes
 NAMED = 64  # hashed places for each of language and source
@@ -177,9 +178,10 @@ class Model:
         return 1 - _sigmoid(a), 1 - _sigmoid(b), 1 - _sigmoid(np.column_stack([both_views(a, b), np.ones(n)]) @ self.mix)
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
+def _places(docs: DataFrame) -> list[F.Column]:
+    """Hashed places of language and source, as ``__lang`` and ``__source``."""
     place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(NAMED)) if c in docs.columns else F.lit(0).cast("long")
-    return docs.withColumns({"__lang": place("lang"), "__source": place("source")})
+    return [place("lang").alias("__lang"), place("source").alias("__source")]
 
 
 def _wanted(labels: DataFrame, fit_rows: int) -> DataFrame:
@@ -220,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
     """Co-trains both views on ``docs`` (doc_id, text; lang and source if there)
     and ``labels`` (doc_id, quality, toxic; bad: quality 0 or toxic 1)."""
     spark = docs.sparkSession
-    docs = _prepared(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__lang", "__source")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_places(docs))
     wanted = staged(_wanted(labels, fit_rows), "labelled")
     labelled = docs.join(F.broadcast(wanted), "doc_id")  # fit_rows rows at most
     seen = labelled.agg(F.sum("bad").alias("b"), F.count(F.lit(1)).alias("n")).first()
@@ -234,7 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
             yield pa.RecordBatch.from_arrays([pa.array(values[:, k]) for k in range(NUMBERS)], names=[f"v{k}" for k in range(NUMBERS)])
 
     kinds = ", ".join(f"v{k} double" for k in range(NUMBERS))
-    values = labelled.select("text").mapInArrow(numbers, kinds).toArrow()
+    most = fit_rows + fit_rows // 4  # a labelled id may have several rows
+    values = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("text").mapInArrow(numbers, kinds).toArrow()
     model.edges = np.stack([np.quantile(values.column(k).to_numpy(), np.linspace(0, 1, BINS + 1)[1:-1]) for k in range(NUMBERS)])
     shared = spark.sparkContext.broadcast(model)
 
@@ -248,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *sets], names=["doc_id", "words", "page"])
 
     every = staged(docs.mapInArrow(features, "doc_id long, words binary, page binary"), "features")
-    known = every.join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows + fit_rows // 4).toArrow()
+    known = every.join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toArrow()
     y = known.column("bad").to_numpy().astype(float)
     held = np.arange(len(y)) % 4 == 0 if len(y) >= 40 else np.zeros(len(y), bool)
     sets, width = {"text": _rows(known, "words"), "page": _rows(known, "page")}, {"text": max(1, len(model.vocabulary)), "page": model.page_width}
@@ -274,6 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
 
     refit()
     pool = every.join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_anti")
+    handed: dict[str, set[int]] = {"text": set(), "page": set()}  # whom a view was taught already
     for _ in range(rounds):
         taught = spark.sparkContext.broadcast(model)
 
@@ -281,16 +285,19 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 a, b = now.value.logits(_rows(table, "words"), _rows(table, "page"), batch.num_rows)
-                pa_, pb = _sigmoid(a), _sigmoid(b)
-                keep = np.flatnonzero(np.maximum.reduce([pa_, 1 - pa_, pb, 1 - pb]) >= SURE)
-                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in batch.columns), pa.array(pa_[keep]), pa.array(pb[keep])],
-                                                 names=[*batch.schema.names, "text_bad", "page_bad"])
-
-        scored = staged(pool.mapInArrow(sure, "doc_id long, words binary, page binary, text_bad double, page_bad double"), "sure")
-        for teacher, pupil in (("text_bad", "page"), ("page_bad", "text")):
-            for label, chance in ((1.0, F.col(teacher)), (0.0, 1 - F.col(teacher))):
-                got = (scored.where(chance >= SURE).orderBy(chance.desc(), F.xxhash64("doc_id"), "doc_id").limit(exchange).toArrow())
+                keep = np.flatnonzero(np.maximum(np.abs(a), np.abs(b)) >= SURE_LOGIT)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in batch.columns), pa.array(a[keep]), pa.array(b[keep])],
+                                                 names=[*batch.schema.names, "text_logit", "page_logit"])
+
+        scored = staged(pool.mapInArrow(sure, "doc_id long, words binary, page binary, text_logit double, page_logit double"), "sure")
+        for teacher, pupil in (("text_logit", "page"), ("page_logit", "text")):
+            for label, logit in ((1.0, F.col(teacher)), (0.0, -F.col(teacher))):
+                new = scored.where(logit >= SURE_LOGIT)
+                if handed[pupil]:  # at most rounds * 2 * exchange ids
+                    new = new.join(F.broadcast(spark.createDataFrame([(i,) for i in handed[pupil]], "doc_id long")), "doc_id", "left_anti")
+                got = new.orderBy(logit.desc(), F.xxhash64("doc_id"), "doc_id").limit(exchange).toArrow()
                 if got.num_rows:
+                    handed[pupil].update(i for i in got.column("doc_id").to_pylist() if i is not None)
                     extra[pupil].append((*_rows(got, "words" if pupil == "text" else "page"), np.full(got.num_rows, label)))
         refit()
     return model
@@ -307,7 +314,7 @@ def classify(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared, names = docs.sparkSession.sparkContext.broadcast(model), [c for c in docs.columns if c not in new]
     kinds = dict(docs.dtypes)
     # by number: a column's own name may be anything
-    ready = _prepared(docs).select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"in_{k}") for k, c in enumerate(names)], "__lang", "__source")
+    ready = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"in_{k}") for k, c in enumerate(names)], *_places(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import connected_components, discard, shuffle_partitions, slices, staged
+from promolens.llm.common import connected_components, discard, numbered, renamed, shuffle_partitions, slices, staged
 from promolens.llm.token_index import mix64
 from promolens.llm.words import shingle_sets, shingles, words
 
@@ -318,10 +318,10 @@ def one_per_class(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
             .select("class", F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2")))
     drop = (found.where("class is not null").join(best, "class").where("k1 <> b1 or k2 <> b2").select("k1", "k2").distinct())
     again = (found.where("class is not null").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k1", "k2"))
-    names, doc_id = docs.columns, F.col("doc_id").cast("long")
-    keyed = docs.withColumns({"__k1": F.xxhash64(F.lit(1), doc_id, "text"), "__k2": F.xxhash64("text", doc_id, F.lit(2))})
+    doc_id, plain = F.col("doc_id").cast("long"), numbered(docs)
+    keyed = plain.withColumns({"__k1": F.xxhash64(F.lit(1), doc_id, "text"), "__k2": F.xxhash64("text", doc_id, F.lit(2))})
     on = ["__k1", "__k2"]
     drop, again = (t.withColumnsRenamed({"k1": "__k1", "k2": "__k2"}) for t in (drop, again))
     keyed = keyed.join(drop, on, "left_anti")
     repeated = keyed.join(again, on, "left_semi").dropDuplicates(["__k1", "__k2"])
-    return keyed.join(again, on, "left_anti").select(names).unionByName(repeated.select(names))
+    return renamed(keyed.join(again, on, "left_anti").select(plain.columns).unionByName(repeated.select(plain.columns)), docs)

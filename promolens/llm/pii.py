@@ -14,6 +14,7 @@ kind are new spans of that kind; base spans always stay.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -21,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import discard, slices, staged
+from promolens.llm.common import discard, numbered, renamed, slices, staged
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 CONFIDENT = 0.8
 ENOUGH = 7  # seeds of a kind behind a pattern that count in full; fewer by their logarithm
+SHORTEST = 4  # code points of a string that may be found; a base span may be shorter
 UNKNOWN = 0.1  # what a string without trust weighs against a pattern, a seed of another kind being 1
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -79,9 +81,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _whole(word: str, most: int) -> str:
+    """A word as it is, or a long one's beginning with its digest: as a whole it is still told apart."""
+    return word if len(word) <= most else f"{word[:most - 33]}~{hashlib.md5(word.encode()).hexdigest()}"
+
+
 def _before(text: str, start: int) -> list[str]:
-    words = text[max(0, start - 80): start].rstrip("([").lower().split()  # a bracket around it is no word
-    return [w[-24:] for w in words[-2:]]
+    """The two whole words before a place, however far away."""
+    size = 80
+    while True:
+        lo = max(0, start - size)
+        words = text[lo: start].rstrip("([").lower().split()  # a bracket around it is no word
+        if lo == 0 or len(words) > 2:  # the first may be cut
+            return [_whole(w, 64) for w in words[-2:]]
+        size *= 8
 
 
 def _runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -93,7 +106,7 @@ def _runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
             start, end = m.span()
             if text[start] in "([" and ")]"["([".index(text[start])] not in m[0]:
                 start += 1  # a bracket around more than the number
-            if " " in m[0] and end - start >= 4:
+            if " " in m[0] and end - start >= SHORTEST:
                 out.append((start, end))
         lo = max(lo, b)
     return out
@@ -116,12 +129,12 @@ def mentions(text: str) -> list[tuple[int, int, int, str, list[str]]]:
             b -= 1
         while at < len(taken) and taken[at][1] <= a:
             at += 1
-        if b - a >= 4 and not (at < len(taken) and taken[at][0] < b):
+        if b - a >= SHORTEST and not (at < len(taken) and taken[at][0] < b):
             found.append((-1, a, b))
     for kind, a, b in found:
         left = _before(text, a)
         patterns = [" ".join(left), left[-1]] if len(left) == 2 else left
-        out.append((kind, a, b, text[a:b].lower()[:256], patterns))
+        out.append((kind, a, b, _whole(text[a:b].lower(), 256), patterns))
     return out
 
 
@@ -213,8 +226,9 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> Dat
 def redact(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle
     brackets (the earlier span where two overlap); other columns as they are."""
-    names = docs.columns
-    keyed, found = spans(docs, rounds, least)
+    docs_ = numbered(docs)
+    names = docs_.columns
+    keyed, found = spans(docs_, rounds, least)
     per = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("found_spans")).withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +247,7 @@ def redact(docs: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENT) -> D
 
     rows = keyed.join(per, ["__k1", "__k2"], "left").select(*[F.col(c).alias(f"c{k}") if c != "text" else F.lit(None).cast("string").alias(f"c{k}")
                                                           for k, c in enumerate(names)], F.col("text").alias("t"), F.col("found_spans").alias("s"))
-    kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields))
+    kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs_.schema.fields))
     out = rows.mapInArrow(run, f"{kinds}, redacted string")
-    return out.select(*[F.col("redacted").alias(c) if c == "text" else F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    out = out.select(*[F.col("redacted").alias(c) if c == "text" else F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    return renamed(out, docs)
