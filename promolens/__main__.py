@@ -30,6 +30,7 @@ def main(argv=None) -> None:
     p.add_argument("--out", default="out")
     p.add_argument("--skip-kmeans", action="store_true")
     p.add_argument("--opt-top-n", type=int, default=None, help="optional cap on selection candidates")
+    p.add_argument("--optimal", action="store_true", help="optimal selection over all candidates")
     p.add_argument("--model", choices=["rf", "gbt", "lightgbm"], default="gbt")
     p.add_argument("--oversample", action="store_true")
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet", help="output table format")
@@ -67,7 +68,7 @@ def main(argv=None) -> None:
         from promolens.plans.evaluation import report_text
         from promolens.plans.job import run_pipeline
 
-        cfg = PipelineConfig(budget=args.budget, skip_kmeans=args.skip_kmeans, opt_top_n=args.opt_top_n,
+        cfg = PipelineConfig(budget=args.budget, skip_kmeans=args.skip_kmeans, opt_top_n=args.opt_top_n, optimal=args.optimal,
                              model=args.model, oversample=args.oversample, out_dir=args.out,
                              output_format=args.format)
         out = run_pipeline(read_table(spark, args.data), cfg)

@@ -49,6 +49,7 @@ class PipelineConfig:
     budget: float = 500_000.0
     skip_kmeans: bool = False
     opt_top_n: int | None = None
+    optimal: bool = False  # select by branch and bound (no candidate cap) instead of the ranked walk
     model: str = "gbt"  # "gbt" or "rf"
     oversample: bool = False
     seed: int = 42

@@ -141,36 +141,43 @@ def _walk(numbered: DataFrame, budget: Decimal) -> tuple[F.Column, Decimal, Deci
     return taken, spent, gained, bound or 0.0
 
 
-def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID", cost: str = "Cost",
-                         amount: str = "ProposalAmount", prob: str = "accept_prob",
-                         top_n: int | None = None) -> SelectionResult:
-    """Flags the chosen candidates; raises when an id occurs twice.
-    ``top_n`` keeps only the best candidates (an option of the job, off by
-    default)."""
-    b = Decimal(str(budget)).quantize(Decimal("0.000001"))
+@dataclass
+class Greedy:
+    cand: DataFrame       # candidates with their expected values
+    numbered: DataFrame   # id, _range, _pos, _c, _p of those that the budget could pay
+    chosen: F.Column      # which of ``numbered`` are taken
+    used: Decimal
+    profit: Decimal
+    bound: float          # the linear relaxation's
+
+
+def greedy(df: DataFrame, budget: Decimal, id_col: str, cost: str, amount: str, prob: str, top_n: int | None) -> Greedy:
+    """The ranked walk with the single-best guard."""
     cand = candidates(df, id_col, cost, amount, prob)
     if top_n is not None:
         cand = cand.orderBy(*ranking(id_col)).limit(top_n)
     narrow = reliable_checkpoint(cand.select(id_col, "_eff", "expected_profit", "_c", "_p"))
     require_unique(narrow, id_col)
     # A proposal dearer than the whole budget can never be chosen.
-    items = narrow.where(F.col("_c") <= F.lit(b))
+    items = narrow.where(F.col("_c") <= F.lit(budget))
     ranged = range_partitioned(items, ranking(id_col))
     numbered = reliable_checkpoint(sums_in_ranges(ranged, ranking(id_col), {"_pos": F.lit(1)}, prefix="")
                                    .select(id_col, "_range", "_pos", "_c", "_p"))
 
-    chosen, used, profit, lp_bound = _walk(numbered, b)
+    chosen, used, profit, lp_bound = _walk(numbered, budget)
     best = numbered.orderBy(F.desc("_p"), F.asc("_pos")).select("_pos", "_c", "_p").first()
     if best is not None and best["_p"] > profit:
         # one proposal alone is worth more: it goes first, the rest is filled
         others = F.col("_pos") != F.lit(best["_pos"])
-        more, used, profit, _ = _walk(numbered.where(others), b - best["_c"])
+        more, used, profit, _ = _walk(numbered.where(others), budget - best["_c"])
         chosen, used, profit = ~others | more, used + best["_c"], profit + best["_p"]
+    return Greedy(cand, numbered, chosen, used, profit, max(lp_bound, float(profit)))
 
-    picked = numbered.where(chosen).select(id_col, "_c", "_p")
+
+def selection_result(cand: DataFrame, picked: DataFrame, used: Decimal, profit: Decimal, bound: float, id_col: str) -> SelectionResult:
+    """Flags the picked candidates and sums them up."""
     selection = (cand.drop("_eff", "_c", "_p").join(picked.select(id_col, F.lit(1).alias("selected")), id_col, "left")
                  .withColumn("selected", F.coalesce("selected", F.lit(0))))
-    bound = max(lp_bound, float(profit))
     totals = (picked.agg(F.count(F.lit(1)).alias("selected_count"), _money_total(F.col("_c")).alias("total_cost"),
                          _money_total(F.col("_p")).alias("total_profit"))
               .withColumns({"lp_bound": F.greatest(F.lit(bound), F.col("total_profit")),
@@ -178,6 +185,18 @@ def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID
     return SelectionResult(selection, totals, float(used), float(profit))
 
 
+def select_within_budget(df: DataFrame, budget: float, id_col: str = "ProposalID", cost: str = "Cost",
+                         amount: str = "ProposalAmount", prob: str = "accept_prob",
+                         top_n: int | None = None) -> SelectionResult:
+    """Flags the chosen candidates; raises when an id occurs twice.
+    ``top_n`` keeps only the best candidates (an option of the job, off by
+    default)."""
+    b = Decimal(str(budget)).quantize(Decimal("0.000001"))
+    g = greedy(df, b, id_col, cost, amount, prob, top_n)
+    picked = g.numbered.where(g.chosen).select(id_col, "_c", "_p")
+    return selection_result(g.cand, picked, g.used, g.profit, g.bound, id_col)
+
+
 def selected_deals(selection: DataFrame, id_col: str = "ProposalID", cost: str = "Cost") -> DataFrame:
     """The chosen proposals with their cost and expected profit."""
     return selection.where(F.col("selected") == 1).select(id_col, cost, "expected_profit")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from promolens.config import PipelineConfig
-from promolens.operators import knapsack
+from promolens.operators import knapsack, optimal
 from promolens.plans.features import add_features, require_columns
 from promolens.plans.model import TrainResult, train_and_score
 from promolens.plans.saved import scoring_model
@@ -49,7 +49,10 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
     segmented = seg.assign(scored)
 
     require_columns(segmented, SELECTION_REQUIRED, "optimization")
-    sel = knapsack.select_within_budget(segmented, cfg.budget, top_n=cfg.opt_top_n)
+    if cfg.optimal and cfg.opt_top_n is not None:
+        raise ValueError("the optimal selection has no candidate cap: leave opt_top_n unset")
+    sel = (optimal.select_optimal(segmented, cfg.budget) if cfg.optimal
+           else knapsack.select_within_budget(segmented, cfg.budget, top_n=cfg.opt_top_n))
     tot = sel.totals.first()
 
     rows = [(r["section"], r["metric"], r["value"]) for r in tr.metrics.collect()]

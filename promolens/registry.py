@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from promolens.config import FIXTURE_PARAMS as P
 from promolens.config import PipelineConfig
 from promolens.functions.hashing import hash_key, unit_score
-from promolens.operators import curves, knapsack, sampling
+from promolens.operators import curves, knapsack, optimal, sampling
 from promolens.plans import evaluation, features, job, model, monthly, proposals, reports, segments
 from promolens.session import reliable_checkpoint
 from promolens.sources.csv import as_text
@@ -130,6 +130,25 @@ def _selection(t: SalesTables):
     return knapsack.select_within_budget(selection_input(t), SELECTION_BUDGET)
 
 
+def _optimal(spark: SparkSession, sf_dir: str) -> optimal.OptimalSelection:
+    return _once(spark, "optimal", sf_dir, make=lambda: optimal.select_optimal(selection_input(_tables(spark, sf_dir)), SELECTION_BUDGET))
+
+
+def _optimal_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The optimal choice, counted again, against the greedy one."""
+    best = _optimal(spark, sf_dir)
+    chosen = F.col("selected") == 1
+    again = best.selection.agg(F.count(F.lit(1)).alias("n_candidates"), F.sum(F.when(chosen, F.col("Cost").cast(knapsack.MONEY))).alias("cost"),
+                               F.sum(F.when(chosen, F.col("expected_profit").cast(knapsack.MONEY))).alias("profit"),
+                               F.count_if(F.col("expected_profit") <= 0).alias("n_without_profit"))
+    walked = _selection(_tables(spark, sf_dir)).totals.first()
+    return again.select(
+        "n_candidates", "n_without_profit", F.lit(walked["total_profit"]).alias("greedy_profit"),
+        (F.col("cost") <= F.lit(SELECTION_BUDGET)).alias("within_budget"),
+        (F.round("profit", 2).cast("double") >= F.lit(walked["total_profit"])).alias("at_least_greedy"),
+        (F.round("profit", 2).cast("double") <= F.lit(walked["lp_bound"] + 0.01)).alias("within_bound"), F.lit(best.proven).alias("proven"))
+
+
 def labelled(t: SalesTables) -> DataFrame:
     """(ProposalID, label) by the model's label rule: a narrow extract,
     written once for the class counts and the hash levels of a sample."""
@@ -277,6 +296,8 @@ QUERIES: dict[str, Query] = {
     "lift_gain": _q(lambda t: curves.lift_gain(eval_frame(t), "ProposalID", "accept_prob", "Accepted", "tie",
                                                positive=1)),
     "budget_selection": _q(lambda t: _selection(t).selection),
+    "optimal_selection": lambda spark, sf_dir: for_output(_optimal(spark, sf_dir).selection.select("ProposalID", "Cost", "expected_profit", "selected")),
+    "optimal_selection_check": _optimal_check,
     "selection_totals": _q(lambda t: _selection(t).totals.select("selected_count", "total_cost", "total_profit")),
     "top_candidates": _q(lambda t: knapsack.top_candidates(selection_input(t), TOP_CANDIDATES)),
     "pr_curve_text_scores": _q(lambda t: curves.pr_curve(text_scores_frame(t), "accept_prob", "Accepted", positive=1)),
