@@ -57,6 +57,7 @@ def main(argv=None) -> None:
         cmd.add_argument("--namespace", default=None)
     r.add_argument("--from-date", default="2011-01-01")
     r.add_argument("--to-date", default="2014-12-31")
+    r.add_argument("--store", default=None, help="folder that keeps the report lines by month; only changed months are rebuilt")
     r.add_argument("--top-n", type=int, default=5)
     r.add_argument("--out", default="out_reports")
 
@@ -100,7 +101,7 @@ def main(argv=None) -> None:
             w = df.write.mode("overwrite").option("header", True)
             (w.csv if args.format == "csv" else w.parquet)(os.path.join(args.out, name))
     else:
-        from promolens.plans import monthly, reports
+        from promolens.plans import monthly, monthly_store, reports
         from promolens.sources.tables import SalesTables
 
         t = SalesTables.from_parquet(spark, args.tables) if args.tables else \
@@ -120,7 +121,11 @@ def main(argv=None) -> None:
             "line_items_by_category": reports.line_items_by_category(t),
             "top_order_lines": reports.top_order_lines(t),
         }
-        outs.update(monthly.monthly_reports(t, params))
+        lb = None
+        if args.store:
+            monthly_store.refresh(t, params, args.store)
+            lb = monthly_store.load(t, params, args.store)
+        outs.update(monthly.monthly_reports(t, params, lb))
         for name, df in outs.items():
             df.write.mode("overwrite").parquet(os.path.join(args.out, name))
 

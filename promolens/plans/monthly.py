@@ -132,11 +132,11 @@ def top_groups_by_month(lb: DataFrame, params: ReportParams) -> DataFrame:
         .orderBy("year", "month", "rnk"))
 
 
-def monthly_reports(t: SalesTables, params: ReportParams) -> dict[str, DataFrame]:
+def monthly_reports(t: SalesTables, params: ReportParams, lb: DataFrame | None = None) -> dict[str, DataFrame]:
     """All monthly reports of one parameter set, sharing one materialised
     ``line_base`` (written once to the shared folder, as the report script's
-    temp tables are)."""
-    lb = reliable_checkpoint(line_base(t, params))
+    temp tables are). ``lb``: one that is stored already."""
+    lb = lb if lb is not None else reliable_checkpoint(line_base(t, params))
     return {
         "line_base": lb,
         "order_promo_flag": order_promo_flag(lb),

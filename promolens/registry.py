@@ -10,6 +10,7 @@ compares with the DuckDB oracle column for column.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,8 @@ from promolens.config import FIXTURE_PARAMS as P
 from promolens.config import PipelineConfig
 from promolens.functions.hashing import hash_key, unit_score
 from promolens.operators import curves, knapsack, optimal, sampling
-from promolens.plans import evaluation, features, job, model, monthly, proposals, reports, segments
-from promolens.session import reliable_checkpoint
+from promolens.plans import evaluation, features, job, model, monthly, monthly_store, proposals, reports, segments
+from promolens.session import ensure_checkpoint_dir, reliable_checkpoint
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, list_tables, table_row_counts
 
@@ -51,6 +52,16 @@ def _lb(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return _q(lambda t: fn(monthly.line_base(t, P)))
 
 
+def _stored_lines(t: SalesTables) -> DataFrame:
+    """``line_base`` through a store by month: a first build, then a refresh that finds nothing to do."""
+    path = f"{ensure_checkpoint_dir(t.sales_order_header.sparkSession).rstrip('/')}/store-{uuid.uuid4().hex}"
+    monthly_store.refresh(t, P, path)
+    again = monthly_store.refresh(t, P, path)
+    if again:
+        raise RuntimeError(f"months rewritten without a change: {again}")
+    return monthly_store.load(t, P, path)
+
+
 def proposal_text(t: SalesTables) -> DataFrame:
     """The extract as the pipeline receives it: CSV text, with the order
     date and line discount as optional columns."""
@@ -272,6 +283,7 @@ QUERIES: dict[str, Query] = {
     "line_items_by_category": _q(reports.line_items_by_category),
     "top_order_lines": _q(reports.top_order_lines),
     "line_base": _lb(lambda lb: lb),
+    "line_base_by_month": _q(_stored_lines),
     "order_promo_flag": _lb(monthly.order_promo_flag),
     "promotions_launched": _q(lambda t: monthly.promotions_launched(t, P)),
     "active_promotions_by_month": _q(lambda t: monthly.active_promotions_by_month(t, P)),
@@ -326,6 +338,7 @@ def oracles() -> dict[str, str]:
 
     q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
                                       P.as_of.isoformat())
+    q["line_base_by_month"] = q["line_base"]
     q.update(feature_oracles(proposals_cte))
     q.update(eval_oracles(proposals_cte))
     q.update(selection_oracles(proposals_cte, SELECTION_BUDGET, TOP_CANDIDATES))

@@ -44,7 +44,7 @@ def _close(a, b):
 
 FAST = ["promotions_by_year_month", "promotions_year_pivot", "revenue_by_promo_flag", "profit_by_promo_flag",
         "margin_pct_by_promo_flag", "top_promo_products", "yearly_promo_split", "product_completeness",
-        "revenue_by_category", "line_items_by_category", "top_order_lines", "line_base", "order_promo_flag",
+        "revenue_by_category", "line_items_by_category", "top_order_lines", "line_base", "line_base_by_month", "order_promo_flag",
         "promotions_launched", "active_promotions_by_month", "monthly_promo_sales", "monthly_promo_orders",
         "top_groups_by_month", "customer_metrics", "proposals", "coerced_amounts", "proposal_features",
         "winsorized_features", "roc_auc", "average_precision", "best_f1_threshold", "classification_report",
