@@ -1,9 +1,11 @@
 """Token ids in raw shard files with a minimal perfect hash index.
 
-File format. A shard holds the ids of up to ``docs_per_shard`` documents on
-end (2 or 4 bytes an id, little-endian, by the vocabulary's size), then a
+File format. A shard holds the ids of up to ``docs_per_shard`` documents, closed
+early at ``bytes_per_shard``, on end (2 or 4 bytes an id, little-endian, by the vocabulary's
+size), then a zero byte for each document that it is short of ``docs_per_shard`` when closed early (the
+writer starts a file by the count of its records), then a
 footer: the documents' keys (int64), id counts (uint32), null flags of the
-keys (uint8), the number of documents (uint64). Spark's own file writer
+keys (uint8), the number of documents (uint32) and of the zero bytes (uint32). Spark's own file writer
 writes the shards, so a retried or duplicate task leaves no half file and any
 Hadoop file system will do; every record ends in a zero byte (the end id's
 high byte, the footer's last byte), which is the writer's record separator.
@@ -87,22 +89,25 @@ def fingerprint(key: np.ndarray, occ: np.ndarray) -> np.ndarray:
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text",
-                 docs_per_shard: int = 1024, end_id: int = END_ID) -> None:
+                 docs_per_shard: int = 1024, bytes_per_shard: int = 1 << 30, end_id: int = END_ID) -> None:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes
     the shards in ascending key order (null keys first; equal keys by text inside
     a range).
 
-    A shard must stay under 2 GB, the limit of a binary value in Spark."""
+    A shard closes at ``docs_per_shard`` documents or before ``bytes_per_shard`` bytes of ids (a longer
+    document is a shard of its own): it stays under 2 GB, the limit of a binary value in Spark, however
+    long the documents are."""
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, KEEP_CHUNKS)
         stop = int(end_id).to_bytes(enc.width, "little")
         keys: list[int] = []
         counts: list[int] = []
         nulls: list[bool] = []
+        size = 0
 
-        def footer() -> bytes:
+        def footer(short: int = 0) -> bytes:
             end = (np.array(keys, np.int64).tobytes() + np.array(counts, np.uint32).tobytes()
-                   + np.array(nulls, np.uint8).tobytes() + len(keys).to_bytes(8, "little"))
+                   + np.array(nulls, np.uint8).tobytes() + len(keys).to_bytes(4, "little") + short.to_bytes(4, "little"))
             for x in (keys, counts, nulls):
                 x.clear()
             return end
@@ -111,16 +116,24 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id"
             out = []
             ids = enc.encode(part.column("text").fill_null("").to_pylist())
             for k, b in zip(part.column("key").to_pylist(), ids, strict=True):
+                if keys and size + len(b) + enc.width > bytes_per_shard:
+                    short = docs_per_shard - len(keys)
+                    out.extend([b"\0"] * short + [footer(short)])
+                    size = 0
                 out.append(b + stop)
+                size += len(b) + enc.width
                 keys.append(k or 0)
                 nulls.append(k is None)
                 counts.append(len(b) // enc.width + 1)
                 if len(keys) == docs_per_shard:
                     out.append(footer())
+                    size = 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["rec"])
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array([footer()], pa.binary())], names=["rec"])
 
+    if docs_per_shard >= 1 << 24:
+        raise ValueError("a shard holds fewer than 2^24 documents: the footer's high byte must be zero")
     if end_id >> 8 * (encoder(tokenizer).width - 1):
         raise ValueError("the end id's high byte must be zero: it ends each record")
     # The salt cuts a key with very many rows; the range bounds are sampled without reading a text.
@@ -147,17 +160,17 @@ def read_shards(spark: SparkSession, path: str, width: int, checksum: bool = Fal
                 if not size:
                     continue
                 part, no = map(int, re.search(r"part-(\d+)-.*-c(\d+)", name).groups())
-                n = int.from_bytes(raw.slice(size - 8, 8).to_pybytes(), "little")
+                n, short = np.frombuffer(raw, "<u4", 2, size - 8).tolist()
                 at = size - 8 - 13 * n
                 keys = np.frombuffer(raw, np.int64, n, at)
                 counts = np.frombuffer(raw, np.uint32, n, at + 8 * n).astype(np.int64)
                 nulls = np.frombuffer(raw, np.uint8, n, at + 12 * n).astype(bool)
                 ends = np.cumsum(counts) * width
-                if ends[-1] != at:
+                if ends[-1] + short != at:
                     raise ValueError(f"{name}: its footer and its size differ")
                 cuts = np.concatenate([[0], ends]).astype(np.int64)
                 if checksum:
-                    wide = memoryview(np.frombuffer(raw, f"<u{width}", at // width).astype("<u4").tobytes())
+                    wide = memoryview(np.frombuffer(raw, f"<u{width}", int(ends[-1]) // width).astype("<u4").tobytes())
                     last = pa.array([zlib.crc32(wide[x:y]) for x, y in zip((cuts * 4 // width).tolist(), (cuts[1:] * 4 // width).tolist())], pa.int64())
                 else:
                     last = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cuts), raw.slice(0, at)]).cast(pa.binary())

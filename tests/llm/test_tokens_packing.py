@@ -115,3 +115,22 @@ def test_index_round_trip(spark):
     assert token_index.get(spark, path, index, 12345, width) is None
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_index.op4_digest(spark, empty, scratch(spark, "test-ids"), tok).collect() == []
+
+
+def test_shards_close_by_bytes(spark):
+    data, df = rows(spark)
+    name, path = "byte_bpe_50k.json", scratch(spark, "test-bytes")
+    width = ENCODERS[name].width
+    token_index.write_shards(df.coalesce(1), path, public.path(name), docs_per_shard=4, bytes_per_shard=40)
+    got = token_index.read_shards(spark, path, width).collect()
+    want = [[*plain(name, t), 0] for _, t in data]
+    assert sorted(np.frombuffer(r["ids"], f"<u{width}").tolist() for r in got) == sorted(want)
+    shards = {}
+    for r in got:
+        shards.setdefault((r["part"], r["file_no"]), []).append(r["n_ids"] * width)
+    assert all(len(s) <= 4 and (sum(s) <= 40 or len(s) == 1) for s in shards.values())
+    assert any(len(s) == 1 and s[0] > 40 for s in shards.values()) and any(1 < len(s) < 4 for s in shards.values())
+    for (part, no), s in shards.items():
+        assert sorted(r["row"] for r in got if (r["part"], r["file_no"]) == (part, no)) == list(range(len(s)))
+    one = next(r for r in got if r["n_ids"] > 100)
+    assert token_index.read_span(spark, path, one["part"], one["file_no"], one["byte_offset"], one["n_ids"], width).tobytes() == one["ids"]
