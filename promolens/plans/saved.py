@@ -12,7 +12,6 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -63,9 +62,8 @@ def scoring_model(train, segments) -> PipelineModel:
     stages = [WithColumns(columns=json.dumps(clips)), *train.model.stages, AcceptProbability()]
     if segments.model is not None:
         z = [f"z_{c}" for c in segments.inputs.features]
-        kmeans = segments.model.copy().setFeaturesCol("segment_features").setPredictionCol("segment")
         stages += [WithColumns(columns=json.dumps(dict(zip(z, segments.inputs.z_sql, strict=True)))),
-                   VectorAssembler(inputCols=z, outputCol="segment_features"), kmeans]
+                   WithColumns(columns=json.dumps({"segment": f"CAST({segments.model.sql()} AS INT)"}))]
     return PipelineModel(stages)
 
 

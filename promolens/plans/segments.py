@@ -4,7 +4,7 @@ Preparation follows the reference guards, each returning a reason when
 segmentation is skipped: missing columns, no usable value, all features
 constant, fewer than 10 rows. Imputation (median), the variance filter and
 standardisation (population std) are fitted on all rows with aggregates.
-K-Means is fitted on all rows for k = 2..7 and scored by the silhouette of
+K-Means is fitted on all rows for k = 2..7 together (``operators.centres``) and scored by the silhouette of
 all rows (first maximum); every row is assigned.
 """
 
@@ -12,13 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.numeric import nan_inf_to_null
+from promolens.operators.centres import Centres, fit_centres
 from promolens.operators.quantiles import exact_quantiles
 from promolens.session import reliable_checkpoint
 
@@ -75,7 +73,7 @@ class SegmentResult:
     silhouette: float | None
     reason: str | None
     scores: list[tuple[int, float]]
-    model: KMeansModel | None = None
+    model: Centres | None = None
     inputs: SegmentInputs | None = None
 
     def assign(self, df: DataFrame) -> DataFrame:
@@ -83,9 +81,7 @@ class SegmentResult:
         segmentation was skipped; a projection, no join."""
         if self.model is None:
             return df.withColumn("segment", F.lit(None).cast("int"))
-        zc = [f"z_{c}" for c in self.inputs.features]
-        vec = VectorAssembler(inputCols=zc, outputCol="features").transform(df.select("*", *self.inputs.z))
-        return self.model.transform(vec).select(*df.columns, F.col("prediction").cast("int").alias("segment"))
+        return df.select("*", *self.inputs.z).select(*[F.col(f"`{c}`") for c in df.columns], F.expr(self.model.sql()).cast("int").alias("segment"))
 
 
 def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), seed: int = 42,
@@ -93,17 +89,15 @@ def fit_segments(inputs: SegmentInputs, ks=(2, 3, 4, 5, 6, 7), seed: int = 42,
     if inputs.reason:
         return SegmentResult(None, None, None, inputs.reason, [])
     zc = [f"z_{c}" for c in inputs.features]
-    vec = VectorAssembler(inputCols=zc, outputCol="features").transform(inputs.frame)
-    rows = reliable_checkpoint(vec.select(id_col, "features"), spread=True)  # read by every k
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    rows = reliable_checkpoint(inputs.frame.select(id_col, *zc), spread=True)  # read by every step
+    fits = fit_centres(rows, id_col, zc, ks, seed)
     best = (None, -1.0, None)
     scores = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(rows)
-        s = evaluator.evaluate(model.transform(rows))
-        scores.append((k, float(s)))
-        if s > best[1]:
-            best = (k, float(s), model)
+    for k, f in fits.items():
+        s = -1.0 if f.silhouette is None else f.silhouette
+        scores.append((k, s))
+        if best[0] is None or s > best[1]:
+            best = (k, s, f.model)
     k, s, model = best
-    seg = model.transform(rows).select(id_col, F.col("prediction").cast("int").alias("segment"))
+    seg = rows.select(id_col, F.expr(model.sql()).cast("int").alias("segment"))
     return SegmentResult(seg, k, s, None, scores, model, inputs)
