@@ -4,35 +4,43 @@ Two views of a document: its words and their stems, and what its page record and
 (language, source, length, lines, shares of capitals, digits, signs, spaces,
 distinct words). Each has its own logistic classifier on one-hot features.
 Both start from labelled documents; in each round every document is scored
-and each view hands its surest pseudo-labels of either class to the other.
+and each view hands its surest pseudo-labels of either class, a share
+``exchange`` of all unlabelled documents, to the other. Pseudo-labels stay in
+Spark: they are dealt to parts of about ``PART_ROWS``, a view is fitted on the
+labelled documents with each part, and the parts' weights are averaged.
 Scores are calibrated on labelled documents held back from the fit, and a
 last logistic step over both calibrated views scores every document.
 
 The fit uses at most ``fit_rows`` labelled documents (those with the smallest
-hashes of doc_id) and ``exchange`` pseudo-labels a round, view and class;
-scoring, in the rounds and at the end, covers every document.
+hashes of doc_id); pseudo-labels grow with the input, and scoring, in the
+rounds and at the end, covers every document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import slices, staged, text_bytes
+from promolens.llm.common import discard, slices, staged, text_bytes
 from promolens.llm.words import SPACE, word_hashes, word_spans
 
 _U = np.uint64
 FIT_ROWS = 20_000
 VOCABULARY = 2048
 LEAST_G2 = 18.0
-EXCHANGE = 1000
+EXCHANGE = 0.02
+PART_ROWS = 10_000
 SURE = 0.97
 SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
+GRAIN = 0.01  # logits are ranked in steps of this, up to TOP
+TOP = 40.0
 BINS = 16
 STEMS = (4, 5)  # bytes
 NAMED = 64  # hashed places for each of language and source
@@ -218,9 +226,51 @@ def _rows(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([*sets, np.zeros(0, np.uint16)]).astype(np.int64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT_ROWS, exchange: int = EXCHANGE) -> Model:
+def step_of(logit: F.Column) -> F.Column:
+    """Rank step of a logit: the same for all logits of TOP and more."""
+    return F.floor(F.least(logit, F.lit(TOP)) / F.lit(GRAIN)).cast("long")
+
+
+def cut_step(counts: dict[int, int], most: float) -> int | None:
+    """Smallest step such that the steps above it hold fewer than ``most``
+    documents; a step is taken whole. None if there is nothing to take."""
+    cut, above = None, 0
+    for step in sorted(counts, reverse=True):
+        if above >= most:
+            break
+        cut, above = step, above + counts[step]
+    return cut
+
+
+def mixed_view(taught: DataFrame, known: pa.Table, y: np.ndarray, name: str, width: int, part_rows: int) -> View:
+    """The mean of the views fitted on the labelled documents with each part of
+    the pseudo-labelled ones (``name``, label, turn). Parts are dealt by turn,
+    so that copies of one document spread; a part's weights come back added up."""
+    spark = taught.sparkSession
+    parts = max(1, -(-taught.count() // part_rows))
+    shared = spark.sparkContext.broadcast((known.column(name).combine_chunks(), y))  # fit_rows labelled rows at most
+
+    def run(table: pa.Table) -> pa.Table:
+        features, truth = shared.value
+        both = pa.table({name: pa.chunked_array([features.cast(pa.binary()), *table.column(name).chunks], pa.binary())})
+        view = fit_view(*_rows(both, name), np.concatenate([truth, table.column("label").to_numpy()]), width)
+        return pa.table({"place": np.arange(width + 1), "value": np.append(view.weights, view.bias)})
+
+    dealt = taught.select(name, "label", F.pmod("turn", F.lit(parts)).alias("part"))
+    rows = dealt.groupBy("part").applyInArrow(run, "place long, value double").groupBy("place").agg(F.avg("value").alias("v")).collect()
+    w = np.zeros(width + 1)
+    for r in rows:
+        w[r["place"]] = r["v"]
+    return View(w[:-1], float(w[-1]))
+
+
+def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT_ROWS, exchange: float = EXCHANGE,
+        part_rows: int = PART_ROWS) -> Model:
     """Co-trains both views on ``docs`` (doc_id, text; lang and source if there)
-    and ``labels`` (doc_id, quality, toxic; bad: quality 0 or toxic 1)."""
+    and ``labels`` (doc_id, quality, toxic; bad: quality 0 or toxic 1). In a round
+    a view gives the other its surest documents of each class, ``exchange`` of all
+    unlabelled ones (documents whose logits are one step apart at the border all
+    go, fewer where fewer are sure); none is given to a view twice."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_places(docs))
     wanted = staged(_wanted(labels, fit_rows), "labelled")
@@ -248,14 +298,15 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
                 order = np.argsort(row, kind="stable")
                 cuts = np.searchsorted(row[order], np.arange(1, part.num_rows))
                 sets.append(pa.array([x.astype(np.uint16).tobytes() for x in np.split(col[order], cuts)], pa.binary()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *sets], names=["doc_id", "words", "page"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *sets], names=["doc_id", "text", "page"])
 
-    every = staged(docs.mapInArrow(features, "doc_id long, words binary, page binary"), "features")
+    every = staged(docs.mapInArrow(features, "doc_id long, text binary, page binary"), "features")
     known = every.join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toArrow()
     y = known.column("bad").to_numpy().astype(float)
     held = np.arange(len(y)) % 4 == 0 if len(y) >= 40 else np.zeros(len(y), bool)
-    sets, width = {"text": _rows(known, "words"), "page": _rows(known, "page")}, {"text": max(1, len(model.vocabulary)), "page": model.page_width}
-    extra: dict[str, list[tuple]] = {"text": [], "page": []}
+    sets, width = {"text": _rows(known, "text"), "page": _rows(known, "page")}, {"text": max(1, len(model.vocabulary)), "page": model.page_width}
+    taught: dict[str, list[DataFrame]] = {"text": [], "page": []}
+    labelled_rows, number = known.filter(pa.array(~held)), np.cumsum(~held) - 1
 
     def refit() -> None:
         test = held if held.any() else ~held
@@ -263,13 +314,10 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
         for name in ("text", "page"):
             row, col = sets[name]
             use = ~held[row]
-            number = np.cumsum(~held) - 1
-            rows, cols, ys = [number[row[use]]], [col[use]], [y[~held]]
-            for r, c, label in extra[name]:
-                rows.append(r + sum(map(len, ys)))
-                cols.append(c)
-                ys.append(label)
-            view = fit_view(np.concatenate(rows), np.concatenate(cols), np.concatenate(ys), width[name])
+            if taught[name]:
+                view = mixed_view(reduce(DataFrame.unionByName, taught[name]), labelled_rows, y[~held], name, width[name], part_rows)
+            else:
+                view = fit_view(number[row[use]], col[use], y[~held], width[name])
             view.scale, view.shift = fit_line(view.logit(row, col, len(y))[test][:, None], y[test])
             setattr(model, name, view)
             calibrated.append(view.logit(row, col, len(y))[test])
@@ -277,29 +325,47 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2, fit_rows: int = FIT
 
     refit()
     pool = every.join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_anti")
-    handed: dict[str, set[int]] = {"text": set(), "page": set()}  # whom a view was taught already
+    size = pool.count()
+    past: list[tuple[View, View, dict]] = []  # the views of the rounds before and what they gave
+    tables = [every]
     for _ in range(rounds):
-        taught = spark.sparkContext.broadcast(model)
+        now = spark.sparkContext.broadcast((model.text, model.page, past))
 
-        def sure(batches: Iterator[pa.RecordBatch], now=taught) -> Iterator[pa.RecordBatch]:
+        def sure(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            text_view, page_view, before = now.value
+            turn = TaskContext.get().partitionId() * 7919
             for batch in batches:
-                table = pa.Table.from_batches([batch])
-                a, b = now.value.logits(_rows(table, "words"), _rows(table, "page"), batch.num_rows)
+                table, n = pa.Table.from_batches([batch]), batch.num_rows
+                words, page = _rows(table, "text"), _rows(table, "page")
+                a, b = text_view.logit(*words, n), page_view.logit(*page, n)
+                given = {"page": np.zeros(n, bool), "text": np.zeros(n, bool)}
+                for v, w, cuts in before:
+                    for pupil, logit in (("page", v.logit(*words, n)), ("text", w.logit(*page, n))):
+                        for sign in (1, -1):
+                            if (cut := cuts[pupil, sign]) is not None:
+                                step = np.floor(np.minimum(sign * logit, TOP) / GRAIN)
+                                given[pupil] |= (sign * logit >= SURE_LOGIT) & (step >= cut)
                 keep = np.flatnonzero(np.maximum(np.abs(a), np.abs(b)) >= SURE_LOGIT)
-                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in batch.columns), pa.array(a[keep]), pa.array(b[keep])],
-                                                 names=[*batch.schema.names, "text_logit", "page_logit"])
-
-        scored = staged(pool.mapInArrow(sure, "doc_id long, words binary, page binary, text_logit double, page_logit double"), "sure")
+                rest = [a, b, given["page"], given["text"], np.arange(turn, turn + n)]
+                turn += n
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(keep)) for c in ("text", "page")), *(pa.array(x[keep]) for x in rest)],
+                                                 names=["text", "page", "text_logit", "page_logit", "page_has", "text_has", "turn"])
+
+        scored = staged(pool.mapInArrow(sure, "text binary, page binary, text_logit double, page_logit double, page_has boolean, text_has boolean, turn long"),
+                        "sure")
+        tables.append(scored)
+        cuts = {}
         for teacher, pupil in (("text_logit", "page"), ("page_logit", "text")):
-            for label, logit in ((1.0, F.col(teacher)), (0.0, -F.col(teacher))):
-                new = scored.where(logit >= SURE_LOGIT)
-                if handed[pupil]:  # at most rounds * 2 * exchange ids
-                    new = new.join(F.broadcast(spark.createDataFrame([(i,) for i in handed[pupil]], "doc_id long")), "doc_id", "left_anti")
-                got = new.orderBy(logit.desc(), F.xxhash64("doc_id"), "doc_id").limit(exchange).toArrow()
-                if got.num_rows:
-                    handed[pupil].update(i for i in got.column("doc_id").to_pylist() if i is not None)
-                    extra[pupil].append((*_rows(got, "words" if pupil == "text" else "page"), np.full(got.num_rows, label)))
+            for sign in (1, -1):
+                logit = sign * F.col(teacher)
+                new = scored.where((logit >= SURE_LOGIT) & ~F.col(f"{pupil}_has"))
+                counts = {r["step"]: r["count"] for r in new.groupBy(step_of(logit).alias("step")).count().collect()}  # TOP / GRAIN rows at most
+                cut = cuts[pupil, sign] = cut_step(counts, exchange * size)
+                if cut is not None:
+                    taught[pupil].append(new.where(step_of(logit) >= cut).select(pupil, "turn", F.lit(max(0.0, float(sign))).alias("label")))
+        past.append((model.text, model.page, cuts))
         refit()
+    discard(wanted, *tables)
     return model
 
 

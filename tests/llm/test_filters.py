@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -192,6 +193,60 @@ def test_classifier_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def fit_and_taught(docs, labels, monkeypatch):
+    """The model, and what each view was taught in each round."""
+    seen = {}
+    keep = cotraining.mixed_view
+
+    def note(taught, known, y, name, *rest):
+        seen.setdefault(name, []).append(taught.collect())
+        return keep(taught, known, y, name, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(cotraining, "mixed_view", note)
+        model = cotraining.fit(docs, labels)
+    return model, seen
+
+
+def test_exchange_is_a_share_of_the_pool(spark, monkeypatch):
+    docs, labels = quality_data(3000)
+    labels = spark.createDataFrame(labels[:500], "doc_id long, quality int, toxic int")
+    totals = []
+    for n in (1500, 3000):
+        frame = spark.createDataFrame(docs[:n] + docs[700:701] * 40, DOC).repartition(4)
+        _, seen = fit_and_taught(frame, labels, monkeypatch)
+        assert set(seen) == {"text", "page"}
+        for rounds in seen.values():
+            assert all(c >= 0.02 * (n - 460) for c in Counter(r["label"] for r in rounds[0]).values())
+            turns = [r["turn"] for r in rounds[-1]]
+            assert len(turns) == len(set(turns)) >= len(rounds[0])  # nothing given twice
+        totals.append({name: len(rounds[0]) for name, rounds in seen.items()})
+    assert all(totals[1][name] >= 1.5 * totals[0][name] for name in ("text", "page"))
+
+
+def test_cut_takes_whole_steps():
+    assert cotraining.cut_step({}, 5) is None
+    assert cotraining.cut_step({400: 3, 390: 1, 380: 9, 370: 2}, 3) == 400
+    assert cotraining.cut_step({400: 3, 390: 1, 380: 9, 370: 2}, 4.5) == 380
+    assert cotraining.cut_step({400: 3}, 100) == 400
+
+
+def test_parts_are_averaged(spark):
+    rng = np.random.default_rng(3)
+    sets = [np.flatnonzero(rng.random(30) < 0.3).astype(np.uint16).tobytes() for _ in range(120)]
+    y = rng.integers(0, 2, 40).astype(float)
+    taught = spark.createDataFrame([(bytearray(f), i, float(i % 3 == 0)) for i, f in enumerate(sets[40:])], "text binary, turn long, label double").repartition(3)
+    known = pa.table({"text": pa.array(sets[:40], pa.binary())})
+    got = cotraining.mixed_view(taught, known, y, "text", 30, 40)
+    views = []
+    for part in (0, 1):
+        own = [i for i in range(80) if i % 2 == part]
+        table = pa.table({"text": pa.array(sets[:40] + [sets[40 + i] for i in own], pa.binary())})
+        views.append(cotraining.fit_view(*cotraining._rows(table, "text"), np.append(y, [float(i % 3 == 0) for i in own]), 30))
+    assert np.allclose(got.weights, (views[0].weights + views[1].weights) / 2) and np.isclose(got.bias, (views[0].bias + views[1].bias) / 2)
+    assert cotraining.mixed_view(taught, known, y, "text", 30, 1000).weights.shape == (30,)
+
+
 def test_classifier_without_labels(spark):
     docs, labels = quality_data(30)
     frame, kind = spark.createDataFrame(docs, DOC), "doc_id long, quality int, toxic int"
