@@ -9,8 +9,10 @@ q-grams are counted in bands of diagonals, each overlapping the next by half,
 so the match lies whole in one band; bands that reach the count are aligned
 with the segment inside the band, and those within the budget are matches.
 
-The items are the query set: blocks of bounded size, each broadcast once and
-held against every document.
+The items are the query set. Equal texts are one, whose item ids are joined to
+the matches at the end; texts are cut into blocks by their running bytes, each
+broadcast once and held against every document. Equal segments of a block's
+texts are looked up and aligned once.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import slices
+from promolens.llm.common import slices, staged, with_running
 from promolens.llm.token_index import mix64
 
 _U = np.uint64
@@ -34,6 +36,7 @@ STEP = 16  # so any run of SEGMENT + STEP - 1 bytes of an item holds a whole seg
 EDITS_PER = 16  # one edit for so many bytes
 TOGETHER = 2048  # bands aligned at a time
 BLOCK_BYTES = 4 << 20
+HITS = 1 << 21  # shared q-grams laid out at a time
 MAP = 1 << 22
 
 
@@ -59,27 +62,23 @@ def _spot(codes: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """Segments of a block of items and the places of their q-grams."""
+    """Distinct segments of a block of items and the places of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.text, self.edits, self.least = [], [], [], []
-        grams, seg, pos = [], [], []
+        of: dict[bytes, list[int]] = {}  # segment -> its items
         for item, text in items:
             raw = normal(text or "")
             if len(raw) < Q:
                 continue  # no q-gram: too short to be told from chance
-            starts = sorted({*range(0, max(1, len(raw) - SEGMENT + 1), STEP), max(0, len(raw) - SEGMENT)})
-            for a in starts:
-                s = raw[a: a + SEGMENT]
-                k = min(len(s) // EDITS_PER, (len(s) - Q) // Q)
-                g = qgrams(np.frombuffer(s, np.uint8))
-                grams.append(g)
-                seg.append(np.full(len(g), len(self.text)))
-                pos.append(np.arange(len(g)))
-                self.item.append(item)
-                self.text.append(s)
-                self.edits.append(k)
-                self.least.append(len(s) - Q + 1 - k * Q)
+            for a in sorted({*range(0, max(1, len(raw) - SEGMENT + 1), STEP), max(0, len(raw) - SEGMENT)}):
+                held = of.setdefault(raw[a: a + SEGMENT], [])
+                if not held or held[-1] != item:
+                    held.append(item)
+        self.text, self.items = list(of), list(of.values())
+        self.edits = [min(len(s) // EDITS_PER, (len(s) - Q) // Q) for s in self.text]
+        self.least = [len(s) - Q + 1 - k * Q for s, k in zip(self.text, self.edits, strict=True)]
+        grams = [qgrams(np.frombuffer(s, np.uint8)) for s in self.text]
+        seg, pos = [np.full(len(g), i) for i, g in enumerate(grams)], [np.arange(len(g)) for g in grams]
         self.band = max(self.edits, default=0) + 1
         self.least_of = np.array(self.least, np.int64)
         gram = np.concatenate(grams) if grams else np.zeros(0, _U)
@@ -100,11 +99,15 @@ class Items:
         at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
         if not len(at):
             return []
-        which = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        seg, diagonal = self.seg[which], np.repeat(at, n) - self.pos[which] + SEGMENT  # never negative
-        key = seg * (len(raw) + 2 * SEGMENT) + diagonal // self.band
+        strip, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1):
+            m = n[part]
+            which = np.repeat(lo[part] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+            seg, diagonal = self.seg[which], np.repeat(at[part], m) - self.pos[which] + SEGMENT  # never negative
+            new, more = np.unique(seg * (len(raw) + 2 * SEGMENT) + diagonal // self.band, return_counts=True)
+            strip, into = np.unique(np.concatenate([strip, new]), return_inverse=True)
+            count = np.bincount(into, np.concatenate([count, more]), len(strip)).astype(np.int64)
         # a band takes two neighbouring strips of diagonals: count each strip, then add the next
-        strip, count = np.unique(key, return_counts=True)
         both = count.copy()
         both[:-1] += np.where(strip[1:] == strip[:-1] + 1, count[1:], 0)
         size = len(raw) + 2 * SEGMENT
@@ -178,20 +181,28 @@ def _places(known: Items, texts: list[str]) -> dict[tuple[int, int], tuple[int,
             where.append(d)
     found: dict[tuple[int, int], list] = {}
     for d, (seg, _, begin, _), hit in zip(where, bands, known.align(bands, joined), strict=True):
-        if hit:
-            found.setdefault((d, known.item[seg]), []).append((hit[0], hit[1] - begin, hit[2] - begin))
+        for item in known.items[seg] if hit else ():
+            found.setdefault((d, item), []).append((hit[0], hit[1] - begin, hit[2] - begin))
     return {(d, item): (len({h[1] for h in hits}), min(h[0] for h in hits),
                         *_original(texts[d], raws[d], min(h[1] for h in hits), max(h[2] for h in hits))) for (d, item), hits in found.items()}
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The items in blocks of about BLOCK_BYTES, one at a time."""
+def _texts(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tid, text, block) of the distinct texts, in blocks of about BLOCK_BYTES by
+    their running bytes; (item_id, tid) of every item that has a text."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_BYTES))
-    for b in range(n):
-        block = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
-        yield Items([(r["item_id"], r["text"]) for r in block])
+    distinct = staged(items.groupBy("text").agg(F.octet_length("text").alias("size")).withColumn("tid", F.monotonically_increasing_id()), "texts")
+    texts = with_running(distinct, ["tid"], "size", out="before").withColumn("block", F.floor(F.col("before") / BLOCK_BYTES).cast("long"))
+    return staged(texts.select("tid", "text", "block"), "blocks"), items.join(distinct.select("text", "tid"), "text").select("item_id", "tid")
+
+
+def _blocks(texts: DataFrame) -> Iterator[Items]:
+    """The blocks of ``_texts``, one at a time: BLOCK_BYTES and one text at most."""
+    last = texts.agg(F.max("block")).first()[0]
+    for b in range(-1 if last is None else last + 1):  # a long text may leave blocks empty
+        held = texts.where(F.col("block") == b).orderBy("tid").collect()
+        if held:
+            yield Items([(r["tid"], r["text"]) for r in held])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -202,10 +213,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A passage is a segment of ``SEGMENT`` bytes, or a whole shorter item, with
     one edit for every ``EDITS_PER`` bytes at most. Null and blank texts match
     nothing, nor do items under ``Q`` bytes; repeated rows match row by row
-    (a null doc_id stays null); an empty benchmark gives no row. Other columns
-    are not read."""
+    (a null doc_id stays null), items with one text each have their row; an
+    empty benchmark gives no row. Other columns are not read."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    names = ["doc_id", "item_id", "n_matches", "edits", "start", "end"]
+    names = ["doc_id", "tid", "n_matches", "edits", "start", "end"]
+    texts, items = _texts(benchmark)
 
     def scan(items: Items) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(items)
@@ -218,7 +230,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
-    return reduce(DataFrame.unionByName, map(scan, _blocks(benchmark)))
+    none = docs.sparkSession.createDataFrame([], ", ".join(f"{c} long" for c in names))
+    found = reduce(DataFrame.unionByName, map(scan, _blocks(texts)), none)
+    return found.join(items, "tid").select("doc_id", "item_id", *names[2:])
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -226,7 +240,7 @@ def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     go along, and nothing is shuffled."""
     names, schema = docs.columns, docs.schema
     kinds = ", ".join(f"{'text' if f.name == 'text' else f'c{k}'} {f.dataType.simpleString()}" for k, f in enumerate(schema.fields))
-    for items in _blocks(benchmark):
+    for items in _blocks(_texts(benchmark)[0]):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], now=shared) -> Iterator[pa.RecordBatch]:

@@ -161,6 +161,38 @@ def test_benchmark(spark):
     assert decontaminate.matches(documents(spark, rows).where("doc_id = 0"), items).collect() == []
 
 
+def test_benchmark_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    shared = line(14)  # stands in many items
+    texts = [f"{line(5)} {shared} {line(4)}" for _ in range(30)] + [line(40) for _ in range(10)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[35]) for i in range(25)] + [(200, None)]  # one text holds a third of the items
+    rows = [(1, f"{line(20)} {shared} {line(9)}"), (2, texts[35]), (3, line(60)), (4, texts[31] + " " + texts[3]), (1, f"{line(20)} {shared}")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+
+    def rows_of():
+        return sorted(tuple(r) for r in decontaminate.matches(documents(spark, rows), bench).collect())
+
+    def plain():
+        out = []
+        for i, t in rows:
+            for item, text in items:
+                hits = decontaminate._places(decontaminate.Items([(item, text)]), [t])
+                out += [(i, item, *h) for h in hits.values()]
+        return sorted(out)
+
+    want = rows_of()
+    assert want == plain()
+    held = list(decontaminate._blocks(decontaminate._texts(bench)[0]))
+    assert len(held) == 1 and len(held[0].text) == len(set(held[0].text)) and max(map(len, held[0].items)) >= 10
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(decontaminate, "HITS", 5)
+    blocks = [r["n"] for r in decontaminate._texts(bench)[0].selectExpr("block", "octet_length(text) AS n").groupBy("block").agg({"n": "sum"}).toDF("block", "n").collect()]
+    assert len(blocks) > 5 and max(blocks) <= 700 + max(len(t) for t in texts)
+    assert rows_of() == want
+    assert sorted(r["doc_id"] for r in decontaminate.without_matches(documents(spark, rows), bench).collect()) == [3]
+
+
 def quality_data(n, seed=2):
     rng = random.Random(seed)
     words = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in "lnrst"]
