@@ -6,6 +6,8 @@
     spark-submit --py-files promolens.zip promolens/__main__.py score --data new.csv --model-dir /shared/out/proposal_model --out /shared/new
     spark-submit --py-files promolens.zip promolens/__main__.py extract --tables /shared/sales --as-of 2014-12-31 --out /shared/extract
     spark-submit --py-files promolens.zip promolens/__main__.py reports --tables /shared/sales --out /shared/reports
+    spark-submit --py-files promolens.zip promolens/__main__.py sql --tables /shared/sales --out /shared/top \
+        --query "SELECT * FROM promo_top_groups(DATE'2013-01-01', DATE'2013-12-31', 3)"
 
 Options mirror the reference command line; outputs go to shared storage.
 """
@@ -52,7 +54,10 @@ def main(argv=None) -> None:
     x.add_argument("--format", choices=["parquet", "csv"], default="csv", help="output table format")
 
     r = sub.add_parser("reports", help="promotion reports over the sales tables")
-    for cmd in (x, r):
+    q = sub.add_parser("sql", help="one SQL statement over the tables and the report functions (promo_sales(from, to), ...)")
+    q.add_argument("--query", required=True)
+    q.add_argument("--out", default="out_sql")
+    for cmd in (x, r, q):
         cmd.add_argument("--tables", default=None, help="Parquet root with one folder per table (default: catalog)")
         cmd.add_argument("--namespace", default=None)
     r.add_argument("--from-date", default="2011-01-01")
@@ -100,6 +105,12 @@ def main(argv=None) -> None:
         for name, df in (("customer_metrics", customer_metrics(t, as_of)), ("proposals", proposals(t, as_of, extra_columns=True))):
             w = df.write.mode("overwrite").option("header", True)
             (w.csv if args.format == "csv" else w.parquet)(os.path.join(args.out, name))
+    elif args.cmd == "sql":
+        from promolens.plans import sql_surface
+        from promolens.sources.tables import SalesTables
+
+        sql_surface.register(SalesTables.from_parquet(spark, args.tables) if args.tables else SalesTables.from_catalog(spark, args.namespace))
+        spark.sql(args.query).write.mode("overwrite").parquet(args.out)
     else:
         from promolens.plans import monthly, monthly_store, reports
         from promolens.sources.tables import SalesTables

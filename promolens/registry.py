@@ -21,7 +21,7 @@ from promolens.config import FIXTURE_PARAMS as P
 from promolens.config import PipelineConfig
 from promolens.functions.hashing import hash_key, unit_score
 from promolens.operators import curves, knapsack, optimal, sampling
-from promolens.plans import evaluation, features, job, model, monthly, monthly_store, proposals, reports, segments
+from promolens.plans import evaluation, features, job, model, monthly, monthly_store, proposals, reports, segments, sql_surface
 from promolens.session import ensure_checkpoint_dir, reliable_checkpoint
 from promolens.sources.csv import as_text
 from promolens.sources.tables import SalesTables, list_tables, table_row_counts
@@ -269,6 +269,14 @@ def _run_report_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("`Accepted:support`").cast("long").alias("n_test_accepted"), F.col("`Rejected:support`").cast("long").alias("n_test_rejected"))
 
 
+def _sql(name: str) -> Query:
+    """A monthly report by its SQL table function."""
+    def run(t: SalesTables) -> DataFrame:
+        sql_surface.register(t)
+        return sql_surface.report(t.sales_order_header.sparkSession, name, P.from_date, P.to_date, P.top_n)
+    return _q(run)
+
+
 QUERIES: dict[str, Query] = {
     "table_listing": _q(table_row_counts),
     "promotions_by_year_month": _q(reports.promotions_by_year_month),
@@ -290,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "monthly_promo_sales": _lb(monthly.monthly_promo_sales),
     "monthly_promo_orders": _lb(monthly.monthly_promo_orders),
     "top_groups_by_month": _lb(lambda lb: monthly.top_groups_by_month(lb, P)),
+    **{f"{name}_sql": _sql(name) for name in sql_surface.REPORTS},
     "customer_metrics": _q(lambda t: proposals.customer_metrics(t, P.as_of)),
     "proposals": _q(lambda t: proposals.proposals(t, P.as_of)),
     "coerced_amounts": _q(_coerced),
@@ -339,6 +348,7 @@ def oracles() -> dict[str, str]:
     q, proposals_cte = report_oracles(P.years, P.from_date.isoformat(), P.to_date.isoformat(), P.top_n,
                                       P.as_of.isoformat())
     q["line_base_by_month"] = q["line_base"]
+    q.update({f"{name}_sql": q[name] for name in sql_surface.REPORTS})
     q.update(feature_oracles(proposals_cte))
     q.update(eval_oracles(proposals_cte))
     q.update(selection_oracles(proposals_cte, SELECTION_BUDGET, TOP_CANDIDATES))
