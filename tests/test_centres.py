@@ -63,3 +63,24 @@ def test_fewer_points_than_centres(spark):
     assert got[2].cost == 0 and got[3].cost == 0 and got[2].silhouette == pytest.approx(1.0)
     same = spark.createDataFrame([(f"r{i}", 1.0) for i in range(5)], "id string, z_a double")
     assert centres.fit_centres(same, "id", ["z_a"], [2], starts=1)[2].silhouette is None
+
+
+def test_steps_read_equal_rows_as_one_point(spark):
+    """Twelve rows an owner, as all proposals of a customer: steps see the owners, seeds, costs and silhouettes the rows."""
+    rng = np.random.default_rng(9)
+    owners = np.concatenate([rng.normal(m, 0.5, (20, 2)) for m in ((0, 0), (5, 1), (1, 6))])
+    x = np.repeat(owners, 12, axis=0)
+    df = spark.createDataFrame([(f"r{i}", float(a), float(b)) for i, (a, b) in enumerate(x)], "id string, z_a double, z_b double")
+    cols, seen = ["z_a", "z_b"], []
+    step = centres.lloyd_step
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(centres, "lloyd_step", lambda rows, c, sets: seen.append(rows.count()) or step(rows, c, sets))
+        got = centres.fit_centres(df, "id", cols, [2, 3], starts=2)
+    assert set(seen) == {len(owners)}
+    seeds = centres.draw_seeds(df.select(*cols, F.xxhash64("id").alias("h")), cols, 3, 2, 42)
+    vec = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
+    for k, fit in got.items():
+        want = min((_plain(x, s[:k]) for s in seeds), key=lambda r: r[1])
+        assert np.allclose(fit.model.centres, want[0], atol=1e-9) and fit.cost == pytest.approx(want[1])
+        placed = vec.withColumn("prediction", F.expr(fit.model.sql()).cast("int"))
+        assert ClusteringEvaluator().evaluate(placed) == pytest.approx(fit.silhouette, abs=1e-9)
