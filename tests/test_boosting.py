@@ -1,5 +1,6 @@
 """Leaf-wise boosting against a plain finder of splits."""
 
+import json
 import math
 
 import numpy as np
@@ -107,3 +108,27 @@ def test_saved_model_scores_alike(train, tmp_path):
 def test_no_training_rows(train):
     with pytest.raises(ValueError, match="no training rows"):
         boosting.grow(train.limit(0), "features", "label", "weight", "ProposalID", BoostParams(rounds=1))
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 8, 64])
+def test_words_score_as_the_walk_does(leaves):
+    x, y, w, key = _rows(900)
+    edges = [sorted(set(np.quantile(x[:, j], np.arange(1, 64) / 64).tolist())) for j in range(x.shape[1])]
+    g = Grower(boosting.binned(x, edges), y, w, key, BoostParams(rounds=7, leaves=leaves, min_rows=2))
+    trees = [g.tree(t) for t in range(7)]
+    odd = np.vstack([x, [np.nan, 1, np.inf, 0], [-np.inf, np.nan, np.nan, np.nan], [edges[0][3], 9, -1, 1]])
+    words = boosting.leaf_words(edges, trees)
+    assert np.array_equal(boosting.score_words(odd, g.start, words), score_rows(odd, g.start, flat_table(edges, trees)))
+
+
+def test_larger_trees_are_walked(spark):
+    x, y, w, key = _rows(900)
+    edges = [sorted(set(np.quantile(x[:, j], np.arange(1, 64) / 64).tolist())) for j in range(x.shape[1])]
+    g = Grower(boosting.binned(x, edges), y, w, key, BoostParams(leaves=100, min_rows=2))
+    trees = [g.tree(0)]
+    assert trees[0]["left"].count(0) == 0 and len(trees[0]["left"]) > 127 and boosting.leaf_words(edges, trees) is None
+    model = BoostedTreesModel(featuresCol="features", trees=json.dumps({"start": g.start, "edges": edges, "trees": trees}))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "i int, a array<double>").select("i", array_to_vector("a").alias("features"))
+    got = {r["i"]: r["p"] for r in model.transform(df).select("i", vector_to_array("probability")[1].alias("p")).collect()}
+    want = 1 / (1 + np.exp(-score_rows(x, g.start, flat_table(edges, trees))))
+    assert all(got[i] == pytest.approx(v, abs=1e-12) for i, v in enumerate(want))
