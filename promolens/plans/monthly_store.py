@@ -10,7 +10,9 @@ is left out though its partition stays, and a date range prunes partitions.
 A month's digest covers its order headers, their lines and the dimension tables
 (one digest for all of these: a changed name rebuilds every month). Digests are
 sums of two 64-bit hashes of whole rows, so the order of rows does not matter and
-repeated rows count. The manifest is appended to, after the data: a refresh that
+repeated rows count. Lines are moved for the joins only: a month's rows are written where the
+last join left them, every task writes its share of each month (one file a task and month, so a month
+of a large store has as many files as that join has tasks). The manifest is appended to, after the data: a refresh that
 fails half way is done again by the next one. One refresh at a time may run on a store.
 """
 
@@ -38,11 +40,11 @@ def month_digests(t: SalesTables, params: ReportParams) -> DataFrame:
     """(month, n_orders, n_lines, digest) of the months with orders in the range."""
     lines = t.sales_order_detail.groupBy("SalesOrderID").agg(F.count(F.lit(1)).alias("lines"), *_hashes(t.sales_order_detail, "d"))
     h = t.sales_order_header.where(in_half_open_day_range(F.col("OrderDate"), params.from_date, params.to_date))
-    seeds = [F.xxhash64(F.lit(s), *[F.col(f"`{c}`") for c in sorted(h.columns)]).cast("decimal(20,0)").alias(f"h{s}") for s in (1, 2)]
+    seeds = [F.xxhash64(F.lit(s), *[F.col(f"`{c}`") for c in sorted(h.columns)]).alias(f"h{s}") for s in (1, 2)]
     orders = h.select("SalesOrderID", month_start(F.col("OrderDate")).alias("month"), *seeds).join(lines, "SalesOrderID")
     dims = [x for df in (t.sales_territory, t.product, t.product_subcategory, t.product_category)
             for x in df.agg(F.count(F.lit(1)).alias("n"), *_hashes(df, "x")).first()]
-    parts = [F.sum(c).cast("string") for c in ("h1", "h2", "d1", "d2")]
+    parts = [F.sum(F.col(c).cast("decimal(20,0)") if c[0] == "h" else c).cast("string") for c in ("h1", "h2", "d1", "d2")]
     known = F.lit(",".join(map(str, dims)))
     return orders.groupBy("month").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("lines").alias("n_lines"),
                                        F.sha2(F.concat_ws(",", *parts, known), 256).alias("digest"))
@@ -71,6 +73,15 @@ def _runs(months: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
     return out
 
 
+def month_rows(t: SalesTables, params: ReportParams, months: list[dt.date]) -> DataFrame:
+    """``line_base`` of the months, with the partition a row goes to."""
+    date, wanted = F.col("OrderDate"), F.lit(False)
+    for a, b in _runs(months):
+        wanted = wanted | ((date >= F.lit(a).cast("timestamp_ntz")) & (date < F.lit(b).cast("timestamp_ntz")))
+    part = SalesTables(**{**dict(t.items()), "sales_order_header": t.sales_order_header.where(wanted)})
+    return line_base(part, params).withColumn("store_month", F.date_format("MonthStart", "yyyy-MM"))
+
+
 def refresh(t: SalesTables, params: ReportParams, path: str) -> list[dt.date]:
     """Brings the store at ``path`` up to date; the months it rewrote."""
     spark = t.sales_order_header.sparkSession
@@ -79,15 +90,8 @@ def refresh(t: SalesTables, params: ReportParams, path: str) -> list[dt.date]:
     now = month_digests(t, params).collect()  # one row per calendar month
     changed = sorted(r["month"] for r in now if known.get(r["month"]) != r["digest"])
     if changed:
-        date = F.col("OrderDate")
-        wanted = F.lit(False)
-        for a, b in _runs(changed):
-            wanted = wanted | ((date >= F.lit(a).cast("timestamp_ntz")) & (date < F.lit(b).cast("timestamp_ntz")))
-        part = SalesTables(**{**dict(t.items()), "sales_order_header": t.sales_order_header.where(wanted)})
-        rows = line_base(part, params).withColumn("store_month", F.date_format("MonthStart", "yyyy-MM"))
-        # rebalance: AQE cuts a large month into several files and packs small ones
-        (rows.hint("rebalance", "store_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("store_month").parquet(f"{path}/lines"))
+        (month_rows(t, params, changed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("compression", "zstd").partitionBy("store_month").parquet(f"{path}/lines"))
     if changed or len(now) != len(old):
         run = 1 + max((r["run"] for r in old), default=0)
         spark.createDataFrame([(run, r["month"], r["n_orders"], r["n_lines"], r["digest"]) for r in now], MANIFEST).coalesce(1) \

@@ -61,3 +61,14 @@ def test_ranges_of_months():
     d = dt.date
     assert monthly_store._runs([d(2000, 12, 1), d(2000, 11, 1), d(2001, 1, 1), d(2001, 3, 1)]) == [
         (d(2000, 11, 1), d(2001, 2, 1)), (d(2001, 3, 1), d(2001, 4, 1))]
+
+
+def test_lines_are_moved_for_the_joins_only(spark):
+    """The rows of a month go to its partition from where the last join left them: no further shuffle of wide rows."""
+    t = SalesTables.from_testdata(spark, SF_SMALL)
+    rows = monthly_store.month_rows(t, P, [dt.date(1996, 3, 1), dt.date(1996, 4, 1)])
+    told = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in told and "Rebalance" not in told
+    full = monthly.line_base(t, P).where(F.col("MonthStart").between(dt.date(1996, 3, 1), dt.date(1996, 4, 1)))
+    assert _same(rows.drop("store_month"), full)
+    assert {r[0] for r in rows.select("store_month").distinct().collect()} == {"1996-03", "1996-04"}
