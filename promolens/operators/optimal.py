@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.operators.knapsack import MONEY, SelectionResult, greedy, selection_result
-from promolens.operators.prefix import range_partitioned, running_sums
+from promolens.operators.prefix import range_partitioned, running_sums, sums_in_ranges
 from promolens.session import reliable_checkpoint
 
 BLOCK = 5         # bundles a step: a node has at most 32 children
@@ -107,7 +107,8 @@ def select_optimal(df: DataFrame, budget: float, id_col: str = "ProposalID", cos
     greedy_pick = numbered.where(g.chosen).select(id_col, "_c", "_p")
 
     # the first place at which the ranked costs pass the budget sets the price
-    summed = running_sums(numbered.select("_pos", "_c", "_p"), [F.asc("_pos")], {"c": F.col("_c")})
+    # (numbered comes dealt into ranges of this order)
+    summed = sums_in_ranges(numbered.select("_range", "_pos", "_c", "_p"), [F.asc("_pos")], {"c": F.col("_c")})
     stop = summed.where(F.col("cum_c") > F.lit(b)).agg(F.min(F.struct("_pos", "_c", "_p")).alias("x")).first()["x"]
     if stop is None:  # all fit
         return OptimalSelection(**vars(selection_result(g.cand, greedy_pick, g.used, g.profit, float(g.profit), id_col)), proven=True, steps=0, core=0)

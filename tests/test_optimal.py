@@ -68,3 +68,17 @@ def test_edges(spark):
     r = select_optimal(_frame(spark, free), 100.0)
     assert r.proven and {x["ProposalID"] for x in r.selection.collect() if x["selected"] == 1} == {"free", "a"}
     assert select_optimal(_frame(spark, [("x", 10.0, 50.0, 0.5)]), 100.0).total_profit == 0.0
+
+
+def test_the_price_is_found_without_another_shuffle(spark, monkeypatch):
+    """The candidates lie in ranges of their order already: only the greedy walk and the bundles are dealt anew."""
+    from promolens.operators import optimal
+
+    dealt = []
+    real = optimal.running_sums
+    monkeypatch.setattr(optimal, "running_sums", lambda df, *a, **k: dealt.append(df.columns) or real(df, *a, **k))
+    rnd = random.Random(3)
+    items = [(f"p{i}", rnd.uniform(50, 500), rnd.uniform(10, 300), rnd.random()) for i in range(15)]
+    r = select_optimal(_frame(spark, items), 600.0)
+    assert r.proven and r.total_profit == pytest.approx(_brute(items, 600.0), abs=1e-4)
+    assert not [c for c in dealt if c == ["_pos", "_c", "_p"]]
