@@ -1,9 +1,13 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from promolens.config import PipelineConfig
+from promolens.plans import model
 from promolens.plans.features import add_features
 from promolens.plans.model import train_and_score
 from promolens.plans.segments import fit_segments, segment_inputs
@@ -91,3 +95,29 @@ def test_oversampled_training_runs(planted):
 def test_unknown_model_rejected(planted):
     with pytest.raises(ValueError, match="unknown model"):
         train_and_score(planted, PipelineConfig(model="svm"))
+
+
+def test_forest_in_parts(spark, planted, tmp_path, monkeypatch):
+    """Beyond a bound of rows x trees the trees are fitted in parts; all of them vote, each as much as any other."""
+    monkeypatch.setattr(model, "ROW_TREES", 20_000)
+    cfg = PipelineConfig(model="rf", rf_num_trees=30)
+    r = train_and_score(planted, cfg)
+    forests = [s for s in r.model.stages if isinstance(s, RandomForestClassificationModel)]
+    assert len(forests) > 1 and sum(f.getNumTrees for f in forests) == 30
+    assert r.auc > 0.8
+    # each part's share of the votes, counted again
+    data = r.model.transform(planted.withColumn("weight", F.lit(1.0)))
+    votes = sum((vector_to_array(F.col(f.getRawPredictionCol()))[1] for f in forests), F.lit(0.0)) / 30
+    assert data.where(F.abs(vector_to_array("probability")[1] - votes) > 1e-9).count() == 0
+    r.model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(planted.withColumn("weight", F.lit(1.0)))
+    both = again.select("ProposalID", vector_to_array("probability")[1].alias("a")).join(data.select("ProposalID", vector_to_array("probability")[1].alias("b")), "ProposalID")
+    assert both.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0 and both.count() == 2000
+
+
+def test_small_forests_stay_whole():
+    cfg = PipelineConfig(model="rf")
+    assert len(model.classifier_stages(cfg, 5_000_000)) == 1 and len(model.classifier_stages(PipelineConfig(), 10 ** 9)) == 1
+    parts = model.classifier_stages(cfg, 19_200_000)
+    trees = [p.getNumTrees() for p in parts[:-1]]
+    assert sum(trees) == 100 and max(trees) * 19_200_000 <= model.ROW_TREES and len({p.getSeed() for p in parts[:-1]}) == len(trees)
