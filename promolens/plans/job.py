@@ -19,6 +19,7 @@ from promolens.plans.features import add_features, require_columns
 from promolens.plans.model import TrainResult, train_and_score
 from promolens.plans.saved import scoring_model
 from promolens.plans.segments import SegmentResult, fit_segments, segment_inputs
+from promolens.session import reliable_checkpoint
 
 SELECTION_REQUIRED = ("ProposalID", "ProposalAmount", "Cost", "accept_prob")
 
@@ -38,9 +39,8 @@ def run_pipeline(proposals_df: DataFrame, cfg: PipelineConfig = PipelineConfig()
     """``trained``: a fit of the same proposals and parameters, not fitted again."""
     spark = proposals_df.sparkSession
     tr = trained or train_and_score(add_features(proposals_df), cfg)
-    # The wide frame was written once, as the classifier's input. Scores are computed as it is read: for the
-    # selection's narrow rows, and by each sink.
-    scored = tr.scored
+    # Every row goes down every tree once: the scored frame is written, and read by segmentation, selection and each sink.
+    scored = reliable_checkpoint(tr.scored)
 
     if cfg.skip_kmeans:
         seg = SegmentResult(None, None, None, "skipped by flag", [])

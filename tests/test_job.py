@@ -112,3 +112,11 @@ def test_skip_kmeans_flag(spark, raw, tmp_path):
     assert out.segments.reason == "skipped by flag"
     assert out.segmented.where(F.col("segment").isNotNull()).count() == 0
     assert "Segmentation skipped" in report_text(out.report)
+
+
+def test_every_row_is_scored_once(spark, raw):
+    """Segmentation, selection and sinks read the written scores: their plans hold no step of the model."""
+    out = run_pipeline(raw, PipelineConfig(model="gbt", gbt_max_iter=3, budget=20_000.0, kmeans_k=(2,)))
+    for df in (out.scored, out.segmented, out.selection):
+        assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+    assert out.scored.count() == 600
