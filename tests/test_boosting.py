@@ -66,6 +66,22 @@ def test_trees_equal_a_plain_finder():
         assert np.allclose(grower.score, score, atol=1e-9)
 
 
+@pytest.mark.parametrize("cells", [1, 64, 4096])
+def test_columns_counted_together_count_alike(cells, monkeypatch):
+    monkeypatch.setattr(boosting, "JOINT_CELLS", cells)
+    monkeypatch.setattr(boosting, "JOINT_ROWS", 50)
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, n, 700) for n in (64, 2, 2, 12, 1, 64, 2)]).astype(np.uint8)
+    y, g, h = rng.integers(0, 2, 700).astype(float), rng.normal(size=700), rng.random(700)
+    grower = Grower(x, y, np.ones(700), np.arange(700, dtype=np.uint64), BoostParams())
+    columns, nodes = np.array([0, 1, 3, 4, 6]), [np.arange(0, 700, 3), np.arange(0), np.arange(40)]
+    got = grower.histograms(nodes, columns, g, h)
+    for k, rows in enumerate(nodes):
+        for i, c in enumerate(columns):
+            for j, v in enumerate((g, h, np.ones(700))):
+                assert np.allclose(got[k, j, i], np.bincount(x[rows, c], v[rows], 64), atol=1e-9)
+
+
 def test_scores_follow_the_trees():
     x, y, w, key = _rows()
     p = BoostParams(rounds=12, leaves=16)

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -11,6 +12,7 @@ from promolens.plans import model
 from promolens.plans.features import add_features
 from promolens.plans.model import train_and_score
 from promolens.plans.segments import fit_segments, segment_inputs
+from promolens.registry import BOOSTED_MODEL
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +123,16 @@ def test_small_forests_stay_whole():
     parts = model.classifier_stages(cfg, 19_200_000)
     trees = [p.getNumTrees() for p in parts[:-1]]
     assert sum(trees) == 100 and max(trees) * 19_200_000 <= model.ROW_TREES and len({p.getSeed() for p in parts[:-1]}) == len(trees)
+
+
+def test_boosted_query_is_fitted_on_every_row(spark):
+    """No bound on the labelled rows: train and test split together hold all of them, here more than 30 000."""
+    n = 36_000
+    df = add_features(spark.range(n).select(
+        F.concat(F.lit("P"), "id").alias("ProposalID"), (F.col("id") % 997 + 100).cast("string").alias("ProposalAmount"),
+        (F.col("id") % 89 + 1).cast("string").alias("Cost"), F.element_at(F.array(F.lit("N"), F.lit("S")), (F.col("id") % 2 + 1).cast("int")).alias("Region"),
+        F.lit("Store").alias("CustomerType"), F.lit("Bikes").alias("ProductCategory"), (F.col("id") % 3 > 0).cast("int").cast("string").alias("Accepted")))
+    r = train_and_score(df, replace(BOOSTED_MODEL, gbt_max_iter=2))
+    support = {x["label"]: x["support"] for x in r.class_report.collect()}
+    assert (support["Accepted"], support["Rejected"]) == (n * 2 // 15, n // 15)
+    assert r.scored.count() == n
