@@ -1,7 +1,9 @@
 """Leaf-wise boosting against a plain finder of splits."""
 
+import concurrent.futures
 import json
 import math
+import time
 
 import numpy as np
 import pytest
@@ -109,6 +111,49 @@ def test_several_tasks_grow_the_trees_of_one(train):
         assert np.allclose(a["value"], b["value"])
 
 
+def test_exchange_by_files_and_by_gather_agree(train, monkeypatch):
+    p = BoostParams(rounds=1, leaves=4)
+    files = boosting.grow(train, "features", "label", "weight", "ProposalID", p, rows_per_task=300)
+    monkeypatch.setattr(boosting, "plain_folder", lambda path: None)
+    gathered = boosting.grow(train, "features", "label", "weight", "ProposalID", p, rows_per_task=300)
+    assert math.isclose(files[0], gathered[0]) and files[1] == gathered[1]
+    for a, b in zip(files[2], gathered[2], strict=True):
+        assert a["bin"] == b["bin"] and np.allclose(a["value"], b["value"])
+
+
+def test_edges_are_quantiles_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 300)
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=4000), rng.integers(0, 3, 4000), np.where(rng.random(4000) < 0.3, np.nan, rng.random(4000)), np.full(4000, np.nan)])
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(3)
+    got = boosting.bin_edges(df, 4, 8)
+    assert got[1] == [0.0, 1.0, 2.0] and got[3] == []
+    for j in (0, 2):
+        v = np.sort(x[~np.isnan(x[:, j]), j])
+        assert got[j] == [v[math.ceil(i * len(v) / 8) - 1] for i in range(1, 8)]
+    v, n = boosting._summary(x[:, 0], 64)  # more values than points: ranks are off by one point's rows at most
+    assert len(v) <= 64 and n.sum() == 4000 and n.max() <= 2 * 4000 / 64 and v[-1] == x[:, 0].max()
+
+
+def test_files_are_read_in_step(tmp_path):
+    """Three tasks, one of them slow: every step brings all of that step's bytes, in the order of the tasks."""
+    rng = np.random.default_rng(1)
+
+    def run(me):
+        gather = boosting._through_files(str(tmp_path), me, 3)
+        out = []
+        for step in range(40):
+            if me == step % 3:
+                time.sleep(float(rng.random()) / 500)
+            out.append(gather(f"{me}:{step}".encode() * (step + 1)))
+        return out
+
+    with concurrent.futures.ThreadPoolExecutor(3) as pool:
+        for got in pool.map(run, range(3)):
+            assert got == [[f"{k}:{step}".encode() * (step + 1) for k in range(3)] for step in range(40)]
+    assert not boosting.plain_folder("hdfs://a/b") and boosting.plain_folder("file:///a/b") == boosting.plain_folder("file:/a/b") == "/a/b"
+
+
 def test_saved_model_scores_alike(train, tmp_path):
     model = PipelineModel([boosting.BoostedTrees(BoostParams(rounds=30, leaves=8)).fit(train)])
     model.write().save(str(tmp_path / "m"))
