@@ -3,11 +3,12 @@ from dataclasses import replace
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from promolens.config import PipelineConfig
+from promolens.operators.forest import Forest
 from promolens.plans import model
 from promolens.plans.features import add_features
 from promolens.plans.model import train_and_score
@@ -136,3 +137,13 @@ def test_boosted_query_is_fitted_on_every_row(spark):
     support = {x["label"]: x["support"] for x in r.class_report.collect()}
     assert (support["Accepted"], support["Rejected"]) == (n * 2 // 15, n // 15)
     assert r.scored.count() == n
+
+
+def test_many_rows_are_grown_without_numbers_a_row_and_tree():
+    """Spark's own fit up to a bound of rows x trees, beyond it the forest that keeps rows only; its parts share the binned rows."""
+    cfg = PipelineConfig(model="rf")
+    assert type(model.classifier_stages(cfg, 5_000_000)[0]) is RandomForestClassifier
+    (one,) = model.classifier_stages(cfg, 6_000_000)
+    assert type(one) is Forest and one.getNumTrees() == 100 and one.share is None
+    parts = model.classifier_stages(cfg, 19_200_000)[:-1]
+    assert all(type(p) is Forest and p.share is parts[0].share is not None for p in parts) and [p.leads for p in parts] == [True] + [False] * (len(parts) - 1)
